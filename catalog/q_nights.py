@@ -12,7 +12,7 @@ from nightly.functions.time import to_utc_wall
 from nightly.operators import baselines, circadian, fuse, profile, scenarios, series
 from nightly.sources.text import secondary_sessions
 
-BASE = "n.id, n.user_id, n.date, round(n.sleep_hours, 6) + 0.0 AS sleep_hours"
+BASE = "n.id, n.user_id, n.date, round(n.sleep_hours + 1e-9, 6) + 0.0 AS sleep_hours"
 
 
 def _base(spark, sf):
@@ -20,7 +20,7 @@ def _base(spark, sf):
 
 
 @query(
-    f"""SELECT {BASE}, round(s.hrv_rmssd, 6) + 0.0 AS hrv_rmssd, round(s.hrv_sdnn, 6) + 0.0 AS hrv_sdnn
+    f"""SELECT {BASE}, round(s.hrv_rmssd + 1e-9, 6) + 0.0 AS hrv_rmssd, round(s.hrv_sdnn + 1e-9, 6) + 0.0 AS hrv_sdnn
         FROM nights n LEFT JOIN hrv s ON s.user_id = n.user_id AND s.date = n.date"""
 )
 def fuse_hrv(spark, sf):

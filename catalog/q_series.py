@@ -113,8 +113,8 @@ def forecast_calendar(spark, sf):
 
 
 @query(
-    f"""SELECT user_id, date, round(sleep_hours, 6) + 0.0 AS history, CAST(NULL AS DOUBLE) AS forecast FROM usplit WHERE NOT is_test
-        UNION ALL SELECT user_id, date, CAST(NULL AS DOUBLE), round(prediction, 6) + 0.0 FROM uroll"""
+    f"""SELECT user_id, date, round(sleep_hours + 1e-9, 6) + 0.0 AS history, CAST(NULL AS DOUBLE) AS forecast FROM usplit WHERE NOT is_test
+        UNION ALL SELECT user_id, date, CAST(NULL AS DOUBLE), round(prediction + 1e-9, 6) + 0.0 FROM uroll"""
 )
 def history_plus_forecast(spark, sf):
     daily = bind.user_daily(spark, sf)
@@ -242,7 +242,7 @@ def backtest_metrics(spark, sf):
 @query(
     f"""SELECT * FROM (WITH d AS (SELECT date, sleep_hours AS y, row_number() OVER (ORDER BY date) - 1 AS rn,
             lag(sleep_hours) OVER (ORDER BY date) AS x,
-            CASE WHEN count(*) OVER c = 7 THEN avg(sleep_hours) OVER c END AS trend FROM daily
+            CASE WHEN count(*) OVER c = 7 THEN avg(sleep_hours) OVER c END AS trend FROM dregular
             WINDOW c AS (ORDER BY date ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)),
           m AS (SELECT rn % 7 AS slot, avg(y - trend) AS m FROM d GROUP BY 1),
           f AS (SELECT regr_intercept(y, x) AS a, regr_slope(y, x) AS b, arg_max(y, date) AS v, max(date) AS last FROM d)

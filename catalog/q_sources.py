@@ -124,7 +124,7 @@ def agg_screen_time(spark, sf):
 
 @query(
     f"""SELECT id, user_id, start_ts, {r6('duration_min', 'duration_min')}, is_weekend, source,
-        CASE WHEN source <> 'apple_health' THEN round(duration_zscore, 6) + 0.0 END AS duration_zscore FROM norm"""
+        CASE WHEN source <> 'apple_health' THEN round(duration_zscore + 1e-9, 6) + 0.0 END AS duration_zscore FROM norm"""
 )
 def src_curated_scan(spark, sf):
     """Two runs, the second with fewer columns, read back by name."""
@@ -142,8 +142,8 @@ def src_curated_scan(spark, sf):
 
 
 @query(
-    f"""SELECT model || '_' || target || '.json' AS report, model, target, round(mae, 6) + 0.0 AS mae, round(mape, 6) + 0.0 AS mape,
-        round(coverage, 6) + 0.0 AS coverage FROM (
+    f"""SELECT model || '_' || target || '.json' AS report, model, target, round(mae + 1e-9, 6) + 0.0 AS mae, round(mape + 1e-9, 6) + 0.0 AS mape,
+        round(coverage + 1e-9, 6) + 0.0 AS coverage FROM (
           SELECT 'rolling_mean' AS model, 'sleep_hours' AS target, avg(abs(actual - prediction)) AS mae,
                  avg(abs(actual - prediction) / nullif(abs(actual), 0)) AS mape,
                  avg(CASE WHEN actual BETWEEN lower AND upper THEN 1.0 ELSE 0.0 END) AS coverage FROM uroll
@@ -192,15 +192,15 @@ DIRTY_SQL = """
                  CASE user_id % 3 WHEN 0 THEN 'UTC' WHEN 1 THEN 'America/Los_Angeles' ELSE 'Europe/London' END AS zone,
                  CASE event_type WHEN 'click' THEN 'oura' WHEN 'purchase' THEN 'fitbit' ELSE 'apple_health' END AS source
           FROM events)"""
-RULES_SQL = f"""SELECT id, unnest(list_filter([
+RULES_SQL = f"""SELECT id, rule FROM (SELECT id, unnest([
         CASE WHEN user_id IS NULL THEN 'user_id_null' END,
         CASE WHEN start_ts IS NULL THEN 'start_ts_null' END,
         CASE WHEN start_ts IS NULL THEN 'end_ts_null' END,
         CASE WHEN duration_min IS NULL THEN 'duration_min_null' END,
         CASE WHEN NOT efficiency BETWEEN 0 AND 1 THEN 'efficiency_out_of_range' END,
         CASE WHEN start_ts IS NOT NULL AND no_length THEN 'end_not_after_start' END,
-        CASE WHEN tz = 'Mars/Base' THEN 'tz_unknown' END], x -> x IS NOT NULL)) AS rule
-    FROM ({DIRTY_SQL})"""
+        CASE WHEN tz = 'Mars/Base' THEN 'tz_unknown' END]) AS rule
+    FROM ({DIRTY_SQL})) WHERE rule IS NOT NULL"""
 
 
 def _dirty(spark, sf):

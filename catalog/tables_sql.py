@@ -6,7 +6,7 @@ import re
 
 
 def r6(expr: str, name: str) -> str:
-    return f"round(CAST({expr} AS DOUBLE), 6) + 0.0 AS {name}"
+    return f"round(CAST({expr} AS DOUBLE) + 1e-9, 6) + 0.0 AS {name}"
 
 
 CTES: dict[str, str] = {
@@ -94,6 +94,21 @@ CTES: dict[str, str] = {
                CASE WHEN sleep_hours IS NOT NULL THEN sleep_hours WHEN pv IS NULL THEN nv WHEN nv IS NULL THEN pv
                     ELSE pv + (nv - pv) * (pos - pp) / CAST(np - pp AS DOUBLE) END AS sleep_hours
         FROM sframed""",
+    "ddense": """
+        SELECT g.date, d.sleep_hours, row_number() OVER (ORDER BY g.date) AS pos
+        FROM (SELECT CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date FROM daily) g
+        LEFT JOIN daily d ON d.date = g.date""",
+    "dframed": """
+        SELECT *, last_value(CASE WHEN sleep_hours IS NOT NULL THEN pos END IGNORE NULLS) OVER p AS pp,
+               last_value(sleep_hours IGNORE NULLS) OVER p AS pv,
+               first_value(CASE WHEN sleep_hours IS NOT NULL THEN pos END IGNORE NULLS) OVER n AS np,
+               first_value(sleep_hours IGNORE NULLS) OVER n AS nv
+        FROM ddense
+        WINDOW p AS (ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+               n AS (ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)""",
+    "dregular": """
+        SELECT date, coalesce(sleep_hours, pv + (nv - pv) * (pos - pp) / CAST(nullif(np - pp, 0) AS DOUBLE)) AS sleep_hours
+        FROM dframed""",
     "sdec0": """
         SELECT series, date, pos - 1 AS rn, sleep_hours AS observed, count(*) OVER (PARTITION BY series) AS n,
                CASE WHEN count(*) OVER c = 7 THEN avg(sleep_hours) OVER c END AS trend

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zoneinfo
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -50,56 +51,103 @@ def wall_of(col: Column, dtype: T.DataType) -> Column:
     return col.try_cast("timestamp_ntz")
 
 
-def known_zone(tz: Column) -> Column:
-    """``tz`` where it names a zone, else NULL (Spark raises on unknown zones)."""
-    return F.when(tz.isin(sorted(zoneinfo.available_timezones())), tz)
+def known_zone(tz: str) -> Column:
+    """The zone in column ``tz`` (UTC where NULL) if it exists, else NULL.
 
+    Spark raises on unknown zones, so they must not reach a conversion. The list
+    becomes one hash-set test in the generated code.
+    """
+    names = ", ".join(f"'{z}'" for z in sorted(zoneinfo.available_timezones()))
+    return F.expr(f"IF(`{tz}` IS NULL, '{UTC}', IF(`{tz}` IN ({names}), `{tz}`, NULL))")
+
+
+def _shift(wall: Column, minutes: int) -> Column:
+    return wall + F.make_dt_interval(mins=F.lit(minutes))
+
+
+def _there(zone: Column, utc: Column) -> Column:
+    return F.convert_timezone(F.lit(UTC), zone, utc)
+
+
+def _back(zone: Column, wall: Column) -> Column:
+    return F.convert_timezone(zone, F.lit(UTC), wall)
 
-def local_to_utc(local: Column, tz: Column) -> Column:
-    """Local wall time in zone ``tz`` -> UTC wall time.
+
+def local_to_utc(df: DataFrame, columns: Sequence[str], tz: str) -> DataFrame:
+    """Local wall times in the row's zone ``tz`` -> UTC wall times.
 
     A wall time skipped by a clock change moves to the first valid instant, one
     that occurs twice becomes NULL, and so does any time in an unknown zone.
-    """
-    zone = known_zone(F.coalesce(tz, F.lit(UTC)))
 
-    def there(utc: Column) -> Column:
-        return F.convert_timezone(F.lit(UTC), zone, utc)
+    The steps are columns of their own, so every conversion is evaluated once.
+    Only where the zone's offset differs between an hour before and an hour after
+    the time (next to a clock change) are the rarer cases looked at.
+    """
+    zone = F.col("_zone")
+    staged = df.withColumn("_zone", known_zone(tz))
+    staged = staged.withColumns({f"_utc_{c}": _back(zone, F.col(c)) for c in columns})
+    staged = staged.withColumns(
+        {
+            f"_near_{c}": _shift(_there(zone, _shift(F.col(f"_utc_{c}"), -60)), 120)
+            != _there(zone, _shift(F.col(f"_utc_{c}"), 60))
+            for c in columns
+        }
+    )
+    return staged.select(
+        *[
+            F.when(zone == UTC, F.col(c))
+            .when(F.col(f"_near_{c}"), _near_change(F.col(c), F.col(f"_utc_{c}"), zone))
+            .otherwise(F.col(f"_utc_{c}"))
+            .alias(c)
+            if c in columns
+            else F.col(c)
+            for c in df.columns
+        ]
+    )
 
-    def back(wall: Column) -> Column:
-        return F.convert_timezone(zone, F.lit(UTC), wall)
 
-    utc = back(local)
-    shown = there(utc)
+def _near_change(local: Column, utc: Column, zone: Column) -> Column:
+    """The UTC wall time of a local time next to a clock change."""
+    shown = _there(zone, utc)
     gap = seconds_between(shown, local)
     into_gap = F.pmod(seconds_between(shown, F.expr(EPOCH)), gap)
-    after_gap = back(shown - F.make_dt_interval(secs=into_gap.cast("decimal(18,6)")))
+    after_gap = _back(zone, shown - F.make_dt_interval(secs=into_gap.cast("decimal(18,6)")))
     twice = F.lit(False)
     for minutes in (-60, -30, 30, 60):
-        step = F.make_dt_interval(mins=F.lit(minutes))
-        twice = twice | (there(utc + step) == local)
-    return (
-        F.when(zone == UTC, local)
-        .when(gap > 0, after_gap)
-        .when(~twice, utc)
-    )
+        twice = twice | (_there(zone, _shift(utc, minutes)) == local)
+    return F.when(gap > 0, after_gap).when(~twice, utc)
 
 
-def normalize_instant(col: Column, tz: Column, dtype: T.DataType) -> Column:
-    """Any timestamp form -> instant.
+def normalize_instants(df: DataFrame, columns: Sequence[str], tz: str) -> DataFrame:
+    """Timestamp columns of any form -> instants.
 
     Instants are kept, wall times are read in zone ``tz``, and text is either,
     value by value: text with an offset is an instant, other text a wall time.
     """
-    if isinstance(dtype, T.TimestampType):
-        return F.when(known_zone(F.coalesce(tz, F.lit(UTC))).isNotNull(), col)
-    if isinstance(dtype, (T.TimestampNTZType, T.DateType)):
-        return to_instant(local_to_utc(col.cast("timestamp_ntz"), tz))
-    text = F.trim(col)
-    aware = text.rlike(TIME_OF_DAY) & text.rlike(OFFSET_PATTERN)
-    spelled = F.regexp_replace(text, COMPACT_OFFSET, "$1:$2")
-    return F.when(aware, spelled.try_cast("timestamp")).otherwise(
-        to_instant(local_to_utc(text.try_cast("timestamp_ntz"), tz))
+    types = {c: df.schema[c].dataType for c in columns}
+    known = {c: f"_known_{c}" for c in columns}
+    given, wall = {}, {}
+    for c, dtype in types.items():
+        if isinstance(dtype, T.TimestampType):
+            given[known[c]] = F.col(c)
+            wall[c] = F.lit(None).cast("timestamp_ntz")
+        elif isinstance(dtype, (T.TimestampNTZType, T.DateType)):
+            given[known[c]] = F.lit(None).cast("timestamp")
+            wall[c] = F.col(c).cast("timestamp_ntz")
+        else:
+            text = F.trim(F.col(c))
+            aware = text.rlike(TIME_OF_DAY) & text.rlike(OFFSET_PATTERN)
+            spelled = F.regexp_replace(text, COMPACT_OFFSET, "$1:$2")
+            given[known[c]] = F.when(aware, spelled.try_cast("timestamp"))
+            wall[c] = F.when(~aware, text.try_cast("timestamp_ntz"))
+    split = df.withColumns(given).withColumns(wall)
+    local = [c for c in columns if not isinstance(types[c], T.TimestampType)]
+    resolved = local_to_utc(split, local, tz) if local else split
+    return resolved.select(
+        *[
+            F.coalesce(F.col(known[c]), to_instant(F.col(c))).alias(c) if c in columns else F.col(c)
+            for c in df.columns
+        ]
     )
 
 

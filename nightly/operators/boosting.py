@@ -58,6 +58,10 @@ def gbt_fit(
     ready = df.select(
         *keys, date, as_double(df, target).alias("_y"), *[as_double(df, c).alias(c) for c in features]
     ).dropna(subset=["_y", *features])
+    if not keys:
+        # One row per day: a single partition holds it, and the trainer's many
+        # small passes cost one task each.
+        ready = ready.coalesce(1)
     rows = VectorAssembler(inputCols=features, outputCol="_x").transform(
         backtest_split(ready, keys=keys, date=date, horizon=horizon, backtest_window=backtest_window)
     ).select(*keys, date, "_y", "_x", "is_test").persist()

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from nightly.functions.frame import as_double, attach_stats, parse_double, require_columns
-from nightly.functions.time import is_weekend, known_zone, normalize_instant, to_utc_wall
+from nightly.functions.time import is_weekend, known_zone, normalize_instants, to_utc_wall
 from nightly.schema import SLEEP_COLUMNS
 
 # Bounds of a plausible session in minutes.
@@ -97,9 +97,7 @@ def normalize_timestamps(
     df: DataFrame, columns: Sequence[str] = ("start_ts", "end_ts"), tz: str = "tz"
 ) -> DataFrame:
     """Resolve timestamp columns to instants, reading wall times in the row's zone."""
-    return df.withColumns(
-        {c: normalize_instant(F.col(c), F.col(tz), df.schema[c].dataType) for c in columns}
-    )
+    return normalize_instants(df, columns, tz)
 
 
 def clip_duration(
@@ -163,7 +161,7 @@ def contract_rules(df: DataFrame) -> dict[str, Column]:
     rules["duration_not_positive"] = ~(duration > 0) | F.isnan(duration)
     rules["efficiency_out_of_range"] = ~efficiency.between(0.0, 1.0)
     rules["end_not_after_start"] = ~(col("end_ts") > col("start_ts"))
-    rules["tz_unknown"] = col("tz").isNotNull() & known_zone(col("tz")).isNull()
+    rules["tz_unknown"] = known_zone("tz").isNull()
     return rules
 
 
