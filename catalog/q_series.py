@@ -50,6 +50,13 @@ def forward_fill(spark, sf):
 
 @query(f"SELECT series, date, {r6('sleep_hours', 'sleep_hours')} FROM sregular")
 def interpolate_linear(spark, sf):
+    dense = series.calendar_densify(bind.supplier_daily(spark, sf), keys=KEY)
+    return plain(series.interpolate_linear(dense, "sleep_hours", keys=KEY))
+
+
+@query(f"SELECT series, date, {r6('sleep_hours', 'sleep_hours')} FROM sregular")
+def regular_series(spark, sf):
+    """Daily mean, densify and interpolate in one pass."""
     return plain(_regular(spark, sf))
 
 

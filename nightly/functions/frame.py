@@ -72,3 +72,23 @@ def attach_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFr
 def safe_ratio(num: Column, den: Column) -> Column:
     """num / den, NULL where den is 0 or NULL."""
     return num / F.nullif(den, F.lit(0.0))
+
+
+def keep_where(df: DataFrame, condition: Column, costly: Sequence[str]) -> DataFrame:
+    """Keep the rows where ``condition`` holds, computing the ``costly`` columns once.
+
+    Catalyst would move a filter below the projection that makes the columns it
+    tests, and evaluate them twice per row. Here the rows are dropped by a
+    generator instead: it makes one row where the condition holds, else none.
+    """
+    row = F.when(condition, F.array(F.struct(*costly)))
+    rest = [c for c in df.columns if c not in costly]
+    return df.select(*rest, F.inline(row)).select(*df.columns)
+
+
+def keep_known(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Drop rows with a NULL in the costly ``columns``."""
+    known = F.lit(True)
+    for c in columns:
+        known = known & F.col(c).isNotNull()
+    return keep_where(df, known, columns)

@@ -79,17 +79,21 @@ def local_to_utc(df: DataFrame, columns: Sequence[str], tz: str) -> DataFrame:
     A wall time skipped by a clock change moves to the first valid instant, one
     that occurs twice becomes NULL, and so does any time in an unknown zone.
 
-    The steps are columns of their own, so every conversion is evaluated once.
-    Only where the zone's offset differs between an hour before and an hour after
-    the time (next to a clock change) are the rarer cases looked at.
+    The steps are columns of their own, so every conversion is evaluated once; a
+    zone conversion costs more than all other work on a row. The usual time takes
+    two of them, rows in UTC none: of a time that occurs twice Spark picks the
+    earlier instant, and a skipped time moves past the change, so the clock one
+    hour after the result tells whether a change is near. Only then the rarer
+    cases are looked at.
     """
     zone = F.col("_zone")
     staged = df.withColumn("_zone", known_zone(tz))
-    staged = staged.withColumns({f"_utc_{c}": _back(zone, F.col(c)) for c in columns})
+    staged = staged.withColumns(
+        {f"_utc_{c}": F.when(zone != UTC, _back(zone, F.col(c))) for c in columns}
+    )
     staged = staged.withColumns(
         {
-            f"_near_{c}": _shift(_there(zone, _shift(F.col(f"_utc_{c}"), -60)), 120)
-            != _there(zone, _shift(F.col(f"_utc_{c}"), 60))
+            f"_near_{c}": _there(zone, _shift(F.col(f"_utc_{c}"), 60)) != _shift(F.col(c), 60)
             for c in columns
         }
     )
@@ -113,7 +117,7 @@ def _near_change(local: Column, utc: Column, zone: Column) -> Column:
     into_gap = F.pmod(seconds_between(shown, F.expr(EPOCH)), gap)
     after_gap = _back(zone, shown - F.make_dt_interval(secs=into_gap.cast("decimal(18,6)")))
     twice = F.lit(False)
-    for minutes in (-60, -30, 30, 60):
+    for minutes in (30, 60):
         twice = twice | (_there(zone, _shift(utc, minutes)) == local)
     return F.when(gap > 0, after_gap).when(~twice, utc)
 

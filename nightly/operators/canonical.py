@@ -6,7 +6,14 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from nightly.functions.frame import as_double, attach_stats, parse_double, require_columns
+from nightly.functions.frame import (
+    as_double,
+    attach_stats,
+    keep_known,
+    keep_where,
+    parse_double,
+    require_columns,
+)
 from nightly.functions.time import is_weekend, known_zone, normalize_instants, to_utc_wall
 from nightly.schema import SLEEP_COLUMNS
 
@@ -149,7 +156,7 @@ def normalize_sessions(
         }
     )
     resolved = weekend_flag(normalize_timestamps(clip_duration(named, bounds)))
-    return zscore_duration(resolved, zscore_keys).dropna(subset=["start_ts", "end_ts"])
+    return keep_known(zscore_duration(resolved, zscore_keys), ["start_ts", "end_ts"])
 
 
 def contract_rules(df: DataFrame) -> dict[str, Column]:
@@ -167,7 +174,7 @@ def contract_rules(df: DataFrame) -> dict[str, Column]:
 
 def _broken(df: DataFrame) -> Column:
     checks = [F.when(cond, F.lit(name)) for name, cond in contract_rules(df).items()]
-    return F.filter(F.array(*checks), lambda r: r.isNotNull())
+    return F.array_compact(F.array(*checks))
 
 
 def contract_violations(df: DataFrame) -> DataFrame:
@@ -184,7 +191,8 @@ def quarantine_split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Valid rows, and broken rows with the rules they break."""
     checked = with_violations(df)
     bad = F.size("violations") > 0
-    return checked.where(~bad).drop("violations"), checked.where(bad)
+    good = keep_where(checked, ~bad, ["violations"]).drop("violations")
+    return good, keep_where(checked, bad, ["violations"])
 
 
 def validate(df: DataFrame) -> int:

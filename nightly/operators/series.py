@@ -82,18 +82,20 @@ def forward_fill(
 def interpolate_linear(
     df: DataFrame, value: str, *, keys: Sequence[str] = (), date: str = "date"
 ) -> DataFrame:
-    """Straight line between known values by row position; the ends are carried."""
+    """Straight line between known values by row position; the ends are carried.
+
+    The next known value is the last one in descending order: a frame that only
+    grows, where a frame up to the end of the series would be read again per row.
+    """
     order = over_keys(keys).orderBy(date)
-    upto = order.rowsBetween(W.unboundedPreceding, 0)
-    onward = order.rowsBetween(0, W.unboundedFollowing)
+    growing = (W.unboundedPreceding, 0)
+    upto = order.rowsBetween(*growing)
+    onward = over_keys(keys).orderBy(F.desc(date)).rowsBetween(*growing)
     v, pos = F.col(value), F.col("_pos")
     known = F.when(v.isNotNull(), F.struct(pos.alias("p"), v.alias("v")))
     numbered = df.withColumn("_pos", F.row_number().over(order))
-    framed = numbered.withColumns(
-        {
-            "_prev": F.last(known, ignorenulls=True).over(upto),
-            "_next": F.first(known, ignorenulls=True).over(onward),
-        }
+    framed = numbered.withColumn("_prev", F.last(known, ignorenulls=True).over(upto)).withColumn(
+        "_next", F.last(known, ignorenulls=True).over(onward)
     )
     prev, nxt = F.col("_prev"), F.col("_next")
     share = (pos - prev["p"]) / (nxt["p"] - prev["p"]).cast("double")
@@ -109,9 +111,32 @@ def interpolate_linear(
 def regular_series(
     df: DataFrame, value: str, *, keys: Sequence[str] = (), date: str = "date"
 ) -> DataFrame:
-    """Daily mean, every day present, gaps interpolated."""
-    daily = daily_mean(df, value, keys=keys, date=date)
-    return interpolate_linear(calendar_densify(daily, keys=keys, date=date), value, keys=keys, date=date)
+    """Daily mean, every day present, gaps interpolated, ends carried.
+
+    The same as densify and interpolate, in one pass over the known days: each
+    makes the days up to the next known day on the line between them.
+    """
+    daily = daily_mean(df, value, keys=keys, date=date).where(F.col(date).isNotNull())
+    series = over_keys(keys)
+    ends = daily.withColumns({"_first": F.min(date).over(series), "_end": F.max(date).over(series)})
+    known = ends.where(F.col(value).isNotNull())
+    order = series.orderBy(date)
+    linked = known.withColumns(
+        {
+            "_prev_date": F.lag(date).over(order),
+            "_next_date": F.lead(date).over(order),
+            "_next": F.lead(value).over(order),
+        }
+    )
+    start = F.when(F.col("_prev_date").isNull(), F.col("_first")).otherwise(F.col(date))
+    stop = F.coalesce(F.date_sub("_next_date", 1), F.col("_end"))
+    days = linked.withColumn("_day", F.explode(F.sequence(start, stop)))
+    share = F.date_diff("_day", date) / F.date_diff("_next_date", date).cast("double")
+    v = F.col(value)
+    line = F.when(
+        (F.col("_day") > F.col(date)) & F.col("_next").isNotNull(), v + (F.col("_next") - v) * share
+    ).otherwise(v)
+    return days.select(*keys, F.col("_day").alias(date), line.alias(value))
 
 
 def exog_align(
