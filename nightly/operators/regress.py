@@ -45,7 +45,8 @@ def _with_keys(pdf: pd.DataFrame, keys: Sequence[str], body: dict) -> pd.DataFra
     out = pd.DataFrame(body)
     for i, k in enumerate(keys):
         out.insert(i, k, pdf[k].iloc[0] if len(pdf) else None)
-    return out
+    # Columns without rows have no type of their own that Arrow could cast.
+    return out if len(out) else out.astype(object)
 
 
 def _ready(df: DataFrame, value: str, keys: Sequence[str], date: str) -> DataFrame:
@@ -159,7 +160,8 @@ def seasonal_arx_forecast(
     )
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date").set_index(pd.DatetimeIndex(pd.to_datetime(pdf["date"])))
+        pdf = pdf.sort_values("date")
+        pdf = pdf.set_index(pd.DatetimeIndex(pd.to_datetime(pdf["date"])))
         first_key = pdf.iloc[:1]
         daily = pdf[["y", *exog]].asfreq("D").ffill()
         daily = daily.loc[daily["y"].first_valid_index():] if daily["y"].notna().any() else daily.iloc[:0]
