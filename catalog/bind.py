@@ -12,6 +12,7 @@ from nightly.functions.time import to_utc_wall
 from nightly.operators.canonical import normalize_sessions
 from nightly.operators.circadian import circadian_features
 from nightly.operators.series import daily_mean
+from nightly.operators.skew import Spread, spread
 from nightly.session import scratch_path
 from nightly.sources.text import late_screen_rollup
 
@@ -102,8 +103,13 @@ def nights(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def user_spread(spark: SparkSession, sf: str) -> Spread:
+    """Rows per user, counted on the raw sessions, where it costs one narrow column."""
+    return spread(sessions(spark, sf), ["user_id"])
+
+
 def circadian(spark: SparkSession, sf: str) -> DataFrame:
-    return circadian_features(normalized(spark, sf))
+    return circadian_features(normalized(spark, sf), found=user_spread(spark, sf))
 
 
 def _user_day(e: DataFrame) -> list:

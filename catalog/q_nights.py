@@ -75,7 +75,7 @@ W30 = "WINDOW w AS (PARTITION BY user_id ORDER BY date, start_ts, id ROWS BETWEE
 )
 def feature_store(spark, sf):
     """The flagship: sessions, four signals and the personal baselines."""
-    store = fuse.feature_store(bind.nights(spark, sf), bind.signals(spark, sf), extra=["id"])
+    store = fuse.feature_store(bind.nights(spark, sf), bind.signals(spark, sf), extra=["id"], found=bind.user_spread(spark, sf))
     return plain(store)
 
 
@@ -83,7 +83,8 @@ def feature_store(spark, sf):
 def personal_baselines(spark, sf):
     n = bind.nights(spark, sf).select("id", "user_id", "date", "start_ts", "sleep_hours", "efficiency")
     done = baselines.personal_baselines(
-        n, order=["date", "start_ts", "id"], columns=["sleep_hours", "efficiency", "hrv_rmssd"]
+        n, order=["date", "start_ts", "id"], columns=["sleep_hours", "efficiency", "hrv_rmssd"],
+        found=bind.user_spread(spark, sf),
     )
     return plain(done.drop("start_ts", "sleep_hours", "efficiency"))
 
@@ -94,17 +95,17 @@ DEBT = ["sleep_debt_roll7", "sleep_debt_roll14"]
 
 @query(f"SELECT id, {', '.join(r6(c, c) for c in ROLL)} FROM circ")
 def rolling_means(spark, sf):
-    return plain(circadian.rolling_means(bind.normalized(spark, sf)).select("id", *ROLL))
+    return plain(circadian.rolling_means(bind.normalized(spark, sf), found=bind.user_spread(spark, sf)).select("id", *ROLL))
 
 
 @query(f"SELECT id, {', '.join(r6(c, c) for c in DEBT)} FROM circ")
 def sleep_debt(spark, sf):
-    return plain(circadian.sleep_debt(bind.normalized(spark, sf)).select("id", *DEBT))
+    return plain(circadian.sleep_debt(bind.normalized(spark, sf), found=bind.user_spread(spark, sf)).select("id", *DEBT))
 
 
 @query(f"SELECT id, {r6('midpoint_hour_local', 'midpoint_hour_local')}, {r6('social_jetlag', 'social_jetlag')} FROM circ")
 def social_jetlag(spark, sf):
-    done = circadian.social_jetlag(bind.normalized(spark, sf))
+    done = circadian.social_jetlag(bind.normalized(spark, sf), found=bind.user_spread(spark, sf))
     return plain(done.select("id", "midpoint_hour_local", "social_jetlag"))
 
 
@@ -128,7 +129,10 @@ def circadian_features(spark, sf):
             FROM (SELECT *, sleep_hours BETWEEN 7 AND 9 AS good FROM nights)) GROUP BY 1, 2) GROUP BY 1"""
 )
 def healthy_streak(spark, sf):
-    return plain(series.healthy_streak(bind.nights(spark, sf), keys=["user_id"], order=["start_ts", "id"]))
+    done = series.healthy_streak(
+        bind.nights(spark, sf), keys=["user_id"], order=["start_ts", "id"], found=bind.user_spread(spark, sf)
+    )
+    return plain(done)
 
 
 @query(

@@ -156,13 +156,19 @@ def _rolled(spark, sf):
     return made.withColumns({"model": F.lit("rolling_mean"), "target": F.lit("sleep_hours")})
 
 
+def _kept_residuals(spark, sf):
+    """Residuals written once: the detectors read them several times."""
+    made = detect.residuals(_rolled(spark, sf)).select("user_id", "date", "model", "residual")
+    return materialize(made, "residuals")
+
+
 @query(
     f"""SELECT user_id, date, {r6('residual', 'residual')}, abs(residual - mu) >= 3 * sd AND sd > 0 AS is_anomaly,
         'zscore' AS method, 3.0::DOUBLE AS threshold
         FROM (SELECT *, avg(residual) OVER () AS mu, stddev_pop(residual) OVER () AS sd FROM ({UF}))"""
 )
 def anomalies_zscore(spark, sf):
-    made = detect.residuals(_rolled(spark, sf)).select("user_id", "date", "model", "residual")
+    made = _kept_residuals(spark, sf)
     return plain(detect.anomalies_zscore(made, keys=["model"]).drop("model"))
 
 
@@ -174,7 +180,7 @@ def anomalies_zscore(spark, sf):
                             FROM ({UF}) GROUP BY 1) q ON q.model = r.model"""
 )
 def anomalies_iqr(spark, sf):
-    made = detect.residuals(_rolled(spark, sf)).select("user_id", "date", "model", "residual")
+    made = _kept_residuals(spark, sf)
     return plain(detect.anomalies_iqr(made, keys=["model"], threshold=1.5).drop("model"))
 
 

@@ -11,9 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F, Window as W
+from pyspark.sql import DataFrame, functions as F
 
 from nightly.functions.frame import as_double, attach_stats
+from nightly.operators.skew import running_totals
+from nightly.session import materialize
 
 ACCURACY = 50_000
 # The sketch is off by at most n/ACCURACY ranks on either side.
@@ -58,11 +60,11 @@ def exact_quantiles(
         .groupBy(*keys, "_slot", "_v")
         .agg(F.count(F.lit(1)).alias("_c"), F.max("_n").alias("_n"))
     )
-    # Within a slot the block of rows outside the brackets comes last.
-    series = W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))
-    series = series.orderBy("_slot", F.col("_v").asc_nulls_last())
-    ranked = tally.withColumn(
-        "_end", F.sum("_c").over(series.rowsBetween(W.unboundedPreceding, 0))
+    # Within a slot the block of rows outside the brackets comes last. The tally is
+    # far smaller than the rows; should a group of it still be large, the running
+    # totals are taken in chunks.
+    ranked = running_totals(
+        materialize(tally, "tally"), {"_end": F.col("_c")}, keys=keys, order=["_slot", "_v"]
     ).withColumn("_start", F.col("_end") - F.col("_c"))
 
     def at_rank(rank):

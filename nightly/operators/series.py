@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F, Window as W
 
 from nightly.functions.frame import as_double, attach_stats, numeric_columns, over_keys
 from nightly.functions.time import utc_wall
-from nightly.operators.skew import row_windows, running_totals
+from nightly.operators.skew import MAX_ROWS, Spread, row_windows, running_totals
 
 HEALTHY_HOURS = (7.0, 9.0)
 # Two-sided 95 % quantile of the standard normal distribution.
@@ -171,7 +171,7 @@ def acf(
     *,
     keys: Sequence[str] = (),
     order: Sequence[str] = ("date",),
-    max_rows: int | None = None,
+    max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """Autocorrelation up to min(lags, n-1) with the Bartlett band.
 
@@ -182,14 +182,13 @@ def acf(
     ready = df.select(*keys, *order, as_double(df, value).alias("_v")).where(F.col("_v").isNotNull())
     stats = ready.groupBy(*keys).agg(F.avg("_v").alias("_mu"), F.count("_v").alias("_n"))
     centred = attach_stats(ready, stats, keys).withColumn("_d", F.col("_v") - F.col("_mu"))
-    options = {} if max_rows is None else {"max_rows": max_rows}
     shifted = row_windows(
         centred,
         lambda w: [F.lag("_d", k).over(w).alias(f"_l{k}") for k in range(1, lags + 1)],
         keys=keys,
         order=order,
         lookback=lags,
-        **options,
+        max_rows=max_rows,
     )
     products = [F.sum(F.col("_d") * F.col("_d")).alias("_s0")] + [
         F.coalesce(F.sum(F.col("_d") * F.col(f"_l{k}")), F.lit(0.0)).alias(f"_s{k}")
@@ -221,7 +220,8 @@ def healthy_streak(
     order: Sequence[str] = ("date",),
     bounds: tuple[float, float] = HEALTHY_HOURS,
     calendar: bool = False,
-    max_rows: int | None = None,
+    found: Spread | None = None,
+    max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """Length of the longest run of consecutive rows within the bounds, 0 if none.
 
@@ -234,10 +234,8 @@ def healthy_streak(
         df = calendar_densify(df, keys=keys, date=order[0])
     good = F.coalesce(F.col(value).between(*bounds), F.lit(False))
     flagged = df.select(*keys, *order, good.alias("_good"))
-    options = {} if max_rows is None else {"max_rows": max_rows}
-    runs = running_totals(
-        flagged, {"_run": (~F.col("_good")).cast("long")}, keys=keys, order=order, **options
-    )
+    breaks = {"_run": (~F.col("_good")).cast("long")}
+    runs = running_totals(flagged, breaks, keys=keys, order=order, found=found, max_rows=max_rows)
     lengths = runs.groupBy(*keys, "_run").agg(F.count_if("_good").alias("_len"))
     return lengths.groupBy(*keys).agg(F.max("_len").alias("best_streak"))
 
