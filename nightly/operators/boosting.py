@@ -8,30 +8,15 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, functions as F
 
-from nightly.functions.frame import ID_COLUMNS, as_double, numeric_columns
+from nightly.functions.frame import as_double
 from nightly.operators.forecast import (
     BACKTEST_WINDOW,
     HORIZON,
     backtest_split,
+    feature_columns,
     register_forecaster,
 )
 
-# Columns computed from the night that is to be predicted.
-SAME_NIGHT = (
-    "duration_min", "sleep_hours", "sleep_hours_roll7", "sleep_hours_roll14",
-    "sleep_debt_roll7", "sleep_debt_roll14", "duration_zscore", "is_outlier_duration",
-    "duration_was_clipped", "midpoint_hour_local", "social_jetlag",
-)
-
-
-def feature_columns(df: DataFrame, target: str, *, keys: Sequence[str] = (), leaky: bool = False) -> list[str]:
-    """Numeric columns without ids, the target and (unless ``leaky``) same-night derivatives."""
-    skip = {*ID_COLUMNS, *keys, target}
-    if not leaky:
-        skip |= set(SAME_NIGHT)
-    return numeric_columns(df, exclude=skip)
-
-
 def gbt_fit(
     df: DataFrame,
     target: str,

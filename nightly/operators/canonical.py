@@ -207,7 +207,9 @@ def validate(df: DataFrame) -> int:
     return counts["rows"]
 
 
-def drop_repeats(df: DataFrame, keys: Sequence[str] = ("id",), latest: str | None = None) -> DataFrame:
+def drop_repeats(
+    df: DataFrame, keys: Sequence[str] = ("id",), latest: str | Column | None = None
+) -> DataFrame:
     """One row per key: the one with the greatest ``latest``, as a two-phase aggregate.
 
     For nights that several ingest runs wrote again.
@@ -215,5 +217,5 @@ def drop_repeats(df: DataFrame, keys: Sequence[str] = ("id",), latest: str | Non
     if latest is None:
         return df.dropDuplicates(list(keys))
     row = F.struct(*df.columns)
-    kept = df.groupBy(*keys).agg(F.max_by(row, F.col(latest)).alias("_row"))
+    kept = df.groupBy(*keys).agg(F.max_by(row, latest).alias("_row"))
     return kept.select("_row.*")

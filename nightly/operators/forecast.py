@@ -6,7 +6,13 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from nightly.functions.frame import as_double, over_keys, safe_ratio
+from nightly.functions.frame import (
+    ID_COLUMNS,
+    as_double,
+    numeric_columns,
+    over_keys,
+    safe_ratio,
+)
 
 HORIZON = 7
 BACKTEST_WINDOW = 30
@@ -25,6 +31,24 @@ def register_forecaster(name: str, fn: Forecaster) -> None:
     FORECASTERS[name] = fn
 
 
+# Columns computed from the night that is to be predicted.
+SAME_NIGHT = (
+    "duration_min", "sleep_hours", "sleep_hours_roll7", "sleep_hours_roll14",
+    "sleep_debt_roll7", "sleep_debt_roll14", "duration_zscore", "is_outlier_duration",
+    "duration_was_clipped", "midpoint_hour_local", "social_jetlag",
+)
+
+
+def feature_columns(
+    df: DataFrame, target: str, *, keys: Sequence[str] = (), leaky: bool = False
+) -> list[str]:
+    """Numeric columns without ids, the target and (unless ``leaky``) same-night derivatives."""
+    skip = {*ID_COLUMNS, *keys, target}
+    if not leaky:
+        skip |= set(SAME_NIGHT)
+    return numeric_columns(df, exclude=skip)
+
+
 def backtest_split(
     df: DataFrame,
     *,

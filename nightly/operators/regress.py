@@ -14,7 +14,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from nightly.functions.frame import as_double
-from nightly.operators.forecast import BACKTEST_WINDOW, HORIZON, register_forecaster
+from nightly.operators.forecast import (
+    BACKTEST_WINDOW,
+    HORIZON,
+    feature_columns,
+    register_forecaster,
+)
 
 SEASON = 7
 
@@ -134,7 +139,7 @@ def seasonal_arx_forecast(
     date: str = "date",
     horizon: int = HORIZON,
     backtest_window: int | None = BACKTEST_WINDOW,
-    exog: Sequence[str] = (),
+    exog: Sequence[str] | None = (),
     lags: int = 1,
     season: int = SEASON,
     z: float = 1.959963984540054,
@@ -145,9 +150,11 @@ def seasonal_arx_forecast(
     ``lags`` values and the weekly differences of the features. The test days are
     forecast recursively with their known features; the band widens with the step
     by the autoregressive weights. Too short or unsolvable series get the training
-    mean with a band of 0.5.
+    mean with a band of 0.5. ``exog=None`` takes every numeric column that is not
+    derived from the same night.
     """
-    keys, exog = list(keys), list(exog)
+    keys = list(keys)
+    exog = feature_columns(df, target, keys=keys) if exog is None else list(exog)
     schema = _schema(
         df, keys, "date date, prediction double, lower double, upper double, actual double"
     )

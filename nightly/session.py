@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -41,16 +42,23 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@functools.cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="nightly-")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset,
-    as in a local test, a folder of this machine is used.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset a local
+    session uses a folder of this machine; on a cluster other machines could not
+    read that, so there it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="nightly-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        root = _local_root()
     return f"{root.rstrip('/')}/nightly/{spark.sparkContext.applicationId}"
 
 

@@ -34,7 +34,7 @@ def scan_curated(
     if run_date is not None:
         df = df.where(F.col("run_date") == F.lit(run_date))
     if dedupe:
-        df = drop_repeats(df, ["id"], "run_id")
+        df = drop_repeats(df, ["id"], F.struct("run_date", "run_id"))
     return df
 
 

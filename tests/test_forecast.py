@@ -110,6 +110,8 @@ def test_seasonal_arx_uses_features_and_widens_its_band(spark):
     df = daily(spark, y).join(daily(spark, x).withColumnRenamed("v", "x"), "date")
     with_x = regress.seasonal_arx_forecast(df, "v", exog=["x"]).orderBy("date").collect()
     without = regress.seasonal_arx_forecast(df, "v").collect()
+    every = regress.seasonal_arx_forecast(df, "v", exog=None).orderBy("date").collect()
+    assert [r.prediction for r in every] == [r.prediction for r in with_x]
     error = lambda rows: np.mean([abs(r.prediction - r.actual) for r in rows])
     assert error(with_x) < 0.1 < error(without)
     widths = [r.upper - r.lower for r in with_x]

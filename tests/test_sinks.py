@@ -46,7 +46,11 @@ def test_curated_runs_and_pointer(spark, folder):
     assert "PartitionFilters: [isnotnull(run_date" in pruned._jdf.queryExecution().executedPlan().toString()
     kept = files.scan_curated(spark, out, dedupe=True)
     assert sorted(r.id for r in kept.collect()) == ["a", "b"]
-    assert files.list_runs(spark, out) == ["run_date=2024-01-01", "run_date=2024-01-02"]
+    # A later day wins over a later time of day.
+    writers.write_curated(df.withColumn("source", F.lit("again")), out, now=utc(2024, 1, 3, 2))
+    latest = files.scan_curated(spark, out, dedupe=True)
+    assert {r.source for r in latest.collect()} == {"again"}
+    assert files.list_runs(spark, out) == [f"run_date=2024-01-0{d}" for d in (1, 2, 3)]
 
 
 def test_pointer_does_not_move_when_the_write_fails(spark, folder):
