@@ -17,11 +17,11 @@ from nightly.functions.frame import (
 from nightly.functions.time import is_weekend, known_zone, normalize_instants, to_utc_wall
 from nightly.schema import SLEEP_COLUMNS
 
-# Bounds of a plausible session in minutes.
+# Bounds of a plausible session in minutes, outlier limit.
 DURATION_BOUNDS = (120.0, 720.0)
 OUTLIER_Z = 3.0
 
-# Vendor column -> canonical column.
+# Vendor column -> canonical column.
 VENDOR_SPECS: dict[str, dict[str, str]] = {
     "oura": {
         "sleep_id": "id",

@@ -7,9 +7,10 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+# Hashes depend on them.
 SALT_ENV = "SPS_SALT"
 DEFAULT_SALT = "sleep-pattern-salt"
-# A column is sensitive if its name contains one of these.
+# A column is sensitive if its name contains one of these.
 SENSITIVE_PARTS = ("name", "email", "id")
 EXEMPT = ("user_id", "source")
 HASH_CHARS = 16
