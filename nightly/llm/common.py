@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -52,7 +54,43 @@ def put_file(uri: str, tmp: str, name: str, parts: list[bytes]) -> None:
     """Write under a temporary name and rename, so that readers and repeated attempts see whole files only."""
     fs, folder = filesystem(uri)
     fs.create_dir(folder, recursive=True)
-    with fs.open_output_stream(f"{folder}/{tmp}") as out:
+    with fs.open_output_stream(f"{folder}/{tmp}", compression=None) as out:
         for part in parts:
             out.write(part)
     fs.move(f"{folder}/{tmp}", f"{folder}/{name}")
+
+
+def range_bounds(df: DataFrame, key: str, size: Column, shard_bytes: int, per_shard: int = 64) -> list[int]:
+    """Upper keys of all ranges but the last, a function of the table alone.
+
+    Keys are taken by hash, about ``per_shard`` for every ``shard_bytes`` of content, so ranges differ little in size and
+    the same table is cut alike on every run. A range of one key is not cut further.
+    """
+    size = F.coalesce(size, F.lit(0)).cast("long") + 64
+    total = df.agg(F.count(key).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()
+    shards = -(-total["b"] // shard_bytes)
+    if shards < 2:
+        return []
+    share = min(1.0, shards * per_shard / max(1, total["n"]))
+    chance = F.shiftrightunsigned(F.xxhash64(key), 33) / float(1 << 31)
+    got = df.where(F.col(key).isNotNull() & (chance < share)).select(F.col(key).alias("k"), size.alias("b")).toPandas()
+    if got.empty:
+        return []
+    got = got.sort_values(["k", "b"])
+    at = got["b"].cumsum().to_numpy()
+    cuts = np.searchsorted(at, at[-1] * np.arange(1, shards) / shards)
+    return sorted({int(x) for x in got["k"].to_numpy()[cuts]})
+
+
+def range_of(key: str, bounds: list[int]) -> Column:
+    """Number of the range a key falls in; NULL keys are in the first."""
+    edges = np.array(bounds, dtype=np.int64)
+
+    @F.pandas_udf("int")
+    def of(keys: pd.Series) -> pd.Series:
+        known = keys.notna().to_numpy()
+        out = np.zeros(len(keys), np.int32)
+        out[known] = np.searchsorted(edges, keys[known].astype("int64").to_numpy())
+        return pd.Series(out)
+
+    return of(key)

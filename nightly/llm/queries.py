@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from nightly.llm import language, quality, toxicity  # noqa: F401
+from nightly.llm import language, quality, token_files, toxicity, warc  # noqa: F401
 from nightly.llm.common import ORACLES, QUERIES  # noqa: F401
