@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from nightly.llm import language, mixing, quality, substrings, token_files, toxicity, warc  # noqa: F401
+from nightly.llm import jaccard, language, mixing, quality, substrings, token_files, toxicity, warc  # noqa: F401
 from nightly.llm.common import ORACLES, QUERIES  # noqa: F401
