@@ -1,4 +1,4 @@
-"""N-gram Jaccard join by a token-group matrix: all links with 100 * intersection >= 85 * union, exactly.
+"""N-gram Jaccard join by a token-group matrix: all links with 100 * intersection >= percent * union, exactly.
 
 Equal sets are one node. Tokens (hashes of 4-word shingles) have one global order, tokens of many documents last. Two
 linked sets share a token among the first few of both (prefix filter), so a matrix of those tokens against groups is
@@ -31,7 +31,7 @@ from nightly.llm.common import query, table
 from nightly.llm.components import components
 from nightly.session import materialize
 
-SHINGLE = 4
+SHINGLE, SIMILARITY = 4, 85
 HOT_TOKENS = 200_000
 _CHUNK = 1 << 22  # tokens counted at once
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -54,14 +54,14 @@ def shingles(text: str | None, k: int = SHINGLE) -> np.ndarray:
     return np.unique(g ^ g >> np.uint64(29))
 
 
-def least_overlap(a, b):
-    """Smallest intersection of linked sets of these sizes: 100 i >= 85 (a + b - i)."""
-    return (17 * (a + b) + 36) // 37
+def least_overlap(a: int, b: int, percent: int = SIMILARITY) -> int:
+    """Smallest intersection of linked sets of these sizes: 100 i >= percent (a + b - i)."""
+    return -(-percent * (a + b) // (100 + percent))
 
 
-def prefix_lengths(n: int) -> tuple[int, int]:
-    """First tokens that must hold a common one: of the larger set of a pair, and of the smaller."""
-    return n - least_overlap(n, -(-17 * n // 20)) + 1, n - least_overlap(n, n) + 1
+def prefix_length(n: int, percent: int = SIMILARITY) -> int:
+    """A set and any smaller or equal one it is linked with share one of so many first tokens of it."""
+    return n - least_overlap(n, -(-percent * n // 100), percent) + 1
 
 
 def _long(x: np.ndarray) -> pa.Array:
@@ -110,7 +110,7 @@ def hot_tokens(described: DataFrame, least: int = 32) -> np.ndarray:
     return np.sort(counts.orderBy(F.desc("n"), "d1").limit(HOT_TOKENS).toPandas()["d1"].to_numpy(dtype=np.int64).view(np.uint64))
 
 
-def prefixes(docs: DataFrame, hot: np.ndarray, k: int = SHINGLE) -> DataFrame:
+def prefixes(docs: DataFrame, hot: np.ndarray, k: int = SHINGLE, percent: int = SIMILARITY) -> DataFrame:
     """Per document: set size, number of rare tokens, and its first tokens in the global order."""
     shared = docs.sparkSession.sparkContext.broadcast(hot)
 
@@ -125,7 +125,7 @@ def prefixes(docs: DataFrame, hot: np.ndarray, k: int = SHINGLE) -> DataFrame:
                     often = hot[np.minimum(np.searchsorted(hot, s), len(hot) - 1)] == s
                 size.append(len(s))
                 rare.append(len(s) - int(often.sum()))
-                tokens.append(np.concatenate([s[~often], s[often]])[: prefix_lengths(len(s))[0]] if len(s) else s)
+                tokens.append(np.concatenate([s[~often], s[often]])[: prefix_length(len(s), percent)] if len(s) else s)
             ends = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int32)
             flat = _long(np.concatenate(tokens)) if tokens else pa.array([], pa.int64())
             yield pa.record_batch({"doc_id": batch["doc_id"], "tag": batch["tag"], "n": pa.array(size, pa.int32()), "rare": pa.array(rare, pa.int32()), "tokens": pa.ListArray.from_arrays(pa.array(ends), flat)})
@@ -133,20 +133,20 @@ def prefixes(docs: DataFrame, hot: np.ndarray, k: int = SHINGLE) -> DataFrame:
     return docs.select("doc_id", "tag", "text").mapInArrow(cut, "doc_id long, tag int, n int, rare int, tokens array<long>")
 
 
-def _overlap(a, b) -> Column:
-    return F.floor((F.lit(17) * (a + b) + 36) / 37)
+def _overlap(a: Column, b: Column, percent: int) -> Column:
+    return F.ceil((a + b) * percent / (100 + percent) - F.lit(1e-9))
 
 
-def _may_link(x: str, y: str) -> Column:
+def _may_link(x: str, y: str, percent: int) -> Column:
     """Bound on two sets that meet in a token: sizes fit, the token stands early enough, and enough is left behind it."""
     n, m, i, j = (F.col(c) for c in (f"{x}.n", f"{y}.n", f"{x}.pos", f"{y}.pos"))
     low, high = F.least(n, m), F.greatest(n, m)
     small_pos = F.when(n < m, i).when(m < n, j).otherwise(F.least(i, j))
-    early = small_pos < low - _overlap(low, low) + 1
-    return (20 * low >= 17 * high) & early & (F.least(n - i, m - j) >= _overlap(n, m))
+    early = small_pos < low - _overlap(low, low, percent) + 1
+    return (100 * low >= percent * high) & early & (F.least(n - i, m - j) >= _overlap(n, m, percent))
 
 
-def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def verify(pairs: DataFrame, sets: DataFrame, percent: int = SIMILARITY) -> DataFrame:
     """The pairs (a, b) whose whole sets reach the threshold."""
 
     @F.pandas_udf("boolean")
@@ -157,15 +157,15 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             if len(a) > len(b):
                 a, b = b, a
             at = np.minimum(np.searchsorted(b, a), len(b) - 1)
-            out.append(int((b[at] == a).sum()) >= least_overlap(len(a), len(b)))
+            out.append(int((b[at] == a).sum()) >= least_overlap(len(a), len(b), percent))
         return pd.Series(out, dtype=bool)
 
     left = pairs.join(sets.withColumnsRenamed({"node": "a", "set": "_x"}), "a")
     return left.join(sets.withColumnsRenamed({"node": "b", "set": "_y"}), "b").where(linked("_x", "_y")).select("a", "b")
 
 
-def join_similar(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of ``docs``.
+def join_similar(docs: DataFrame, k: int = SHINGLE, percent: int = SIMILARITY) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row of ``docs``; links have a Jaccard similarity of ``percent``.
 
     NULL, empty and blank texts have no shingles and stand alone. Rows without doc_id are linked with nothing and have a
     NULL component. Repeated rows are one node; different texts under one doc_id are nodes of their own, with that id.
@@ -178,18 +178,18 @@ def join_similar(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     classes = named.groupBy("d1", "d2", "n").agg(F.min(F.struct("doc_id", "tag")).alias("node"))
     classes = materialize(classes, "join-classes")
 
-    first = prefixes(docs.where("doc_id is not null"), hot_tokens(described), k)
+    first = prefixes(docs.where("doc_id is not null"), hot_tokens(described), k, percent)
     first = first.withColumn("node", F.struct("doc_id", "tag")).drop("doc_id", "tag").join(classes.select("node"), "node")
     posts = materialize(first.select("node", "n", "rare", F.posexplode("tokens").alias("pos", "token")), "join-tokens")
     entry = F.struct("rare", "node", "n", "pos")
     lead = posts.groupBy("token").agg(F.min(entry).alias("l"), F.count("*").alias("_c")).where("_c > 1").drop("_c")
     met = materialize(posts.join(materialize(lead, "join-leaders"), "token"), "join-met")
 
-    stars = met.withColumn("x", F.struct("n", "pos")).where((F.col("node") != F.col("l.node")) & _may_link("x", "l"))
+    stars = met.withColumn("x", F.struct("n", "pos")).where((F.col("node") != F.col("l.node")) & _may_link("x", "l", percent))
     stars = materialize(stars.select(F.col("node").alias("a"), F.col("l.node").alias("b")).distinct(), "join-stars")
     wanted = materialize(met.select("node").distinct(), "join-wanted")
     sets = _sets(docs, wanted, k)
-    links = materialize(verify(stars, sets), "join-links")
+    links = materialize(verify(stars, sets, percent), "join-links")
     group = components(links)
 
     member = met.join(group.withColumnRenamed("label", "group"), "node", "left").select(
@@ -202,17 +202,17 @@ def join_similar(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     several = matrix.groupBy("token").agg(F.min("group").alias("_a"), F.max("group").alias("_b")).where("_a < _b").select("token")
     matrix = materialize(matrix.join(materialize(several, "join-several"), "token"), "join-matrix")
     x, y = matrix.alias("x"), matrix.alias("y")
-    reach = F.least(F.col("x.left"), F.col("y.left")) >= _overlap(F.col("x.small"), F.col("y.small"))
-    fits = (20 * F.col("y.large") >= 17 * F.col("x.small")) & (20 * F.col("x.large") >= 17 * F.col("y.small"))
+    reach = F.least(F.col("x.left"), F.col("y.left")) >= _overlap(F.col("x.small"), F.col("y.small"), percent)
+    fits = (100 * F.col("y.large") >= percent * F.col("x.small")) & (100 * F.col("x.large") >= percent * F.col("y.small"))
     opened = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.group") < F.col("y.group")) & reach & fits)
     opened = materialize(opened.select(F.col("x.token").alias("token"), F.col("x.group").alias("g"), F.col("y.group").alias("h")), "join-opened")
     x = member.alias("x").join(opened, (F.col("x.token") == opened["token"]) & (F.col("x.group") == F.col("g"))).select(
         F.struct("x.node", "x.n", "x.pos").alias("x"), opened["token"].alias("token"), "h"
     )
     y = member.alias("m").select(F.struct("m.node", "m.n", "m.pos").alias("y"), F.col("m.token").alias("_t"), F.col("m.group").alias("_h"))
-    pairs = x.join(y, (F.col("token") == F.col("_t")) & (F.col("h") == F.col("_h")) & _may_link("x", "y"))
+    pairs = x.join(y, (F.col("token") == F.col("_t")) & (F.col("h") == F.col("_h")) & _may_link("x", "y", percent))
     pairs = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    links = links.unionAll(materialize(verify(materialize(pairs, "join-pairs"), sets), "join-links"))
+    links = links.unionAll(materialize(verify(materialize(pairs, "join-pairs"), sets, percent), "join-links"))
     found = components(links).select("node", F.col("label.doc_id").alias("_low"))
 
     known = rows.join(classes, ["d1", "d2", "n"], "left").join(found, "node", "left")

@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-from nightly.llm import jaccard, language, mixing, quality, substrings, token_files, toxicity, warc  # noqa: F401
+from nightly.llm import (  # noqa: F401
+    decontaminate, fingerprints, jaccard, language, mixing, quality, substrings, token_files, toxicity, warc,
+)
 from nightly.llm.common import ORACLES, QUERIES  # noqa: F401
