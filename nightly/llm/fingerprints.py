@@ -28,7 +28,7 @@ def winnow(text: str = "text", k: int = K, w: int = W) -> Column:
     A text with fewer than ``k`` words has one gram of all its words; one with fewer than ``w`` grams keeps their smallest.
     NULL, empty and blank texts have an empty array.
     """
-    words = f"filter(split({text}, '[\\\\x20\\\\x09-\\\\x0D]+'), x -> length(x) > 0)"
+    words = f"filter(split(coalesce({text}, ''), '[\\\\x20\\\\x09-\\\\x0D]+'), x -> length(x) > 0)"
     hashes = f"transform({words}, x -> xxhash64(x))"
     gram = ", ".join(["h[i]", *(f"get(h, i + {j})" for j in range(1, k))])
     grams = _bind("h", hashes, f"if(size(h) = 0, array(), transform(sequence(0, greatest(size(h) - {k}, 0)), i -> shiftleft(xxhash64({gram}) & 2147483647, 32) - i))")
