@@ -36,7 +36,8 @@ MAGIC = b"FRVB0001"
 MANIFEST = "MANIFEST.json"
 END_ID = 0
 _HEAD = np.dtype("<u8")
-_MEMO = 1_200_000  # distinct pre-tokens a worker keeps
+_MEMO = 1_000_000  # distinct pre-tokens a worker keeps
+_ROWS = 256  # rows encoded at once
 _PIECE = 1 << 18  # code points per piece of a long text
 _GROUP = 1 << 20  # code points worked on at once
 
@@ -195,6 +196,12 @@ def _encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, _ROWS):
+            yield batch.slice(at, _ROWS)
+
+
 def ranks_by_frequency(docs: DataFrame, path: str) -> np.ndarray:
     """All ids by falling count over the whole corpus, ties by id; unused ids at the end. Bounded by the vocabulary."""
 
@@ -202,7 +209,7 @@ def ranks_by_frequency(docs: DataFrame, path: str) -> np.ndarray:
         encoder = _encoder(path)
         size = max(encoder.tokenizer.get_vocab_size(), END_ID + 1)
         n = np.zeros(size, np.int64)
-        for batch in batches:
+        for batch in _small(batches):
             texts = batch["text"].to_pylist()
             n += np.bincount(encoder.encode(texts)[0], minlength=size)
             n[END_ID] += len(texts)
@@ -271,7 +278,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, shard_bytes: int =
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
-        for batch in batches:
+        for batch in _small(batches):
             ids, sizes = encoder.encode(batch["text"].to_pylist())
             ends = np.cumsum(sizes)
             ranks = rank_of[np.insert(ids, ends, END_ID)]
