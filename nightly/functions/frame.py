@@ -1,4 +1,4 @@
-"""Plan-time helpers over column names and types. None of them runs a job."""
+"""Helpers over column names and types. Only keyed `attach_stats` runs a job: it writes its statistics."""
 
 from __future__ import annotations
 
@@ -54,6 +54,16 @@ def over_keys(keys: Sequence[str]) -> WindowSpec:
     return W.partitionBy(*[F.col(k) for k in keys]) if keys else W.partitionBy(F.lit(0))
 
 
+def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` with NULL as a key like any other; the keys of ``left`` stay."""
+    names = {k: f"_right_{i}" for i, k in enumerate(keys)}
+    other = right.withColumnsRenamed(names)
+    found = F.lit(True)
+    for k, name in names.items():
+        found = found & left[k].eqNullSafe(other[name])
+    return left.join(other, found, how).drop(*names.values())
+
+
 def attach_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add aggregate columns to every row.
 
@@ -63,7 +73,9 @@ def attach_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFr
     shuffled at all, above it the join shuffles and AQE splits large keys.
     """
     if keys:
-        return df.join(materialize(stats, "stats"), list(keys), "left")
+        return join_keys(df, materialize(stats, "stats"), keys, "left").select(
+            *keys, *[c for c in [*df.columns, *stats.columns] if c not in keys]
+        )
     row = stats.select(F.struct(*stats.columns).alias("s")).scalar()
     named = df.withColumn("_stats", row)
     return named.select(*df.columns, *[F.col(f"_stats.{c}").alias(c) for c in stats.columns])

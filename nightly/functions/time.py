@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import zoneinfo
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 UTC = "UTC"
@@ -51,13 +52,21 @@ def wall_of(col: Column, dtype: T.DataType) -> Column:
     return col.try_cast("timestamp_ntz")
 
 
+@functools.cache
+def _zones() -> tuple[str, ...]:
+    """Zones both Python and the JVM know: a conversion to any other raises."""
+    jvm = SparkSession.active()._jvm
+    there = set(jvm.java.time.ZoneId.getAvailableZoneIds())
+    return tuple(sorted(zoneinfo.available_timezones() & there))
+
+
 def known_zone(tz: str) -> Column:
     """The zone in column ``tz`` (UTC where NULL) if it exists, else NULL.
 
     Spark raises on unknown zones, so they must not reach a conversion. The list
     becomes one hash-set test in the generated code.
     """
-    names = ", ".join(f"'{z}'" for z in sorted(zoneinfo.available_timezones()))
+    names = ", ".join(f"'{z}'" for z in _zones())
     return F.expr(f"IF(`{tz}` IS NULL, '{UTC}', IF(`{tz}` IN ({names}), `{tz}`, NULL))")
 
 
@@ -82,9 +91,10 @@ def local_to_utc(df: DataFrame, columns: Sequence[str], tz: str) -> DataFrame:
     The steps are columns of their own, so every conversion is evaluated once; a
     zone conversion costs more than all other work on a row. The usual time takes
     two of them, rows in UTC none: of a time that occurs twice Spark picks the
-    earlier instant, and a skipped time moves past the change, so the clock one
-    hour after the result tells whether a change is near. Only then the rarer
-    cases are looked at.
+    earlier instant, and a skipped time moves past the change, so the clock three
+    hours after the result tells whether a change is near (no zone of the time zone
+    database turned its clock by more, but for changes of the date line). Only then
+    the rarer cases are looked at.
     """
     zone = F.col("_zone")
     staged = df.withColumn("_zone", known_zone(tz))
@@ -93,7 +103,7 @@ def local_to_utc(df: DataFrame, columns: Sequence[str], tz: str) -> DataFrame:
     )
     staged = staged.withColumns(
         {
-            f"_near_{c}": _there(zone, _shift(F.col(f"_utc_{c}"), 60)) != _shift(F.col(c), 60)
+            f"_near_{c}": _there(zone, _shift(F.col(f"_utc_{c}"), 180)) != _shift(F.col(c), 180)
             for c in columns
         }
     )
@@ -116,9 +126,10 @@ def _near_change(local: Column, utc: Column, zone: Column) -> Column:
     gap = seconds_between(shown, local)
     into_gap = F.pmod(seconds_between(shown, F.expr(EPOCH)), gap)
     after_gap = _back(zone, shown - F.make_dt_interval(secs=into_gap.cast("decimal(18,6)")))
-    twice = F.lit(False)
-    for minutes in (30, 60):
-        twice = twice | (_there(zone, _shift(utc, minutes)) == local)
+    # The offset a day later tells the other instant a repeated time could name.
+    later = seconds_between(_there(zone, _shift(utc, 1440)), _shift(utc, 1440))
+    other = local - F.make_dt_interval(secs=later)
+    twice = (other != utc) & (_there(zone, other) == local)
     return F.when(gap > 0, after_gap).when(~twice, utc)
 
 
@@ -156,10 +167,25 @@ def normalize_instants(df: DataFrame, columns: Sequence[str], tz: str) -> DataFr
 
 
 def parse_wall(text: Column, formats: tuple[str, ...] = ()) -> Column:
-    """Text -> wall time: the first of ``formats`` that fits, else ISO, else NULL."""
+    """Text -> wall time: ISO, else the first of ``formats`` that fits, else NULL.
+
+    A UTC offset after a time of day is left out: the wall time stays as written.
+    """
+    trimmed = F.trim(text)
+    aware = trimmed.rlike(TIME_OF_DAY) & trimmed.rlike(OFFSET_PATTERN)
+    wall = F.when(aware, F.trim(F.regexp_replace(trimmed, OFFSET_PATTERN, "$1"))).otherwise(trimmed)
+    tries = [try_parse(wall, f) for f in formats]
+    return F.coalesce(wall.try_cast("timestamp_ntz"), *tries)
+
+
+def utc_offset(text: Column) -> Column:
+    """Seconds east of UTC that a text names behind its time of day, 0 without."""
     trimmed = F.trim(text)
-    tries = [try_parse(trimmed, f) for f in formats]
-    return F.coalesce(*tries, trimmed.try_cast("timestamp_ntz"))
+    sign = F.regexp_extract(trimmed, r"\d\s*([+-])(\d{2}):?(\d{2})?$", 1)
+    hours, minutes = (F.regexp_extract(trimmed, r"\d\s*([+-])(\d{2}):?(\d{2})?$", i) for i in (2, 3))
+    size = F.coalesce(hours.try_cast("int"), F.lit(0)) * 3600 + F.coalesce(minutes.try_cast("int"), F.lit(0)) * 60
+    seconds = F.when(sign == "-", -size).otherwise(size)
+    return F.when(trimmed.rlike(TIME_OF_DAY) & (sign != ""), seconds).otherwise(0).cast("decimal(18,6)")
 
 
 def try_parse(text: Column, fmt: str) -> Column:

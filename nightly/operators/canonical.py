@@ -144,10 +144,12 @@ def normalize_sessions(
     df: DataFrame,
     bounds: tuple[float, float] = DURATION_BOUNDS,
     zscore_keys: Sequence[str] = (),
+    drop_unknown: bool = True,
 ) -> DataFrame:
     """Canonical sessions -> normalised sessions.
 
     As statistics cover all rows, rows without a usable timestamp are dropped last.
+    ``drop_unknown=False`` keeps them, with NULL times, for the contract check.
     """
     named = df.withColumns(
         {
@@ -156,7 +158,8 @@ def normalize_sessions(
         }
     )
     resolved = weekend_flag(normalize_timestamps(clip_duration(named, bounds)))
-    return keep_known(zscore_duration(resolved, zscore_keys), ["start_ts", "end_ts"])
+    scored = zscore_duration(resolved, zscore_keys)
+    return keep_known(scored, ["start_ts", "end_ts"]) if drop_unknown else scored
 
 
 def contract_rules(df: DataFrame) -> dict[str, Column]:

@@ -43,9 +43,9 @@ def feature_columns(
     df: DataFrame, target: str, *, keys: Sequence[str] = (), leaky: bool = False
 ) -> list[str]:
     """Numeric columns without ids, the target and (unless ``leaky``) same-night derivatives."""
-    skip = {*ID_COLUMNS, *keys, target}
+    skip = {*ID_COLUMNS, *keys, target, "run_date", "run_id"}
     if not leaky:
-        skip |= set(SAME_NIGHT)
+        skip |= set(SAME_NIGHT) | {f"{target}_{of}" for of in ("baseline", "baseline_std", "zscore")}
     return numeric_columns(df, exclude=skip)
 
 

@@ -39,25 +39,25 @@ def feature_store(
     extra: Sequence[str] = (),
     window: int = WINDOW,
     found: Spread | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Sessions left-joined with every given signal, then the personal baselines.
 
-    While no user is large, all inputs are partitioned by user once: the joins
-    on (user, date) and the windows over the user reuse that. If there are large
-    users, the joins run on (user, date), where AQE splits a large partition,
-    and the windows work on chunks of the large users. Several sessions of one
-    day follow each other by start and id. ``extra`` names sleep columns to keep.
+    The joins run on (user, date), by which a daily aggregate is partitioned
+    already, so each input is shuffled once, and once more by user for the windows
+    (chunks of the large users, if there are any). AQE splits a large partition of
+    a join. Several sessions of one day follow each other by start and id. ``extra``
+    names sleep columns to keep; ``unique`` raises if a signal has two rows for one
+    user and day, which would repeat sessions (one job per signal).
     """
     order = ["date", *[c for c in ("start_ts", "id") if c in sleep.columns]]
     carried = [c for c in order[1:] if c not in extra]
     base = feature_base(sleep, [*extra, *carried])
     found = found or spread(base, ["user_id"])
-    together = found.hot is None and len(signals) > 0
-    if together:
-        base = base.repartition("user_id")
-    for signal in signals:
-        side = signal.repartition("user_id") if together else signal
-        base = fuse(base, side)
+    for i, signal in enumerate(signals):
+        if unique:
+            check_unique_signal_keys(signal, str(i))
+        base = fuse(base, signal)
     return personal_baselines(
         base, order=order, columns=BASELINE_COLUMNS, window=window, found=found
     ).drop(*carried)

@@ -223,7 +223,12 @@ def profile_summary(df: DataFrame) -> DataFrame:
 
 def missing_counts(df: DataFrame) -> DataFrame:
     """Missing values per column in one pass, as ``(column, missing)``."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
+    def missing(name: str):
+        gone = F.col(name).isNull()
+        real = isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType))
+        return gone | F.isnan(name) if real else gone
+
+    counts = df.agg(*[F.count_if(missing(c)).alias(c) for c in df.columns])
     pairs = F.array(
         *[F.struct(F.lit(c).alias("column"), F.col(c).alias("missing")) for c in df.columns]
     )
@@ -238,13 +243,20 @@ def describe_table(df: DataFrame) -> DataFrame:
     return profile_summary(df).unionByName(listed, allowMissingColumns=True)
 
 
+def _value_text(df: DataFrame, name: str):
+    """Value as text; NaN is missing and -0.0 is 0.0."""
+    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+        return (as_double(df, name) + F.lit(0.0)).cast("string")
+    return F.col(name).cast("string")
+
+
 def _long(df: DataFrame, columns: Sequence[str], text: bool) -> DataFrame:
     """``(column, value)``, one row per cell, within the scan."""
     cells = F.array(
         *[
             F.struct(
                 F.lit(c).alias("column"),
-                (F.col(c).cast("string") if text else as_double(df, c)).alias("value"),
+                (_value_text(df, c) if text else as_double(df, c)).alias("value"),
             )
             for c in columns
         ]

@@ -114,12 +114,16 @@ def regular_series(
     """Daily mean, every day present, gaps interpolated, ends carried.
 
     The same as densify and interpolate, in one pass over the known days: each
-    makes the days up to the next known day on the line between them.
+    makes the days up to the next known day on the line between them. A series
+    without a known value keeps its days, all NULL.
     """
     daily = daily_mean(df, value, keys=keys, date=date).where(F.col(date).isNotNull())
     series = over_keys(keys)
-    ends = daily.withColumns({"_first": F.min(date).over(series), "_end": F.max(date).over(series)})
-    known = ends.where(F.col(value).isNotNull())
+    ends = daily.withColumns(
+        {"_first": F.min(date).over(series), "_end": F.max(date).over(series), "_known": F.count(value).over(series)}
+    )
+    empty = (F.col("_known") == 0) & (F.col(date) == F.col("_first"))
+    known = ends.where(F.col(value).isNotNull() | empty)
     order = series.orderBy(date)
     linked = known.withColumns(
         {

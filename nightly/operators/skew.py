@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 from pyspark.sql.window import WindowSpec
 
-from nightly.functions.frame import over_keys
+from nightly.functions.frame import join_keys, over_keys
 from nightly.session import materialize
 
 MAX_ROWS = 2_000_000
@@ -40,7 +40,10 @@ class Spread:
     def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Rows of ordinary keys and rows of large keys."""
         table = F.broadcast(self.hot.select(*self.keys))
-        return df.join(table, list(self.keys), "left_anti"), df.join(table, list(self.keys), "left_semi")
+        same = F.lit(True)  # NULL is a key like any other
+        for k in self.keys:
+            same = same & df[k].eqNullSafe(table[k])
+        return df.join(table, same, "left_anti"), df.join(table, same, "left_semi")
 
 
 def spread(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_ROWS) -> Spread:
@@ -51,7 +54,7 @@ def spread(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_ROWS) -> Spre
     limit = max(max_rows, (total or 0) // MAX_HOT_KEYS)
     if (largest or 0) <= limit:
         return Spread(keys, total or 0, limit, None)
-    return Spread(keys, total, limit, counts.where(F.col("_n") > limit))
+    return Spread(keys, total, limit, materialize(counts.where(F.col("_n") > limit), "large-keys"))
 
 
 def _nulls_last(order: Sequence[str]) -> list[Column]:
@@ -121,17 +124,18 @@ def row_windows(
     table = _chunk_table(chunks, keys, {})
 
     # The last rows of a chunk, each with its distance to the end of the chunk.
-    tails = (
-        chunks.withColumn("_pos", F.row_number().over(part) - 1)
-        .join(F.broadcast(table), [*keys, "_chunk"])
-        .where(F.col("_rows") - F.col("_pos") <= lookback)
-        .withColumn("_at", F.col("_offset") + F.col("_pos"))
-    )
-    later = table.select(*keys, F.col("_chunk").alias("_to"), F.col("_offset").alias("_start"))
+    # Every chunk has a row, so at most ``lookback`` later chunks can need them.
+    ahead = W.partitionBy(*keys).orderBy("_chunk").rowsBetween(1, lookback)
+    later = F.collect_list(F.struct(F.col("_chunk").alias("to"), F.col("_offset").alias("start"))).over(ahead)
+    near = F.filter("_later", lambda x: x["start"] - F.col("_offset") - F.col("_rows") < lookback)
+    targets = table.withColumn("_later", later).withColumn("_later", near)
+    tails = join_keys(
+        chunks.withColumn("_pos", F.row_number().over(part) - 1), F.broadcast(targets), [*keys, "_chunk"]
+    ).where(F.col("_rows") - F.col("_pos") <= lookback)
     halo = (
-        tails.join(F.broadcast(later), list(keys))
-        .where((F.col("_to") > F.col("_chunk")) & (F.col("_start") - F.col("_at") <= lookback))
-        .select(*df.columns, F.col("_to").alias("_chunk"), F.lit(True).alias("_halo"))
+        tails.select(*df.columns, (F.col("_offset") + F.col("_pos")).alias("_at"), F.explode("_later").alias("_to"))
+        .where(F.col("_to.start") - F.col("_at") <= lookback)
+        .select(*df.columns, F.col("_to.to").alias("_chunk"), F.lit(True).alias("_halo"))
     )
     padded = chunks.withColumn("_halo", F.lit(False)).unionByName(halo)
     done = padded.select("*", *columns(part)).where(~F.col("_halo")).drop("_chunk", "_halo")
@@ -170,6 +174,6 @@ def running_totals(
     chunks = _chunked(large, found, order)
     table = _chunk_table(chunks, keys, sums)
     part = W.partitionBy(*keys, "_chunk").orderBy(*_nulls_last(order))
-    local = chunks.select("*", *cumulated(part)).join(F.broadcast(table), [*keys, "_chunk"])
+    local = join_keys(chunks.select("*", *cumulated(part)), F.broadcast(table), [*keys, "_chunk"])
     done = local.select(*df.columns, *[(F.col(n) + F.col(f"_b_{n}")).alias(n) for n in sums])
     return small.select("*", *cumulated(series)).unionByName(done)

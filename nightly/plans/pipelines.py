@@ -62,22 +62,26 @@ def ingest(
 ) -> Written:
     """Vendor export -> curated run.
 
-    Broken rows go to ``<out>_quarantine`` with the rules they break; ``strict``
-    raises on the first pass instead and writes nothing.
+    Every row is either curated or goes to ``<out>_quarantine`` with the rules it
+    breaks, unreadable times and unknown zones included; the quarantine has the
+    same run folders, written after the curated run. ``strict`` raises on the
+    first pass instead and writes nothing.
     """
     began = time.time()
-    sessions = normalize_sessions(scan_vendor(spark, source, path))
+    bad = None
+    sessions = normalize_sessions(scan_vendor(spark, source, path), drop_unknown=False)
     if strict:
         validate(sessions.select(*SLEEP_COLUMNS))
         good = sessions
     else:
         sessions = materialize(sessions, "ingest")
         good, bad = quarantine_split(sessions)
-        if not bad.isEmpty():
-            bad.write.mode("append").parquet(f"{out.rstrip('/')}_quarantine")
     if local_only:
         good = scrub(good, scrub_fields)
     done = write_curated(good, out)
+    if bad is not None and not bad.isEmpty():
+        run = done.path.removeprefix(f"{out}/")
+        bad.write.mode("overwrite").parquet(f"{out.rstrip('/')}_quarantine/{run}")
     if telemetry:
         write_telemetry(
             spark, telemetry, "ingest", start_time=began, rows_processed=done.rows,
@@ -206,7 +210,11 @@ def train(
     forecast, daily = sweep(base, targets, models, **options)
     forecast = materialize(forecast, "forecast")
     write_forecasts(forecast, f"{out}/forecasts")
-    done = write_reports(sweep_reports(forecast, daily), f"{out}/reports")
+    place = F.concat(F.lit(f"{out}/forecasts/model="), F.col("model_name"), F.lit("/target="), F.col("target"))
+    reports = sweep_reports(forecast, daily).withColumns(
+        {"model_path": F.lit(None).cast("string"), "forecast_path": place}
+    )
+    done = write_reports(reports, f"{out}/reports")
     if telemetry:
         write_telemetry(spark, telemetry, "train", start_time=began, rows_processed=done.rows)
     return done

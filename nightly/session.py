@@ -14,9 +14,6 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # With every input of the feature store partitioned by user alone, the joins
-    # on (user, date), the daily aggregates and the windows share that shuffle.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # The JVM does not compile methods over 8000 bytes. A larger generated stage
     # would run interpreted; it falls back to one compiled method per operator.
     "spark.sql.codegen.hugeMethodLimit": "8000",

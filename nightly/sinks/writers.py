@@ -142,7 +142,7 @@ def write_reports(reports: DataFrame, path: str, *, mode: str = "overwrite") ->
     """
     spark = reports.sparkSession
     counted, seen = _counted(reports)
-    counted.repartition("model_name", "target").withColumns(
+    counted.withColumns(
         {"_model": F.col("model_name"), "_target": F.col("target")}
     ).write.mode(mode).partitionBy("_model", "_target").json(path)
     written = (

@@ -12,6 +12,8 @@ REPORT_SCHEMA = T.StructType(
         T.StructField("model_name", T.StringType()),
         T.StructField("model", T.StringType()),
         T.StructField("target", T.StringType()),
+        T.StructField("model_path", T.StringType()),
+        T.StructField("forecast_path", T.StringType()),
         T.StructField(
             "metrics",
             T.StructType(
@@ -23,14 +25,19 @@ REPORT_SCHEMA = T.StructType(
 
 
 def scan_curated(
-    spark: SparkSession, path: str, *, run_date: str | None = None, dedupe: bool = False
+    spark: SparkSession, path: str, *, run_date: str | None = None, dedupe: bool = False, merge: bool = True
 ) -> DataFrame:
     """Every Parquet file below ``path``, columns matched by name.
 
-    The `run_date=` folders become a column, so a filter on it prunes files.
-    ``dedupe`` keeps the latest run of every id.
+    ``merge`` takes the columns of all files, which reads every footer; without it
+    those of one file count, as for runs that all have the canonical schema. The
+    `run_date=` and `run_id=` folders become string columns, and a filter on the date
+    prunes files. ``dedupe`` keeps the latest run of every id.
     """
-    df = spark.read.option("mergeSchema", True).parquet(path)
+    found = spark.read.option("mergeSchema", merge).parquet(path)
+    runs = {"run_date", "run_id"} & set(found.columns)
+    kinds = [T.StructField(f.name, T.StringType()) if f.name in runs else f for f in found.schema.fields]
+    df = spark.read.schema(T.StructType(kinds)).parquet(path)
     if run_date is not None:
         df = df.where(F.col("run_date") == F.lit(run_date))
     if dedupe:
@@ -40,26 +47,37 @@ def scan_curated(
 
 def curated_sleep(spark: SparkSession, path: str, **options) -> DataFrame:
     """Curated sessions as the feature store reads them: dated, user id as string."""
-    df = scan_curated(spark, path, **options)
+    df = scan_curated(spark, path, **{"merge": False, **options})
     if "start_ts" not in df.columns:
         raise ValueError("curated data must have a start_ts column")
     day = F.col("date") if "date" in df.columns else utc_wall(df, "start_ts")
     return df.withColumns({"date": day.cast("date"), "user_id": F.col("user_id").cast("string")})
 
 
-def scan_reports(spark: SparkSession, path: str, *, multi_line: bool = True) -> DataFrame:
-    """Model reports (JSON files, `summary.json` left out) -> one row per report.
-
-    ``multi_line`` reads one indented document per file; without it every line of
-    a file is a report.
-    """
+def _json_reports(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
     raw = (
         spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.json")
         .schema(REPORT_SCHEMA)
         .json(path, multiLine=multi_line)
     )
-    name = F.element_at(F.split(F.input_file_name(), "/"), -1)
+    return raw.withColumn("_path", F.input_file_name())
+
+
+def scan_reports(spark: SparkSession, path: str, *, multi_line: bool | None = None) -> DataFrame:
+    """Model reports (JSON files, `summary.json` left out) -> one row per report.
+
+    Every line of a file may be a report, as in the files written here, or the whole
+    file is one indented document. By default a file with a line that is a report is
+    read by lines and any other as a document; ``multi_line`` fixes one of the two.
+    """
+    if multi_line is None:
+        lines = _json_reports(spark, path, False).where(F.coalesce("model_name", "model", "target").isNotNull())
+        by_line = lines.select("_path").distinct()
+        raw = lines.unionByName(_json_reports(spark, path, True).join(by_line, "_path", "left_anti"))
+    else:
+        raw = _json_reports(spark, path, multi_line)
+    name = F.element_at(F.split("_path", "/"), -1)
     return raw.select(
         name.alias("file"),
         F.coalesce("model_name", "model").alias("model"),

@@ -7,9 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from nightly.functions.frame import column_or, parse_double, require_columns
-from nightly.functions.time import hours_between, parse_wall
+from nightly.functions.time import hours_between, parse_wall, utc_offset, wall_of
 from nightly.operators.canonical import VENDOR_SPECS, canonicalize
 
+# Tried in order where text is not ISO; month before day, as the daily exports have it.
+DATE_FORMATS = ("M/d/yyyy", "M/d/yyyy HH:mm", "M/d/yyyy HH:mm:ss", "yyyy/M/d", "MMM d, yyyy", "MMMM d, yyyy", "d MMM yyyy")
 DAY_FIRST = ("d/M/yyyy HH:mm:ss", "d/M/yyyy HH:mm", "d/M/yyyy", "d-M-yyyy HH:mm:ss", "d-M-yyyy")
 TAG_COLUMNS = ("caffeine", "alcohol", "late_meal", "work_travel")
 LATE_HOUR = 22
@@ -27,7 +29,7 @@ def scan_vendor(spark: SparkSession, source: str, path: str) -> DataFrame:
     return canonicalize(read_text_columns(spark, path), source)
 
 
-def primary_daily(raw: DataFrame, formats: Sequence[str] = ()) -> DataFrame:
+def primary_daily(raw: DataFrame, formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
     """Daily series: rows whose date and hours are both readable."""
     require_columns(raw, ["date", "sleep_hours"], "primary")
     day = parse_wall(F.col("date").cast("string"), tuple(formats)).cast("date")
@@ -35,25 +37,29 @@ def primary_daily(raw: DataFrame, formats: Sequence[str] = ()) -> DataFrame:
     return raw.select(day.alias("date"), hours.alias("sleep_hours")).dropna()
 
 
-def scan_primary(spark: SparkSession, path: str, formats: Sequence[str] = ()) -> DataFrame:
+def scan_primary(spark: SparkSession, path: str, formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
     return primary_daily(read_text_columns(spark, path), formats)
 
 
 def secondary_sessions(raw: DataFrame, formats: Sequence[str] = DAY_FIRST) -> DataFrame:
     """Session export: day-first dates become wall times, with `Duration` and `hours`.
 
-    ISO text is read as ISO. The two derived columns need both ends.
+    ISO text is read as ISO. The two derived columns need both ends. Text with a UTC
+    offset keeps its wall time, and the span is taken between the instants.
     """
+    named = [c for c in ("startDate", "endDate") if c in raw.columns]
+    raw = raw.withColumns({f"_off_{c}": utc_offset(F.col(c).cast("string")) for c in named}) if named else raw
     stamps = {
         c: parse_wall(F.col(c).cast("string"), tuple(formats))
         for c in ("creationDate", "startDate", "endDate")
         if c in raw.columns
     }
     parsed = raw.withColumns(stamps) if stamps else raw
-    if not {"startDate", "endDate"} <= set(parsed.columns):
-        return parsed
-    start, end = F.col("startDate"), F.col("endDate")
-    return parsed.withColumns({"Duration": end - start, "hours": hours_between(end, start)})
+    spare = [f"_off_{c}" for c in named]
+    if len(named) < 2:
+        return parsed.drop(*spare)
+    start, end = (F.col(c) - F.make_dt_interval(secs=F.col(f"_off_{c}")) for c in ("startDate", "endDate"))
+    return parsed.withColumns({"Duration": end - start, "hours": hours_between(end, start)}).drop(*spare)
 
 
 def scan_secondary(
@@ -68,7 +74,7 @@ def _text(name: str):
 
 def _user_day(raw: DataFrame, required: Sequence[str], source: str) -> list:
     require_columns(raw, ["user_id", "date", *required], source)
-    day = parse_wall(_text("date")).cast("date")
+    day = parse_wall(_text("date"), DATE_FORMATS).cast("date")
     return [_text("user_id").alias("user_id"), day.alias("date")]
 
 
@@ -111,9 +117,9 @@ def late_screen_rollup(events: DataFrame, late_hour: int = LATE_HOUR) -> DataFra
     that of the wall clock. The count per user-day is combined before the shuffle.
     """
     require_columns(events, ["user_id", "timestamp"], "screen_time")
-    stamp = F.col("timestamp")
     dtype = events.schema["timestamp"].dataType
-    wall = stamp if isinstance(dtype, T.TimestampNTZType) else stamp.cast("string").try_cast("timestamp_ntz")
+    kept = isinstance(dtype, (T.TimestampType, T.TimestampNTZType))
+    wall = wall_of(F.col("timestamp"), dtype) if kept else _text("timestamp").try_cast("timestamp_ntz")
     rows = events.select(_text("user_id").alias("user_id"), wall.alias("_ts"))
     rows = rows.withColumn("date", F.to_date("_ts")).dropna(subset=["user_id", "date"])
     late = F.count_if(F.hour("_ts") >= late_hour)

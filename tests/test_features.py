@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 from datetime import date, timedelta
 
@@ -140,21 +141,36 @@ def test_repeated_signal_keys_are_reported(spark):
 
 
 def test_feature_store_shuffles_each_input_once(spark):
-    """Signals too large to broadcast: one exchange per input, none for join or window."""
+    """Signals too large to broadcast: one exchange per input, one for the windows."""
     sleep = spark.range(100).select(
-        F.concat(F.lit("u"), F.col("id") % 5).alias("user_id"), F.lit(date(2024, 1, 1)).alias("date"),
+        F.concat(F.lit("u"), F.col("id") % 5).alias("user_id"), F.date_add(F.lit(date(2024, 1, 1)), (F.col("id") % 3).cast("int")).alias("date"),
         F.lit(400.0).alias("duration_min"), F.lit(0.9).alias("efficiency"), F.lit(True).alias("is_weekend"),
     )
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         store = fuse.feature_store(sleep, _signals(spark))
         plan = store._jdf.queryExecution().executedPlan().toString()
-        assert plan.count("Exchange hashpartitioning") == 3
+        assert plan.count("Exchange hashpartitioning") == 4
         assert "SinglePartition" not in plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_registered_feature_store_has_six_exchanges(spark):
+    """Sessions and four signals shuffled once each, and one shuffle by user for the windows."""
+    import __spark_entry__ as entry
+    from tests.conftest import DATA
+
+    if not os.path.isdir(DATA):
+        pytest.skip("needs the given tables")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = entry.queries()["feature_store"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 6
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_feature_store_with_a_large_user(spark):
     from nightly.operators.skew import spread
 
