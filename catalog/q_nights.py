@@ -9,7 +9,7 @@ from catalog.bind import plain
 from catalog.registry import query
 from catalog.tables_sql import r6
 from nightly.functions.time import to_utc_wall
-from nightly.operators import baselines, circadian, fuse, profile, scenarios, series
+from nightly.operators import baselines, canonical, circadian, fuse, profile, scenarios, series
 from nightly.sources.text import secondary_sessions
 
 BASE = "n.id, n.user_id, n.date, round(n.sleep_hours + 1e-9, 6) + 0.0 AS sleep_hours"
@@ -168,6 +168,45 @@ def headline_metrics(spark, sf):
     return plain(profile.headline_metrics(bind.nights(spark, sf)))
 
 
+# A key that is NULL for the sessions of one vendor.
+VENDOR = "CASE WHEN source <> 'oura' THEN source END"
+
+
+def _by_vendor(spark, sf):
+    return bind.nights(spark, sf).withColumn("vendor", F.expr(VENDOR))
+
+
+@query(
+    f"""SELECT {VENDOR} AS vendor, count(*) AS nights, {r6('avg(sleep_hours)', 'mean_hours')},
+        {r6('stddev_samp(sleep_hours)', 'std_hours')}, {r6('quantile_cont(sleep_hours, 0.5)', 'median_hours')}
+        FROM nights GROUP BY 1"""
+)
+def keyed_headline(spark, sf):
+    return plain(profile.headline_metrics(_by_vendor(spark, sf), keys=["vendor"]))
+
+
+@query(
+    f"""SELECT id, {r6('(duration_min - avg(duration_min) OVER w) / stddev_pop(duration_min) OVER w', 'duration_zscore')},
+        abs((duration_min - avg(duration_min) OVER w) / stddev_pop(duration_min) OVER w) >= 3 AS is_outlier_duration
+        FROM nights WINDOW w AS (PARTITION BY {VENDOR})"""
+)
+def keyed_zscore(spark, sf):
+    rows = _by_vendor(spark, sf).drop("duration_zscore", "is_outlier_duration")
+    return plain(canonical.zscore_duration(rows, ["vendor"]).select("id", "duration_zscore", "is_outlier_duration"))
+
+
+@query(
+    """SELECT 'start_ts' AS "column", count(start_ts) AS count, date_trunc('minute', make_timestamp(CAST(avg(epoch_us(start_ts)) AS BIGINT))) AS mean,
+        date_trunc('minute', min(start_ts)) AS min, date_trunc('minute', quantile_cont(start_ts, 0.25)) AS q25,
+        date_trunc('minute', quantile_cont(start_ts, 0.5)) AS q50, date_trunc('minute', quantile_cont(start_ts, 0.75)) AS q75,
+        date_trunc('minute', max(start_ts)) AS max FROM nights"""
+)
+def describe_datetime(spark, sf):
+    done = profile.describe_datetime(bind.nights(spark, sf), ["start_ts"])
+    stamps = [F.date_trunc("minute", c).cast("timestamp_ntz").alias(c) for c in ("mean", "min", "q25", "q50", "q75", "max")]
+    return done.select("column", "count", *stamps)
+
+
 @query(
     f"SELECT date, start_ts, id, {r6('sleep_hours', 'sleep_hours')} FROM nights ORDER BY sleep_hours, date, start_ts, id LIMIT 1"
 )

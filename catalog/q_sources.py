@@ -12,6 +12,7 @@ from catalog.registry import query
 from catalog.tables_sql import r6
 from nightly.operators import canonical, forecast as fc, privacy
 from nightly.operators.canonical import VENDOR_SPECS, finalize
+from nightly.plans.pipelines import ingest
 from nightly.session import scratch_path
 from nightly.sinks import writers
 from nightly.sources import files, text
@@ -221,18 +222,31 @@ def contract_violations(spark, sf):
     return canonical.contract_violations(_dirty(spark, sf))
 
 
-@query(
-    f"""SELECT d.id, r.rules IS NOT NULL AS quarantined, coalesce(r.rules, '') AS rules FROM ({DIRTY_SQL}) d
+SPLIT_SQL = f"""SELECT d.id, r.rules IS NOT NULL AS quarantined, coalesce(r.rules, '') AS rules FROM ({DIRTY_SQL}) d
         LEFT JOIN (SELECT id, string_agg(rule, ',' ORDER BY rule) AS rules FROM ({RULES_SQL}) GROUP BY 1) r ON r.id = d.id"""
-)
-def quarantine_split(spark, sf):
-    good, bad = canonical.quarantine_split(_dirty(spark, sf))
+
+
+def _sides(good: DataFrame, bad: DataFrame) -> DataFrame:
     listed = F.array_join(F.array_sort("violations"), ",")
     return good.select("id", F.lit(False).alias("quarantined"), F.lit("").alias("rules")).unionByName(
         bad.select("id", F.lit(True).alias("quarantined"), listed.alias("rules"))
     )
 
 
+@query(SPLIT_SQL)
+def quarantine_split(spark, sf):
+    return _sides(*canonical.quarantine_split(_dirty(spark, sf)))
+
+
+@query(SPLIT_SQL)
+def ingest_roundtrip(spark, sf):
+    """A vendor export with faults of every kind through the ingest job: no row is lost."""
+    dirty = bind.dirty(spark, sf).select(*[F.col(c).alias(v) for v, c in VENDOR_SPECS["oura"].items()])
+    out = scratch_path(spark, "ingested")
+    ingest(spark, "oura", as_csv(dirty, "dirty"), out)
+    return _sides(files.scan_curated(spark, out), files.scan_curated(spark, f"{out}_quarantine"))
+
+
 @query(f"SELECT id, {r6('duration_min', 'duration_min')}, duration_was_clipped FROM clipped")
 def clip_duration(spark, sf):
     return plain(canonical.clip_duration(bind.sessions(spark, sf)).select("id", "duration_min", "duration_was_clipped"))
