@@ -12,9 +12,9 @@ enough to find every group a query can have a link to.
 3. Open groups. Queries meet the members of qualifying groups that pass the same bound one by one; the pairs are checked on
    whole sets and the final components are taken over all verified links.
 
-Every step is an aggregate that is combined before its shuffle or a join of plain exchanges that AQE can split; the only
-broadcast is the list of frequent tokens, at most HOT_TOKENS longs. Any list gives the same result; it only saves work.
-Tokens are 64-bit hashes.
+Every step is an aggregate that is combined before its shuffle or a join of plain exchanges that AQE can split. Broadcast
+are the list of frequent tokens, at most HOT_TOKENS longs (any list gives the same result; it only saves work), and the
+ids of documents to check while they are at most BROADCAST_IDS. Tokens are 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -33,6 +33,7 @@ from nightly.session import materialize
 
 SHINGLE, SIMILARITY = 4, 85
 HOT_TOKENS = 200_000
+BROADCAST_IDS = 500_000  # more documents to check than these are joined by a shuffle
 _CHUNK = 1 << 22  # tokens counted at once
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -180,16 +181,14 @@ def join_similar(docs: DataFrame, k: int = SHINGLE, percent: int = SIMILARITY) -
 
     first = prefixes(docs.where("doc_id is not null"), hot_tokens(described), k, percent)
     first = first.withColumn("node", F.struct("doc_id", "tag")).drop("doc_id", "tag").join(classes.select("node"), "node")
-    posts = materialize(first.select("node", "n", "rare", F.posexplode("tokens").alias("pos", "token")), "join-tokens")
+    first = materialize(first.dropDuplicates(["node"]), "join-prefixes")
+    posts = first.select("node", "n", "rare", F.posexplode("tokens").alias("pos", "token"))
     entry = F.struct("rare", "node", "n", "pos")
     lead = posts.groupBy("token").agg(F.min(entry).alias("l"), F.count("*").alias("_c")).where("_c > 1").drop("_c")
     met = materialize(posts.join(materialize(lead, "join-leaders"), "token"), "join-met")
 
     stars = met.withColumn("x", F.struct("n", "pos")).where((F.col("node") != F.col("l.node")) & _may_link("x", "l", percent))
-    stars = materialize(stars.select(F.col("node").alias("a"), F.col("l.node").alias("b")).distinct(), "join-stars")
-    wanted = materialize(met.select("node").distinct(), "join-wanted")
-    sets = _sets(docs, wanted, k)
-    links = materialize(verify(stars, sets, percent), "join-links")
+    links = _links(docs, first, stars.select(F.col("node").alias("a"), F.col("l.node").alias("b")), k, percent)
     group = components(links)
 
     member = met.join(group.withColumnRenamed("label", "group"), "node", "left").select(
@@ -211,8 +210,8 @@ def join_similar(docs: DataFrame, k: int = SHINGLE, percent: int = SIMILARITY) -
     )
     y = member.alias("m").select(F.struct("m.node", "m.n", "m.pos").alias("y"), F.col("m.token").alias("_t"), F.col("m.group").alias("_h"))
     pairs = x.join(y, (F.col("token") == F.col("_t")) & (F.col("h") == F.col("_h")) & _may_link("x", "y", percent))
-    pairs = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    links = links.unionAll(materialize(verify(materialize(pairs, "join-pairs"), sets, percent), "join-links"))
+    pairs = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+    links = links.unionAll(_links(docs, first, pairs, k, percent))
     found = components(links).select("node", F.col("label.doc_id").alias("_low"))
 
     known = rows.join(classes, ["d1", "d2", "n"], "left").join(found, "node", "left")
@@ -220,17 +219,36 @@ def join_similar(docs: DataFrame, k: int = SHINGLE, percent: int = SIMILARITY) -
     return known.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
+def _links(docs: DataFrame, first: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The linked ones of candidate pairs (a, b).
+
+    First tokens are compared before whole sets: a common token outside the common first ones stands behind the first tokens
+    of the set whose first tokens end earlier, so the overlap is at most their common ones plus the rest of one set.
+    """
+    pairs = materialize(pairs.distinct(), "join-pairs")
+    for side, name in (("a", "x"), ("b", "y")):
+        own = first.select(F.col("node").alias(side), F.struct("n", "tokens").alias(name))
+        pairs = pairs.join(own, side)
+    common = F.size(F.array_intersect("x.tokens", "y.tokens"))
+    rest = F.greatest(F.col("x.n") - F.size("x.tokens"), F.col("y.n") - F.size("y.tokens"))
+    pairs = pairs.where(common + rest >= _overlap(F.col("x.n"), F.col("y.n"), percent)).select("a", "b")
+    pairs = materialize(pairs, "join-likely")
+    wanted = materialize(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "join-wanted")
+    return materialize(verify(pairs, _sets(docs, wanted, k), percent), "join-links")
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """Whole sets of the wanted nodes as sorted longs, written once."""
     ids = wanted.select("node.doc_id", "node.tag")
+    few = ids.count() <= BROADCAST_IDS
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held = pa.array([shingles(t, k).tobytes() for t in batch["text"].to_pylist()], pa.binary())
             yield pa.record_batch({"doc_id": batch["doc_id"], "tag": batch["tag"], "set": held})
 
-    texts = docs.join(ids, ["doc_id", "tag"]).select("doc_id", "tag", "text").dropDuplicates(["doc_id", "tag"])
-    found = texts.mapInArrow(compute, "doc_id long, tag int, set binary")
+    texts = docs.join(F.broadcast(ids) if few else ids, ["doc_id", "tag"]).select("doc_id", "tag", "text")
+    found = texts.mapInArrow(compute, "doc_id long, tag int, set binary").dropDuplicates(["doc_id", "tag"])
     return materialize(found.select(F.struct("doc_id", "tag").alias("node"), "set"), "join-whole-sets")
 
 
