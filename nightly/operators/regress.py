@@ -55,8 +55,10 @@ def _with_keys(pdf: pd.DataFrame, keys: Sequence[str], body: dict) -> pd.DataFra
 
 
 def _ready(df: DataFrame, value: str, keys: Sequence[str], date: str) -> DataFrame:
+    """One row per series and day, whatever the frame has, so that days bound every group."""
     day = F.col(date).cast("date").alias("date")
-    return df.select(*keys, day, as_double(df, value).alias("y")).dropna(subset=["date", "y"])
+    rows = df.select(*keys, day, as_double(df, value).alias("y")).dropna(subset=["date", "y"])
+    return rows.groupBy(*keys, "date").agg(F.avg("y").alias("y"))
 
 
 def autoreg_fit(
