@@ -43,7 +43,7 @@ from nightly.sources.text import scan_hrv, scan_screen, scan_steps, scan_tags, s
 
 TARGETS = {"sleep_hours": {"column": "duration_min", "transform": "minutes_to_hours"}}
 MODELS: dict[str, dict] = {
-    "seasonal_arx": {},
+    "seasonal_arx": {"exog": None},  # every numeric column that is not derived from the same night
     "rolling_mean": {},
     "gbt": {"learning_rate": 0.1, "max_depth": 3, "n_estimators": 100},
 }
@@ -117,7 +117,7 @@ def build_features(
 
 def sweep(
     base: DataFrame,
-    targets: Mapping[str, Mapping[str, str]] = TARGETS,
+    targets: Mapping[str, Mapping[str, object]] = TARGETS,
     models: Mapping[str, Mapping] = MODELS,
     *,
     keys: Sequence[str] = (),
@@ -126,7 +126,8 @@ def sweep(
 ) -> tuple[DataFrame, DataFrame]:
     """Every target with every model: all forecasts, and the daily frames behind them.
 
-    The daily frame of a target is written once and shared by its models.
+    The daily frame of a target is written once and shared by its models. A target
+    may name its own ``horizon`` and ``backtest_window``.
     """
     forecasts, dailies = [], []
     for target, spec in targets.items():
@@ -142,7 +143,8 @@ def sweep(
                 continue
             options = {k: v for k, v in options.items() if k != "enabled"}
             made = FORECASTERS[model](
-                daily, target, keys=list(keys), horizon=horizon, backtest_window=backtest_window, **options
+                daily, target, keys=list(keys), horizon=int(spec.get("horizon", horizon)),
+                backtest_window=spec.get("backtest_window", backtest_window), **options
             )
             forecasts.append(
                 made.withColumns({"model": F.lit(model), "target": F.lit(target)}).select(
@@ -199,7 +201,7 @@ def train(
     curated: str,
     out: str,
     *,
-    targets: Mapping[str, Mapping[str, str]] = TARGETS,
+    targets: Mapping[str, Mapping[str, object]] = TARGETS,
     models: Mapping[str, Mapping] = MODELS,
     telemetry: str | None = None,
     **options,
