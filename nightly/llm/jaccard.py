@@ -34,7 +34,7 @@ from nightly.session import materialize
 SHINGLE, SIMILARITY = 4, 85
 HOT_TOKENS = 200_000
 BROADCAST_IDS = 500_000  # more documents to check than these are joined by a shuffle
-_CHUNK = 1 << 22  # tokens counted at once
+_CHUNK = 1 << 20  # tokens counted at once
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 

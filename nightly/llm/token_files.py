@@ -37,6 +37,7 @@ MANIFEST = "MANIFEST.json"
 END_ID = 0
 _HEAD = np.dtype("<u8")
 _MEMO = 1_000_000  # distinct pre-tokens a worker keeps
+_RECENT = 100_000  # of these in a dictionary
 _ROWS = 256  # rows encoded at once
 _PIECE = 1 << 18  # code points per piece of a long text
 _GROUP = 1 << 20  # code points worked on at once
@@ -79,9 +80,29 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[int, int] = {}
+        """Pre-tokens are known by hash: sorted arrays, and a small dictionary of the latest ones."""
+        self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.recent: dict[int, int] = {}
         self.flat, self.ends = array("I"), array("Q", [0])
 
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """Slot of every key, -1 for new ones."""
+        out = np.full(len(keys), -1, np.int64)
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            hit = self.keys[at] == keys
+            out[hit] = self.slots[at[hit]]
+        rest = np.flatnonzero(out < 0)
+        out[rest] = [self.recent.get(k, -1) for k in keys[rest].tolist()]
+        return out
+
+    def _settle(self) -> None:
+        """Move the latest pre-tokens to the sorted arrays."""
+        keys = np.concatenate([self.keys, np.fromiter(self.recent.keys(), np.uint64, len(self.recent))])
+        slots = np.concatenate([self.slots, np.fromiter(self.recent.values(), np.int64, len(self.recent))])
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.slots, self.recent = keys[order], slots[order], {}
+
     def _grow(self, n: int) -> None:
         if len(self.powers) < n:
             base = np.uint64(0x9E3779B97F4A7C15)
@@ -94,7 +115,9 @@ class Encoder:
             mapped = text.encode().decode("latin-1").translate(self.letters)
             self.flat.extend(t.id for t in self.tokenizer.model.tokenize(mapped))
             self.ends.append(len(self.flat))
-            self.known[key] = len(self.ends) - 2
+            self.recent[key] = len(self.ends) - 2
+        if len(self.recent) > _RECENT:
+            self._settle()
 
     def _group(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces in a row, and how many each has."""
@@ -118,10 +141,9 @@ class Encoder:
         h = (total[end] - total[begin]) * self.inverse[begin]
         h ^= h >> np.uint64(32)
         codes, distinct = pd.factorize(h)
-        if len(self.known) + len(distinct) > _MEMO:
+        if len(self.ends) + len(distinct) > _MEMO:
             self.forget()
-        found = [self.known.get(k, -1) for k in distinct.tolist()]
-        at = np.array(found, dtype=np.int64)
+        at = self._find(distinct)
         new = np.flatnonzero(at < 0)
         if len(new):
             first = np.full(len(distinct), -1, np.int64)
