@@ -2,7 +2,7 @@
 
 Numbers, names and units become typed slots, the other words are lower-cased without punctuation. Windows of WIDTH template
 tokens are hashed; the distinct windows of each document meet those of the benchmark items in a hash join. A document is
-a candidate for an item if enough of the item's windows occur in it. For candidates the two texts are laid over each other
+a candidate for an item if a share of the item's windows, or as many as a run of RUN tokens has, occur in it. For candidates the two texts are laid over each other
 at the distance most windows agree on, and the slot values are compared: the item's values must turn into the document's by a
 one-to-one substitution. Equal values mean a verbatim copy, changed ones a re-parameterised question; values that
 follow no substitution mean a text of the same form about something else, which stays.
@@ -15,9 +15,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from nightly.llm.common import query, table
 from nightly.session import materialize
 
-WIDTH = 8  # tokens per window
-LITERALS = 3  # least tokens of an item's window that are no slots
+WIDTH = 6  # tokens per window
+LITERALS = 2  # least tokens of an item's window that are no slots
 COVERAGE = 0.5  # least share of an item's windows
+RUN = 24  # or so many tokens of an item in a row, however long the item is
 BROADCAST_WINDOWS = 1_000_000  # more windows than these are joined by a shuffle
 
 # Words read as numbers, and units that may follow a number.
@@ -30,6 +31,13 @@ UNITS = (
     "s|sec|seconds?|min|minutes?|h|hours?|days?|weeks?|months?|years?|mph|kph|km/h|percent|%|dollars?|euros?|cents?|usd|eur|"
     "volts?|watts?|amps?|hz|joules?|newtons?|degrees?"
 )
+# Words that begin sentences and are no names.
+OPENERS = (
+    "the|a|an|and|or|but|if|then|when|while|where|who|whose|why|how|what|which|there|here|this|that|these|those|it|its|he|she|they|we|"
+    "you|i|his|her|their|our|your|my|in|on|at|by|for|from|of|to|with|after|before|during|each|every|all|both|some|no|not|is|are|was|were|"
+    "do|does|did|has|have|had|can|could|should|would|find|let|suppose|assume|given|because|since|so|as|"
+    f"{NUMBER_WORDS}"
+)
 _SLOT = "\\u0001"
 
 
@@ -40,8 +48,8 @@ def _quoted(pattern: str) -> str:
 def tokens(text: str) -> Column:
     """Words of a text; a slot is a mark, its type (n, u, p) and its value. NULL has none."""
     steps = (
-        # a capitalised word inside a sentence, then amounts of money, numbers, units behind them
-        (r"(?<=[\p{Ll},;] )(\p{Lu}\p{L}+)", f"{_SLOT}p$1"),
+        # a capitalised word inside a sentence or, in small letters but for the first, anywhere; then amounts of money, numbers, units behind them
+        (rf"(?=\p{{Lu}})(?<![\p{{L}}\d\x01])(?!(?i:{OPENERS})(?!\p{{L}}))(?:(?<=[\p{{Ll}},;] )(\p{{Lu}}\p{{L}}+)|(\p{{Lu}}\p{{Ll}}\p{{L}}*))", f"{_SLOT}p$1$2"),
         (r"([$€£])(?=\d)", f" {_SLOT}u$1 "),
         (r"(?<![\p{L}\d])(\d+(?:[.,:/]\d+)*)", f" {_SLOT}n$1 "),
         (rf"(?<![\p{{L}}\d\x01])(?i:({NUMBER_WORDS}))(?![\p{{L}}\d])", f"{_SLOT}n$1"),
@@ -95,7 +103,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
     every = _windows(docs, "doc_id", "tag").select("doc_id", "tag", F.explode(F.array_distinct("windows")).alias("window"))
     met = every.join(F.broadcast(distinct) if small else distinct, "window")
     met = met.groupBy("doc_id", "tag", "item_id", "item_windows").agg(F.countDistinct("window").alias("matched"))
-    found = materialize(met.where(F.col("matched") >= coverage * F.col("item_windows")), "leak-candidates")
+    found = materialize(met.where((F.col("matched") >= coverage * F.col("item_windows")) | (F.col("matched") > RUN - WIDTH)), "leak-candidates")
 
     texts = docs.join(found.select("doc_id", "tag").distinct(), ["doc_id", "tag"]).dropDuplicates(["doc_id", "tag"])
     texts = materialize(_windows(texts, "doc_id", "tag"), "leak-texts")

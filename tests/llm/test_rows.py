@@ -271,6 +271,22 @@ def test_leaks(spark):
     )
 
 
+TOM = "Tom has 5 apples. Tom gives 2 apples to Ann. Ann eats 1 apple. How many apples does Tom have?"
+
+
+def items_of(spark, *texts):
+    return spark.createDataFrame(list(enumerate(texts, 1)), "item_id long, text string")
+
+
+def test_leaks_with_names_at_sentence_starts_and_long_excerpts(spark):
+    rng = random.Random(10)
+    long = prose(rng, 220)
+    new = TOM.replace("Tom", "Max").replace("Ann", "Eve").replace("5", "9")
+    rows = [(1, new), (2, f"{prose(rng, 20)}. {new} {prose(rng, 20)}"), (3, f"{prose(rng, 50)} {' '.join(long.split()[60:160])} {prose(rng, 50)}"), (4, " ".join(long.split()[:20]))]
+    got = leaks(documents(spark, rows), items_of(spark, TOM, long))
+    assert got == {(1, 1): "reparameterised", (2, 1): "reparameterised", (3, 2): "verbatim"}
+
+
 # --- pipeline
 
 
