@@ -2,15 +2,17 @@
 
 Numbers, names and units become typed slots, the other words are lower-cased without punctuation. Windows of WIDTH template
 tokens are hashed; the distinct windows of each document meet those of the benchmark items in a hash join. A document is
-a candidate for an item if a share of the item's windows, or as many as a run of RUN tokens has, occur in it. For candidates the two texts are laid over each other
-at the distance most windows agree on, and the slot values are compared: the item's values must turn into the document's by a
-one-to-one substitution. Equal values mean a verbatim copy, changed ones a re-parameterised question; values that
-follow no substitution mean a text of the same form about something else, which stays.
+a candidate for an item if a share of the item's windows, or as many as a run of RUN tokens has, occur in it. For candidates
+the two texts are laid over each other at every distance at which windows agree; windows up to SLACK tokens off belong to the
+same place, each at its own distance. A place with enough windows, or a run of them, is a leak if its names turn into the
+document's by a one-to-one substitution. Numbers and units need only stand where the item has some. Only slots inside
+agreeing windows are compared. Equal values mean a verbatim copy, changed ones a re-parameterised question; names that follow
+no substitution mean a text of the same form about something else, which stays unless another place of the document passes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from nightly.llm.common import query, table
 from nightly.session import materialize
@@ -19,6 +21,7 @@ WIDTH = 6  # tokens per window
 LITERALS = 2  # least tokens of an item's window that are no slots
 COVERAGE = 0.5  # least share of an item's windows
 RUN = 24  # or so many tokens of an item in a row, however long the item is
+SLACK = 16  # most tokens inserted or left out between windows of one place
 BROADCAST_WINDOWS = 1_000_000  # more windows than these are joined by a shuffle
 
 # Words read as numbers, and units that may follow a number.
@@ -79,14 +82,19 @@ def _windows(df: DataFrame, *keys: str) -> DataFrame:
     return out.withColumn("windows", window_hashes("_h")).drop("_h")
 
 
-def item_windows(benchmark: DataFrame) -> DataFrame:
-    """item_id, item position and hash of every window with enough words, and the number of distinct ones per item."""
-    items = _windows(benchmark.where(F.col("item_id").isNotNull()), "item_id")
-    at = items.select("item_id", "toks", F.posexplode("windows").alias("item_pos", "window"))
+def item_texts(benchmark: DataFrame) -> DataFrame:
+    """item_id, a key of item and text, tokens and windows of every distinct text of every item."""
+    items = benchmark.select("item_id", F.col("text").cast("string").alias("text")).where("item_id is not null").distinct()
+    return _windows(items.withColumn("item_key", F.xxhash64("item_id", "text")), "item_id", "item_key")
+
+
+def item_windows(texts: DataFrame) -> DataFrame:
+    """item_id, item_key, position and hash of every window with enough words, and the number of such positions per item."""
+    at = texts.select("item_id", "item_key", "toks", F.posexplode("windows").alias("item_pos", "window"))
     words = F.expr(f"size(filter(slice(toks, item_pos + 1, {WIDTH}), x -> not startswith(x, '{_SLOT}')))")
-    kept = at.where((words >= LITERALS) | (F.size("toks") < WIDTH) & (words >= 1)).select("item_id", "item_pos", "window")
-    n = kept.groupBy("item_id").agg(F.countDistinct("window").alias("item_windows"))
-    return kept.join(n, "item_id")
+    kept = at.where((words >= LITERALS) | (F.size("toks") < WIDTH) & (words >= 1)).select("item_id", "item_key", "item_pos", "window")
+    n = kept.groupBy("item_key").agg(F.countDistinct("item_pos").alias("item_windows"))
+    return kept.join(n, "item_key")
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
@@ -97,34 +105,42 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
     items without item_id are not looked at. Other columns are ignored. Empty tables give no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.hash("text").alias("tag")).where(F.col("doc_id").isNotNull())
-    items = materialize(item_windows(benchmark.select("item_id", "text")), "leak-items")
+    texts_of_items = materialize(item_texts(benchmark), "leak-item-texts")
+    items = materialize(item_windows(texts_of_items), "leak-items")
     small = items.count() <= BROADCAST_WINDOWS
-    distinct = items.select("item_id", "window", "item_windows").distinct()
     every = _windows(docs, "doc_id", "tag").select("doc_id", "tag", F.explode(F.array_distinct("windows")).alias("window"))
-    met = every.join(F.broadcast(distinct) if small else distinct, "window")
-    met = met.groupBy("doc_id", "tag", "item_id", "item_windows").agg(F.countDistinct("window").alias("matched"))
+    met = every.join(F.broadcast(items) if small else items, "window")
+    met = met.groupBy("doc_id", "tag", "item_key", "item_id", "item_windows").agg(F.countDistinct("item_pos").alias("matched"))
     found = materialize(met.where((F.col("matched") >= coverage * F.col("item_windows")) | (F.col("matched") > RUN - WIDTH)), "leak-candidates")
 
     texts = docs.join(found.select("doc_id", "tag").distinct(), ["doc_id", "tag"]).dropDuplicates(["doc_id", "tag"])
     texts = materialize(_windows(texts, "doc_id", "tag"), "leak-texts")
     places = texts.select("doc_id", "tag", F.posexplode("windows").alias("pos", "window"))
-    laid = places.join(F.broadcast(items) if small else items, "window").join(found.select("doc_id", "tag", "item_id"), ["doc_id", "tag", "item_id"])
-    laid = laid.groupBy("doc_id", "tag", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(F.count("*").alias("_n"))
-    laid = laid.groupBy("doc_id", "tag", "item_id").agg(F.max(F.struct("_n", (-F.col("shift")).alias("back"))).alias("_best"))
-    laid = found.join(laid, ["doc_id", "tag", "item_id"]).join(texts.select("doc_id", "tag", "toks"), ["doc_id", "tag"])
-    sides = benchmark.where(F.col("item_id").isNotNull()).groupBy("item_id").agg(F.min("text").alias("text"))
-    sides = sides.select("item_id", tokens("text").alias("item"))
-    both = laid.join(sides, "item_id").withColumn("_shift", -F.col("_best.back"))
-    slots = F.expr(
-        "filter(transform(sequence(1, greatest(size(item), 1)), i -> struct(get(item, i - 1) as a, if(i - 1 + _shift < 0, null, get(toks, cast(i - 1 + _shift as int))) as b)), "
-        f"s -> startswith(s.a, '{_SLOT}') and startswith(s.b, '{_SLOT}') and substring(s.a, 2, 1) = substring(s.b, 2, 1))"
-    )
-    both = both.withColumn("_slots", slots).withColumn("_pairs", F.array_distinct("_slots"))
-    one_to_one = F.expr("size(_pairs) = size(array_distinct(_pairs.a)) and size(_pairs) = size(array_distinct(_pairs.b))")
-    changed = F.expr("size(filter(_slots, s -> s.a <> s.b))")
-    both = both.where(one_to_one).withColumn("slots", F.size("_slots")).withColumn("changed", changed)
-    kind = F.when(F.col("changed") == 0, "verbatim").otherwise("reparameterised")
-    return both.select("doc_id", "tag", "item_id", "matched", "item_windows", "slots", "changed", kind.alias("kind"))
+    laid = places.join(F.broadcast(items) if small else items, "window").join(found, ["doc_id", "tag", "item_key", "item_id", "item_windows"])
+    pair = ["doc_id", "tag", "item_key"]
+    laid = laid.groupBy(*pair, "item_id", "item_windows", "matched", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(F.collect_set("item_pos").alias("at"))
+    near = Window.partitionBy(*pair).orderBy("shift").rangeBetween(-SLACK, SLACK)
+    least = F.least(F.ceil(coverage * F.col("item_windows")), F.lit(RUN - WIDTH + 1))
+    laid = laid.withColumn("_n", F.sum(F.size("at")).over(near)).withColumn("_near", F.collect_list(F.struct("shift", "at")).over(near)).where(F.col("_n") >= least)
+    laid = laid.withColumn("_at", F.expr("array_sort(array_distinct(flatten(_near.at)))"))
+    run = F.expr(f"exists(_at, p -> array_contains(_at, p + {RUN - WIDTH}) and size(filter(_at, q -> q between p and p + {RUN - WIDTH})) = {RUN - WIDTH + 1})")
+    laid = laid.where((F.size("_at") >= coverage * F.col("item_windows")) | run)
+    nearest = "array_min(transform(filter(_near, x -> array_contains(x.at, p)), x -> struct(abs(x.shift - shift) as far, x.shift as shift))).shift"
+    laid = laid.select(*pair, "item_id", "item_windows", "matched", "shift", F.expr(f"transform(_at, p -> struct(p as pos, {nearest} as shift))").alias("_hits"))
+
+    both = laid.join(texts.select("doc_id", "tag", "toks"), ["doc_id", "tag"]).join(texts_of_items.select("item_key", F.col("toks").alias("item")), "item_key")
+    value = f"if(startswith({{0}}, '{_SLOT}'), substring({{0}}, 3), {{0}})"
+    inside = f"flatten(transform(_hits, h -> transform(sequence(0, {WIDTH - 1}), j -> struct(h.pos + j as i, get(item, h.pos + j) as a, get(toks, h.pos + h.shift + j) as b))))"
+    slots = f"filter(array_distinct({inside}), s -> startswith(s.a, '{_SLOT}'))"
+    both = both.withColumn("_slots", F.expr(f"transform({slots}, s -> struct(s.i as i, substring(s.a, 2, 1) as kind, {value.format('s.a')} as a, {value.format('s.b')} as b))"))
+    both = both.withColumn("_names", F.expr("array_distinct(transform(filter(_slots, s -> s.kind = 'p'), s -> struct(s.a as a, s.b as b)))"))
+    one_to_one = F.expr("size(_names) = size(array_distinct(_names.a)) and size(_names) = size(array_distinct(_names.b))")
+    both = both.where(one_to_one).withColumn("slots", F.size("_slots")).withColumn("changed", F.expr("size(filter(_slots, s -> s.a <> s.b))"))
+    # of the places of a pair: verbatim, then the most windows, then the first
+    rank = F.struct((F.col("changed") > 0).alias("_c"), (-F.size("_hits")).alias("_h"), F.col("shift").alias("_s"))
+    both = both.groupBy("doc_id", "tag", "item_id").agg(F.min(F.struct(rank.alias("_rank"), "matched", "item_windows", "slots", "changed")).alias("_best"))
+    both = both.select("doc_id", "tag", "item_id", "_best.matched", "_best.item_windows", "_best.slots", "_best.changed")
+    return both.withColumn("kind", F.when(F.col("changed") == 0, "verbatim").otherwise("reparameterised"))
 
 
 def remove_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

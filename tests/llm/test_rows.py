@@ -287,6 +287,20 @@ def test_leaks_with_names_at_sentence_starts_and_long_excerpts(spark):
     assert got == {(1, 1): "reparameterised", (2, 1): "reparameterised", (3, 2): "verbatim"}
 
 
+def test_leaks_at_any_place_and_with_inserted_words(spark):
+    rng = random.Random(11)
+    q = "If Maria buys 12 apples for 3 dollars and then John buys 15 apples for 3 dollars, how many apples does Maria have?"
+    pears = "Tom has 3 apples and 5 pears in the basket. How many pieces of fruit are in the basket of Tom?"
+    twice = "A box holds 2 red balls and 2 green balls. How many balls are in the box after one ball is taken out of it?"
+    other = q.replace("does Maria", "does Peter")
+    rows = [
+        (1, f"{other} {prose(rng, 30)} {q}"), (2, q.replace("and then", "and then on the same day").replace("Maria", "Anna")),
+        (3, pears.replace("3", "4").replace("5", "4")), (4, twice.replace("2 red", "3 red").replace("2 green", "5 green")), (5, other), (6, f"{other} {other}"),
+    ]
+    got = leaks(documents(spark, rows), items_of(spark, q, pears, twice))
+    assert got == {(1, 1): "verbatim", (2, 1): "reparameterised", (3, 2): "reparameterised", (4, 3): "reparameterised"}
+
+
 # --- pipeline
 
 
