@@ -1,7 +1,8 @@
 """Benchmark decontamination by template canonicalisation, as Spark SQL expressions.
 
 Numbers, names and units become typed slots, the other words are lower-cased without punctuation. Windows of WIDTH template
-tokens are hashed; the distinct windows of each document meet those of the benchmark items in a hash join. A document is
+tokens are hashed, once by slot types and once by slot values, so that windows with few words are still found verbatim
+(item windows with fewer than LITERALS words by values only); the distinct windows of each document meet those of the benchmark items in a hash join. A document is
 a candidate for an item if a share of the item's windows, or as many as a run of RUN tokens has, occur in it. For candidates
 the two texts are laid over each other at every distance at which windows agree; windows up to SLACK tokens off belong to the
 same place, each at its own distance. A place with enough windows, or a run of them, is a leak if its names turn into the
@@ -70,6 +71,11 @@ def template_hashes(toks: str) -> Column:
     return F.expr(f"transform({toks}, x -> xxhash64(if(startswith(x, '{_SLOT}'), substring(x, 1, 2), x)))")
 
 
+def value_hashes(toks: str) -> Column:
+    """Hash of every token, slots by their value."""
+    return F.expr(f"transform({toks}, x -> xxhash64(if(startswith(x, '{_SLOT}'), substring(x, 3), x)))")
+
+
 def window_hashes(hashes: str) -> Column:
     """Hash of every window; of all tokens if there are fewer than a window has."""
     parts = ", ".join(f"get({hashes}, i + {j})" for j in range(WIDTH))
@@ -77,9 +83,12 @@ def window_hashes(hashes: str) -> Column:
 
 
 def _windows(df: DataFrame, *keys: str) -> DataFrame:
-    """``keys``, tokens and hashes of all windows. Each step is a projection the next refers to more than once, so it stays."""
-    out = df.select(*keys, tokens("text").alias("toks")).withColumn("_h", template_hashes("toks"))
-    return out.withColumn("windows", window_hashes("_h")).drop("_h")
+    """``keys``, tokens and hashes of all windows, by template and by values; the two are equal where a window has no slot.
+
+    Each step is a projection the next refers to more than once, so it stays.
+    """
+    out = df.select(*keys, tokens("text").alias("toks")).withColumn("_h", template_hashes("toks")).withColumn("_v", value_hashes("toks"))
+    return out.withColumn("windows", window_hashes("_h")).withColumn("values", window_hashes("_v")).drop("_h", "_v")
 
 
 def item_texts(benchmark: DataFrame) -> DataFrame:
@@ -89,12 +98,14 @@ def item_texts(benchmark: DataFrame) -> DataFrame:
 
 
 def item_windows(texts: DataFrame) -> DataFrame:
-    """item_id, item_key, position and hash of every window with enough words, and the number of such positions per item."""
-    at = texts.select("item_id", "item_key", "toks", F.posexplode("windows").alias("item_pos", "window"))
-    words = F.expr(f"size(filter(slice(toks, item_pos + 1, {WIDTH}), x -> not startswith(x, '{_SLOT}')))")
-    kept = at.where((words >= LITERALS) | (F.size("toks") < WIDTH) & (words >= 1)).select("item_id", "item_key", "item_pos", "window")
-    n = kept.groupBy("item_key").agg(F.countDistinct("item_pos").alias("item_windows"))
-    return kept.join(n, "item_key")
+    """item_id, item_key, position and hashes of every window, and the number of positions per item.
+
+    Every window has the hash of its values, one with enough words also that of its template.
+    """
+    words = f"size(filter(slice(toks, i + 1, {WIDTH}), x -> not startswith(x, '{_SLOT}')))"
+    both = f"if({words} >= if(size(toks) < {WIDTH}, 1, {LITERALS}), array_distinct(array(windows[i], values[i])), array(values[i]))"
+    at = texts.where(F.size("windows") > 0).select("item_id", "item_key", F.size("windows").cast("long").alias("item_windows"), F.posexplode(F.expr(f"transform(sequence(0, size(windows) - 1), i -> {both})")).alias("item_pos", "_both"))
+    return at.select("item_id", "item_key", "item_windows", "item_pos", F.explode("_both").alias("window"))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
@@ -108,14 +119,15 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
     texts_of_items = materialize(item_texts(benchmark), "leak-item-texts")
     items = materialize(item_windows(texts_of_items), "leak-items")
     small = items.count() <= BROADCAST_WINDOWS
-    every = _windows(docs, "doc_id", "tag").select("doc_id", "tag", F.explode(F.array_distinct("windows")).alias("window"))
+    every = _windows(docs, "doc_id", "tag").select("doc_id", "tag", F.explode(F.expr("array_distinct(concat(windows, values))")).alias("window"))
     met = every.join(F.broadcast(items) if small else items, "window")
     met = met.groupBy("doc_id", "tag", "item_key", "item_id", "item_windows").agg(F.countDistinct("item_pos").alias("matched"))
     found = materialize(met.where((F.col("matched") >= coverage * F.col("item_windows")) | (F.col("matched") > RUN - WIDTH)), "leak-candidates")
 
     texts = docs.join(found.select("doc_id", "tag").distinct(), ["doc_id", "tag"]).dropDuplicates(["doc_id", "tag"])
     texts = materialize(_windows(texts, "doc_id", "tag"), "leak-texts")
-    places = texts.select("doc_id", "tag", F.posexplode("windows").alias("pos", "window"))
+    places = texts.select("doc_id", "tag", F.size("windows").alias("_m"), F.posexplode(F.expr("concat(windows, values)")).alias("pos", "window"))
+    places = places.withColumn("pos", F.col("pos") % F.col("_m"))
     laid = places.join(F.broadcast(items) if small else items, "window").join(found, ["doc_id", "tag", "item_key", "item_id", "item_windows"])
     pair = ["doc_id", "tag", "item_key"]
     laid = laid.groupBy(*pair, "item_id", "item_windows", "matched", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(F.collect_set("item_pos").alias("at"))

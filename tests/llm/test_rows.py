@@ -301,6 +301,13 @@ def test_leaks_at_any_place_and_with_inserted_words(spark):
     assert got == {(1, 1): "verbatim", (2, 1): "reparameterised", (3, 2): "reparameterised", (4, 3): "reparameterised"}
 
 
+def test_leaks_of_items_with_few_words(spark):
+    rng = random.Random(12)
+    sort, title = "Sort: 5 3 9 1 7 2 8 6 4", "Old Man And Sea By Ernest Hemingway Of Oak Park"
+    rows = [(1, f"{prose(rng, 30)} {sort} {prose(rng, 9)}"), (2, "Sort: 4 3 9 2 7 1 8 6 5"), (3, f"{prose(rng, 9)} {title.lower()} {prose(rng, 9)}"), (4, "1 2 3 4 5 6 7 8 9")]
+    assert leaks(documents(spark, rows), items_of(spark, sort, title)) == {(1, 1): "verbatim", (3, 2): "verbatim"}
+
+
 # --- pipeline
 
 
