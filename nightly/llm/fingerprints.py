@@ -3,6 +3,7 @@
 Words are hashed, a rolling window of K words gives the gram hashes, and of every W consecutive grams the smallest is
 kept, the rightmost of ties. Hash and position share one long (hash above, falling position below), so the smallest long is
 the right one and its position stays at hand. Any run of W + K - 1 words two texts share leaves a fingerprint in both.
+``winnow_chars`` does the same over grams of characters, which the query uses: short texts and texts without blanks have grams.
 
 A lambda over a one-element array binds an intermediate array; without it the optimiser would put its expression into
 the inner lambda and evaluate it once per element.
@@ -18,6 +19,9 @@ from nightly.session import materialize
 K, W = 5, 8  # guarantee: 12 words
 
 
+CHARS = 8  # characters of a gram
+
+
 def _bind(name: str, value: str, body: str) -> str:
     return f"transform(array({value}), {name} -> {body})[0]"
 
@@ -41,13 +45,34 @@ def winnow(text: str = "text", k: int = K, w: int = W) -> Column:
     return F.expr(f"coalesce(array_distinct({low}), array())")
 
 
+def winnow_chars(text: str = "text", level: str | None = None, k: int = CHARS) -> Column:
+    """Fingerprints as above over grams of ``k`` characters; positions count characters with blanks collapsed to one.
+
+    The smallest of every 64 grams is kept, of texts with fewer than 512 grams of every 16, under 128 of every 4, under 32 all.
+    What a wider window keeps a narrower one keeps too, so texts of unlike length compare: a run of w + k - 1 characters two
+    texts share, w the wider of their windows, leaves a fingerprint in both. ``level`` is another text's expression, whose
+    length decides instead. A text shorter than a gram is one gram; NULL, empty and blank texts have an empty array.
+    """
+    def plain(t: str) -> str:
+        return f"trim(regexp_replace(coalesce({t}, ''), '[\\\\x20\\\\x09-\\\\x0D]+', ' '))"
+
+    # four bytes a character, so that a gram is cut out without counting from the start
+    gram = f"shiftleft(xxhash64(substring(b, 4 * i + 1, {4 * k})) & 2147483647, 32) - i"
+    low = _bind("b", f"encode({plain(text)}, 'utf-32')", f"if(length(b) = 0, array(), transform(sequence(0, greatest(cast(length(b) / 4 as int) - {k}, 0)), i -> {gram}))")
+    grams = f"length({plain(level or text)}) - {k - 1}"
+    for step, least in ((1, 32), (4, 128), (16, 512)):  # smallest of 4, 16, 64
+        four = f"transform(sequence(0, size(g) - {3 * step + 1}), i -> least(g[i], g[i + {step}], g[i + {2 * step}], g[i + {3 * step}]))"
+        low = _bind("g", low, f"if(n < {least} or size(g) = 0, g, if(size(g) <= {3 * step}, array(array_min(g)), {four}))")
+    return F.expr(f"coalesce(array_distinct({_bind('n', grams, low)}), array())")
+
+
 # Hash and position of a fingerprint x.
 _HASH = "shiftright(x + 4294967295, 32)"
 _AT = f"(shiftleft({_HASH}, 32) - x)"
 
 
 def positions(prints: str) -> Column:
-    """(hash, position of the first word) of every fingerprint, in order of the text."""
+    """(hash, position of the first word or character) of every fingerprint, in order of the text."""
     return F.expr(f"transform({prints}, x -> struct(cast({_HASH} as int) as hash, cast({_AT} as int) as position))")
 
 
@@ -99,7 +124,7 @@ def compare_edits(docs: DataFrame) -> DataFrame:
     of each text and its hashes travel to the reader.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    base = docs.where(F.col("doc_id").isNotNull()).withColumn("_own", winnow("text"))
+    base = docs.where(F.col("doc_id").isNotNull()).withColumn("_own", winnow_chars("text"))
     heads = base.join(readers(docs).hint("merge"), "doc_id").select(
         F.col("reader").alias("doc_id"), F.expr("substring(text, 1, third)").alias("_head"), hashes("_own").alias("_next")
     )
@@ -108,7 +133,7 @@ def compare_edits(docs: DataFrame) -> DataFrame:
     edited = F.expr("concat(substring(text, 1, length(text) - cast(floor(length(text) / 3) as int)), substring(_n._head, 1, cast(floor(length(text) / 3) as int)))")
     printed = both.select("doc_id", "text", edited.alias("edited"), "_own", F.col("_n._next").alias("_next")).select(
         "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.encode("edited", "utf-8"), 256).alias("edited_sha256"),
-        "_own", hashes("_own").alias("_a"), winnow("edited").alias("_edit"), "_next",
+        "_own", hashes("_own").alias("_a"), winnow_chars("edited", "text").alias("_edit"), "_next",
     )
     printed = printed.withColumn("_b", hashes("_edit"))
     return printed.select(

@@ -7,6 +7,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from nightly.llm import fingerprints, jaccard, substrings
 from nightly.llm.components import components
@@ -202,3 +203,22 @@ def test_edits_and_likeness(spark):
     assert len(got) == len(rows) and fingerprints.compare_edits(documents(spark, [])).collect() == []
     twice = fingerprints.compare_edits(documents(spark, [(1, "a b c"), (1, "a b c"), (2, "d e f g h i")])).collect()
     assert len(twice) == 3 and len({r["fingerprint"] for r in twice if r["doc_id"] == 1}) == 1
+
+
+def test_short_texts_and_texts_without_blanks_keep_fingerprints(spark):
+    rng = random.Random(9)
+    texts = [prose(rng, n)[:c] for n in (4, 8, 15, 30, 90) for c in (13, 38, 39, 40, 134, 135, 136, 518, 519, 520) if c < 9 * n]
+    texts += ["".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(n)) for n in (12, 900)] + ["".join(rng.choice("abcdefghijkl\U0001F600") for _ in range(5000))]
+    got = {r["doc_id"]: r for r in fingerprints.compare_edits(documents(spark, list(enumerate(texts)))).collect()}
+    assert all(got[i]["near_edited"] > 0 for i, t in enumerate(texts) if len(t) >= 12)
+
+
+def test_character_windows_are_nested_and_guarantee_runs(spark):
+    rng = random.Random(10)
+    texts = [prose(rng, n) for n in (3, 9, 20, 60, 200)] + ["ab", "", "x" * 600, "a  b\n" * 40]
+    df = documents(spark, list(enumerate(texts))).withColumn("every", F.lit("short")).withColumn("all", fingerprints.winnow_chars("text", "every"))
+    for r in df.withColumn("own", fingerprints.winnow_chars()).selectExpr("text", "all", "own").collect():
+        n = len(" ".join(r["text"].split())) - 7
+        w = 64 if n >= 512 else 16 if n >= 128 else 4 if n >= 32 else 1
+        assert len(r["all"]) == (max(1, n) if r["text"] else 0)
+        assert r["own"] == [r["all"][i] for i in plain_winnow([x >> 32 if x % 2**32 == 0 else (x >> 32) + 1 for x in r["all"]], w)]
