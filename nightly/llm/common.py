@@ -7,7 +7,9 @@ from collections.abc import Callable
 import numpy as np
 import pandas as pd
 import pyarrow.fs as pafs
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
+
+from nightly.session import materialize
 
 # Rows handed to a Python worker at once; texts can be long.
 ARROW_ROWS = "2000"
@@ -34,6 +36,22 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession, megabytes: int = 16) -> None:
+    """Hand Arrow batches of at most so many bytes to Python workers, however long the texts are."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(megabytes << 20))
+
+
+def merge_rows(found: DataFrame, merge: Callable, name: str, fan_in: int = 64) -> Row | None:
+    """Merge summaries, one row per task, ``fan_in`` at a time until one row is left; no task sees more of them at once.
+
+    ``merge`` is a function for ``mapInArrow`` that makes one row of a partition's rows in the same schema.
+    """
+    found = materialize(found, name)
+    while (rows := found.count()) > 1:
+        found = materialize(found.repartition(-(-rows // fan_in)).mapInArrow(merge, found.schema), name)
+    return found.first()
+
+
 def fold(doc_id: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; NULL for a NULL id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % parts

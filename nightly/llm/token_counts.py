@@ -5,7 +5,7 @@ its pre-tokens. First tier: lengths of the corpus's frequent pre-tokens in one b
 task, filled by the tokenizer with every pre-token the table lacks.
 
 The table is found by one pass in which every task counts its pre-tokens in a bounded summary; summaries (one row per task)
-are merged FAN_IN at a time until one is left. A summary that is full forgets its rarest pre-tokens. The table only decides
+are merged some at a time until one is left. A summary that is full forgets its rarest pre-tokens. The table only decides
 which tier answers: with any table, an empty one too, the counts are the tokenizer's.
 
 The cut is that of a lower-casing tokenizer with word ends: letters in a row, single digits, other characters in a row, English
@@ -27,16 +27,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from nightly.llm.common import query, table
+from nightly.llm.common import merge_rows, query, small_batches, table
 from nightly.llm.token_files import _byte_letters
-from nightly.session import materialize
 
 LIMIT = 2048  # tokens of a document above which it is over the limit
 TABLE = 131_072  # pre-tokens in the broadcast table
 SUMMARY = 262_144  # pre-tokens a task counts before it forgets the rarer half
 CACHE = 200_000  # pre-tokens a task remembers besides the table
 LONGEST = 64  # characters of a pre-token that is remembered
-FAN_IN = 64  # summaries merged by one task
 
 _KNOWN = [chr(i) for i in range(0x180)]
 _BLANK = "\t-\r \x85\xa0"
@@ -157,10 +155,7 @@ def frequent(docs: DataFrame, path: str) -> list[str]:
                     counts = _forget(counts, SUMMARY // 2)
         yield _summary(counts)
 
-    found = materialize(docs.select("text").mapInArrow(look, schema), "token-summaries")
-    while (rows := found.count()) > 1:
-        found = materialize(found.repartition(-(-rows // FAN_IN)).mapInArrow(merge, schema), "token-summaries")
-    row = found.first()
+    row = merge_rows(docs.select("text").mapInArrow(look, schema), merge, "token-summaries")
     if row is None or not row["words"]:
         return []
     return [w for w, n in zip(row["words"].split(" "), np.frombuffer(row["counts"], "<i8").tolist()) if n > 1]
@@ -196,4 +191,5 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
 def op12_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     import public_tokenizers
 
+    small_batches(spark)
     return count_tokens(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
