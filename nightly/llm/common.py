@@ -41,7 +41,7 @@ def small_batches(spark: SparkSession, megabytes: int = 16) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(megabytes << 20))
 
 
-def merge_rows(found: DataFrame, merge: Callable, name: str, fan_in: int = 64) -> Row | None:
+def merge_rows(found: DataFrame, merge: Callable, name: str, fan_in: int = 16) -> Row | None:
     """Merge summaries, one row per task, ``fan_in`` at a time until one row is left; no task sees more of them at once.
 
     ``merge`` is a function for ``mapInArrow`` that makes one row of a partition's rows in the same schema.
