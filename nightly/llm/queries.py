@@ -3,6 +3,6 @@
 from __future__ import annotations
 
 from nightly.llm import (  # noqa: F401
-    decontaminate, fingerprints, jaccard, language, lexical, mixing, quality, substrings, token_counts, token_files, toxicity, warc,
+    conversations, decontaminate, fingerprints, jaccard, language, lexical, mixing, quality, substrings, token_counts, token_files, toxicity, warc,
 )
 from nightly.llm.common import ORACLES, QUERIES  # noqa: F401
