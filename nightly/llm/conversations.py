@@ -397,7 +397,45 @@ def damaged(turns: DataFrame) -> DataFrame:
     return rows.select("conv_id", "turn", "role", "text", F.explode(times).alias("_copy")).drop("_copy")
 
 
-@query()
+ORACLE = r"""
+WITH RECURSIVE b8 AS (SELECT list_transform(range(256), lambda n: list_reduce(range(8),
+    lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, n)) AS crc),
+h AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS id FROM conversations),
+z AS (SELECT h.*, xor(list_reduce(list_transform(string_split(id, ''), lambda x: ord(x)::BIGINT),
+    lambda a, b: xor(a >> 8, crc[(xor(a, b) & 255) + 1]), 4294967295), 4294967295) % 20 AS h FROM h, b8),
+d AS (SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+    CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM z, unnest(range(CASE h WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END))),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM d),
+f AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
+    WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 3 ELSE 0 END AS fault, left(role, 1) AS r,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair FROM n),
+c AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank,
+    count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS m FROM f GROUP BY conv_id),
+k AS (SELECT * FROM (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)) v(q, r, t)),
+x AS (SELECT * FROM (VALUES (0, 2, 'user'), (1, 2, 'user'), (2, 3, 'assistant'), (3, 2, 'user')) v(q, t, role)),
+e AS (SELECT q, q AS t, 0 AS cost, '' AS audit, [] ::VARCHAR[] AS lines FROM x UNION ALL SELECT q, t, 5, 'I', [role || ':'] FROM x
+    UNION ALL SELECT a.q, b.t, 10, 'II', [a.role || ':', b.role || ':'] FROM x a JOIN x b ON a.t = b.q),
+s AS (SELECT conv_id, 0::BIGINT AS i, e.t AS q, {'cost': e.cost, 'audit': e.audit, 'lines': e.lines} AS best FROM c, e WHERE e.q = 0
+    UNION ALL
+    SELECT o.conv_id, o.i, e.t, min({'cost': o.cost + e.cost, 'audit': o.audit || e.audit, 'lines': list_concat(o.lines, e.lines)}) FROM (
+        SELECT s.conv_id, f.i, s.q, best.cost + 2 AS cost, best.audit || 'D' AS audit, best.lines AS lines FROM s JOIN f ON s.conv_id IS NOT DISTINCT FROM f.conv_id AND f.i = s.i + 1
+        UNION ALL SELECT s.conv_id, f.i, k.t, best.cost + CASE fault WHEN 3 THEN 5 ELSE 0 END, best.audit || 'K', list_append(best.lines, role || ':' || text)
+            FROM s JOIN f ON s.conv_id IS NOT DISTINCT FROM f.conv_id AND f.i = s.i + 1 JOIN k ON k.q = s.q AND k.r = f.r WHERE fault IN (0, 3)
+        UNION ALL SELECT s.conv_id, f.i, x.t, best.cost + CASE fault WHEN 3 THEN 6 ELSE 1 END, best.audit || 'R', list_append(best.lines, x.role || ':' || text)
+            FROM s JOIN f ON s.conv_id IS NOT DISTINCT FROM f.conv_id AND f.i = s.i + 1 JOIN x ON x.q = s.q WHERE fault IN (0, 3)) o
+    JOIN e ON e.q = o.q GROUP BY o.conv_id, o.i, e.t),
+b AS (SELECT s.conv_id, min(best) AS best FROM s JOIN c ON s.conv_id IS NOT DISTINCT FROM c.conv_id AND s.i = c.m WHERE q IN (0, 3) GROUP BY s.conv_id)
+SELECT a.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+    coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.cost, 0)::BIGINT AS cost,
+    coalesce(best.audit, '') AS audit, sha256(coalesce(array_to_string(best.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN c ON a.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN b ON a.conv_id IS NOT DISTINCT FROM b.conv_id
+"""
+
+
+@query(ORACLE)
 def op11_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
     small_batches(spark)
     turns = table(spark, sf, "conversations")
