@@ -269,17 +269,86 @@ def run_summary(spark, sf):
     return plain(fc.run_summary(ahead, decompose.seasonal_decompose(regular, "sleep_hours", 7)))
 
 
-@query()
+def _eliminated(equations: str, width: int) -> str:
+    """Recursive table ``solved``: the equations (series, a) with a unit matrix on the left after ``width`` rounds."""
+    return f"""e AS (SELECT series, 0 AS i, a FROM {equations} UNION ALL
+          SELECT series, i + 1, list_transform(a, lambda r, j: CASE WHEN j = i + 1 THEN list_transform(r, lambda v: v / r[i + 1])
+            ELSE list_transform(list_zip(r, a[i + 1]), lambda p: p[1] - r[i + 1] / a[i + 1][i + 1] * p[2]) END) FROM e WHERE i < {width}),
+        solved AS (SELECT series, list_transform(a, lambda r: r[{width + 1}]) AS beta FROM e WHERE i = {width})"""
+
+
+LAGS = 30
+_AUTOREG = f"""WITH RECURSIVE ys AS (SELECT series, list(sleep_hours ORDER BY date) AS y, count(*) AS n, max(date) AS last
+            FROM sregular GROUP BY series HAVING count(*) > {LAGS}),
+        x AS (SELECT series, list_concat([list_transform(y[{LAGS + 1}:], lambda v: 1.0::DOUBLE)],
+            list_transform(range(1, {LAGS + 1}), lambda k: y[{LAGS + 1} - k:n - k])) AS x, y[{LAGS + 1}:] AS y FROM ys),
+        eq AS (SELECT series, list_transform(x, lambda u: list_transform(list_append(x, y), lambda v: list_dot_product(u, v))) AS a FROM x),
+        {_eliminated("eq", LAGS + 1)}"""
+
+
+@query(
+    f"""SELECT * FROM ({_AUTOREG} SELECT series, term, round(beta[term + 1] + 1e-9, 6) + 0.0 AS coefficient
+        FROM solved, (SELECT unnest(range(0, {LAGS + 1})) AS term))"""
+)
 def autoreg_fit(spark, sf):
-    return plain(regress.autoreg_fit(_regular(spark, sf), "sleep_hours", 30, keys=KEY))
+    return plain(regress.autoreg_fit(_regular(spark, sf), "sleep_hours", LAGS, keys=KEY))
 
 
-@query()
+@query(
+    f"""SELECT * FROM ({_AUTOREG}, w AS (SELECT s.series, 0 AS step, list_reverse(y) AS known, beta, last FROM solved s JOIN ys ON s.series = ys.series
+            UNION ALL SELECT series, step + 1, list_prepend(beta[1] + list_dot_product(beta[2:], known[1:{LAGS}]), known[1:{LAGS}]), beta, last
+            FROM w WHERE step < 14)
+        SELECT series, CAST(last + step AS DATE) AS date, CAST(step AS BIGINT) AS step, round(known[1] + 1e-9, 6) + 0.0 AS forecast
+        FROM w WHERE step > 0)"""
+)
 def autoreg_forecast(spark, sf):
-    return plain(regress.autoreg_forecast(_regular(spark, sf), "sleep_hours", 30, 14, keys=KEY))
+    return plain(regress.autoreg_forecast(_regular(spark, sf), "sleep_hours", LAGS, 14, keys=KEY))
 
 
-@query()
+@query(
+    f"""SELECT * FROM ({_AUTOREG}, f AS (SELECT series, date, sleep_hours AS actual, row_number() OVER o AS rn,
+            list_reverse(list(sleep_hours) OVER (PARTITION BY series ORDER BY date ROWS BETWEEN {LAGS} PRECEDING AND 1 PRECEDING)) AS past
+            FROM sregular WINDOW o AS (PARTITION BY series ORDER BY date))
+        SELECT f.series, date, {r6('actual', 'actual')}, {r6('beta[1] + list_dot_product(beta[2:], past)', 'fitted')}
+        FROM f JOIN solved ON f.series = solved.series WHERE rn > {LAGS})"""
+)
+def autoreg_fitted(spark, sf):
+    return plain(regress.autoreg_fitted(_regular(spark, sf), "sleep_hours", LAGS, keys=KEY))
+
+
+# One lag, one feature, differences over a week; gaps are filled from before.
+_ARX = f"""WITH RECURSIVE d AS (SELECT l_suppkey AS series, CAST(l_shipdate AS DATE) AS date, avg(l_quantity * 0.3) AS y, avg(l_discount) AS x
+            FROM lineitem GROUP BY 1, 2),
+        g AS (SELECT g.series, g.date, last_value(y IGNORE NULLS) OVER o AS y, last_value(x IGNORE NULLS) OVER o AS x
+            FROM (SELECT series, CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date FROM d GROUP BY series) g
+            LEFT JOIN d ON d.series = g.series AND d.date = g.date
+            WINDOW o AS (PARTITION BY g.series ORDER BY g.date ROWS UNBOUNDED PRECEDING)),
+        t AS (SELECT *, row_number() OVER o - 1 AS t, count(*) OVER (PARTITION BY series) AS n, y - lag(y, 7) OVER o AS dy, x - lag(x, 7) OVER o AS dx
+            FROM g WHERE y IS NOT NULL WINDOW o AS (PARTITION BY series ORDER BY date)),
+        r AS (SELECT *, lag(dy) OVER (PARTITION BY series ORDER BY date) AS dl,
+            least(n, greatest(n - least(7, greatest(1, n // 3)), greatest(10, n - 30))) AS k FROM t),
+        m AS (SELECT series, [[count(*), sum(dl), sum(dx), sum(dy)], [sum(dl), sum(dl * dl), sum(dl * dx), sum(dl * dy)],
+              [sum(dx), sum(dx * dl), sum(dx * dx), sum(dx * dy)]]::DOUBLE[][] AS a, count(*) AS rows, sum(dy * dy) AS dd
+            FROM r WHERE t >= 8 AND t < k GROUP BY series HAVING count(*) >= 5),
+        {_eliminated("m", 3)},
+        f AS (SELECT s.series, beta, sqrt(greatest(0, dd - list_dot_product(beta, list_transform(a, lambda v: v[4]))) / greatest(1, rows - 3)) AS sigma
+            FROM solved s JOIN m ON s.series = m.series),
+        h AS (SELECT series, avg(y) AS mean, list(y ORDER BY t DESC)[1:8] AS recent FROM r WHERE t < k GROUP BY series),
+        p AS (SELECT r.series, r.date, r.t - k AS step, y, coalesce(dx, 0) AS dx FROM r WHERE t >= k),
+        w AS (SELECT f.series, -1::BIGINT AS step, recent AS known, 0.0::DOUBLE AS shock, list_transform(range(7), lambda i: 0.0::DOUBLE) AS weight, 0.0::DOUBLE AS square
+            FROM f JOIN h ON f.series = h.series
+            UNION ALL SELECT o.series, o.step, list_prepend(known[7] + beta[1] + beta[2] * (known[1] - known[8]) + beta[3] * dx, known),
+              o.shock, list_prepend(o.shock + weight[7], weight), square + (o.shock + weight[7]) ** 2
+            FROM (SELECT w.series, w.step + 1 AS step, known, CASE WHEN w.step < 0 THEN 1.0 ELSE beta[2] * shock END AS shock, weight, square, beta
+                  FROM w JOIN f ON w.series = f.series) o JOIN p ON p.series = o.series AND p.step = o.step),
+        z AS (SELECT p.series, p.date, coalesce(known[1], mean) AS prediction, coalesce(1.959963984540054 * sigma * sqrt(square), 0.5) AS half, y AS actual
+            FROM p JOIN h ON h.series = p.series LEFT JOIN w ON w.series = p.series AND w.step = p.step LEFT JOIN f ON f.series = p.series)"""
+
+
+@query(
+    f"""SELECT * FROM ({_ARX} SELECT series, date, {r6('prediction', 'prediction')}, {r6('prediction - half', 'lower')},
+        {r6('prediction + half', 'upper')}, {r6('actual', 'actual')} FROM z)"""
+)
 def seasonal_arx_forecast(spark, sf):
     return plain(
         regress.seasonal_arx_forecast(

@@ -1,64 +1,100 @@
-"""Autoregressions fitted per series inside grouped Arrow tasks.
+"""Autoregressions fitted per series by normal equations, without Python workers.
 
-Spark groups the rows by series; a task solves one small least-squares problem
-per series. A series has one row per day (`series.regular_series` or the daily
-mean taken here), so the days bound what a task holds.
+A series has one row per day (`series.regular_series` or the daily mean taken here). Its sums are an aggregate; what remains
+is one small system of equations a series, solved by the expressions of `normal`.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
-from nightly.functions.frame import as_double
+from nightly.functions.frame import as_double, join_keys, over_keys
 from nightly.operators.forecast import (
     BACKTEST_WINDOW,
     HORIZON,
     feature_columns,
     register_forecaster,
 )
+from nightly.operators.normal import dot, equations, let, moments, solve
 
 SEASON = 7
+BAND_Z = 1.959963984540054
 
 
-def _solve(y: np.ndarray, x: np.ndarray) -> np.ndarray:
-    return np.linalg.lstsq(x, y, rcond=None)[0]
+def _ready(df: DataFrame, value: str, keys: Sequence[str], date: str) -> DataFrame:
+    """One row per series and day, whatever the frame has, so that days bound every group."""
+    day = F.col(date).cast("date").alias("date")
+    rows = df.select(*keys, day, as_double(df, value).alias("y")).dropna(subset=["date", "y"])
+    return rows.groupBy(*keys, "date").agg(F.avg("y").alias("y"))
+
+
+def _lagged(df: DataFrame, value: str, lags: int, keys: Sequence[str], date: str) -> DataFrame:
+    """The series around its mean, with ``lags`` earlier values beside every day."""
+    series = over_keys(keys)
+    order = series.orderBy("date")
+    rows = _ready(df, value, keys, date).withColumns(
+        {"_mean": F.avg("y").over(series), "_n": F.count(F.lit(1)).over(series), "_rn": F.row_number().over(order)}
+    )
+    rows = rows.withColumn("_z0", F.col("y") - F.col("_mean"))
+    return rows.withColumns({f"_z{k}": F.lag("_z0", k).over(order) for k in range(1, lags + 1)})
 
 
-def _lagged(y: np.ndarray, lags: int) -> np.ndarray:
-    """Rows (1, y[t-1], ..., y[t-lags]) for t = lags..n-1."""
-    n = len(y)
-    return np.column_stack([np.ones(n - lags), *[y[lags - k : n - k] for k in range(1, lags + 1)]])
+def _latest(position: Column, wanted: Column) -> Column:
+    """The values of the wanted rows of a series, latest first."""
+    picked = F.collect_list(F.when(wanted, F.struct(position.alias("p"), F.col("_z0").alias("z"))))
+    return F.transform(F.sort_array(picked, asc=False), lambda x: x["z"])
 
 
-def _apply(df: DataFrame, keys: Sequence[str], fn, schema: T.StructType) -> DataFrame:
-    if keys:
-        return df.groupBy(*keys).applyInPandas(fn, schema)
-    one = df.withColumn("_all", F.lit(0))
-    return one.groupBy("_all").applyInPandas(fn, schema)
+def _lag_products(lags: int) -> Column:
+    """Sums of z[t-i] z[t-j] over the days with all lags, i and j from 0 to ``lags``.
 
+    Only those of z[t] are summed over the days. Each further row is the row before moved on by one day: it gains the product
+    of two of the first values and loses that of two of the last.
+    """
+    first = F.array(*[F.col(f"_c{k}") for k in range(lags + 1)])
 
-def _schema(df: DataFrame, keys: Sequence[str], fields: str) -> T.StructType:
-    head = T.StructType([df.schema[k] for k in keys])
-    return T.StructType(head.fields + T.StructType.fromDDL(fields).fields)
+    def further(rows: Column, i: Column) -> Column:
+        def moved(v: Column, j: Column) -> Column:
+            gained = F.get("_head", i) * F.get("_head", j)
+            return v + gained - F.get("_tail", i) * F.get("_tail", j)
 
+        row = F.concat(F.array(F.get(first, i + 1)), F.transform(F.slice(F.get(rows, i), 1, lags), moved))
+        return F.concat(rows, F.array(row))
 
-def _with_keys(pdf: pd.DataFrame, keys: Sequence[str], body: dict) -> pd.DataFrame:
-    out = pd.DataFrame(body)
-    for i, k in enumerate(keys):
-        out.insert(i, k, pdf[k].iloc[0] if len(pdf) else None)
-    # Columns without rows have no type of their own that Arrow could cast.
-    return out if len(out) else out.astype(object)
+    return F.aggregate(F.sequence(F.lit(0), F.lit(lags - 1)), F.array(first), further)
 
 
-def _ready(df: DataFrame, value: str, keys: Sequence[str], date: str) -> DataFrame:
-    """One row per series and day, whatever the frame has, so that days bound every group."""
-    day = F.col(date).cast("date").alias("date")
-    rows = df.select(*keys, day, as_double(df, value).alias("y")).dropna(subset=["date", "y"])
-    return rows.groupBy(*keys, "date").agg(F.avg("y").alias("y"))
+def _fits(rows: DataFrame, lags: int, keys: Sequence[str]) -> DataFrame:
+    """Per series with more than ``lags`` values: ``_beta`` (constant first), the last values, their mean and the last day."""
+    whole = F.col("_rn") > lags
+    lag = [F.col(f"_z{k}") for k in range(lags + 1)]
+    sums = rows.groupBy(*keys).agg(
+        *[F.sum(F.when(whole, lag[0] * z)).alias(f"_c{k}") for k, z in enumerate(lag)],
+        *[F.sum(F.when(whole, z)).alias(f"_s{k}") for k, z in enumerate(lag)],
+        F.count_if(whole).alias("_rows"),
+        _latest(F.col("_rn"), F.col("_rn") <= lags).alias("_head"),
+        _latest(F.col("_rn"), F.col("_rn") > F.col("_n") - lags).alias("_tail"),
+        F.first("_mean").alias("_mean"),
+        F.max("date").alias("_last"),
+    ).where("_rows > 0")
+    ones = F.array(F.col("_rows").cast("double"), *[F.col(f"_s{k}") for k in (*range(1, lags + 1), 0)])
+
+    def row(products: Column, k: int) -> Column:
+        own = F.get(products, F.lit(k))
+        return F.concat(F.array(F.col(f"_s{k}")), F.slice(own, 2, lags), F.slice(own, 1, 1))
+
+    system = let(_lag_products(lags), lambda p: F.array(ones, *[row(p, k) for k in range(1, lags + 1)]))
+    beta = solve(system, lags + 1)["beta"]
+    return sums.withColumn("_b", beta).select(*keys, "_b", "_tail", "_mean", "_last")
+
+
+def _original(beta: Column, mean: Column) -> Column:
+    """Coefficients for the series itself from those for the series around its mean."""
+    slopes = F.slice(beta, 2, F.size(beta))
+    total = F.aggregate(slopes, F.lit(0.0), lambda s, v: s + v)
+    return F.concat(F.array(F.get(beta, F.lit(0)) + mean * (1 - total)), slopes)
 
 
 def autoreg_fit(
@@ -66,40 +102,23 @@ def autoreg_fit(
 ) -> DataFrame:
     """Coefficients of the regression on a constant and ``lags`` lags, ``(keys, term, coefficient)``.
 
-    Series with at most ``lags`` values give no rows. Expects a regular series.
+    Series with at most ``lags`` values give no rows. Lags that depend on those before them, as in a constant series, get the
+    coefficient 0. Expects a regular series.
     """
-    keys = list(keys)
-    schema = _schema(df, keys, "term int, coefficient double")
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        y = pdf.sort_values("date")["y"].to_numpy()
-        if len(y) <= lags:
-            return _with_keys(pdf, keys, {"term": [], "coefficient": []})
-        beta = _solve(y[lags:], _lagged(y, lags))
-        return _with_keys(pdf, keys, {"term": np.arange(lags + 1, dtype="int32"), "coefficient": beta})
-
-    return _apply(_ready(df, value, keys, date), keys, fit, schema)
+    fits = _fits(_lagged(df, value, lags, keys, date), lags, keys)
+    own = let(F.col("_b"), lambda beta: _original(beta, F.col("_mean")))
+    return fits.select(*keys, F.posexplode(own).alias("term", "coefficient"))
 
 
 def autoreg_fitted(
     df: DataFrame, value: str, lags: int = 30, *, keys: Sequence[str] = (), date: str = "date"
 ) -> DataFrame:
     """Actual and fitted value of every day that has all its lags."""
-    keys = list(keys)
-    schema = _schema(df, keys, "date date, actual double, fitted double")
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date")
-        y = pdf["y"].to_numpy()
-        if len(y) <= lags:
-            return _with_keys(pdf, keys, {"date": [], "actual": [], "fitted": []})
-        x = _lagged(y, lags)
-        fitted = x @ _solve(y[lags:], x)
-        return _with_keys(
-            pdf, keys, {"date": pdf["date"].to_numpy()[lags:], "actual": y[lags:], "fitted": fitted}
-        )
-
-    return _apply(_ready(df, value, keys, date), keys, fit, schema)
+    rows = _lagged(df, value, lags, keys, date)
+    fits = _fits(rows, lags, keys).select(*keys, "_b")
+    both = join_keys(rows.where(F.col("_rn") > lags), fits, keys) if keys else rows.where(F.col("_rn") > lags).join(F.broadcast(fits))
+    past = F.array(F.lit(1.0), *[F.col(f"_z{k}") for k in range(1, lags + 1)])
+    return both.select(*keys, "date", F.col("y").alias("actual"), (F.col("_mean") + dot(past, F.col("_b"))).alias("fitted"))
 
 
 def autoreg_forecast(
@@ -111,26 +130,142 @@ def autoreg_forecast(
     keys: Sequence[str] = (),
     date: str = "date",
 ) -> DataFrame:
-    """Recursive forecast of the days after the series."""
-    keys = list(keys)
-    schema = _schema(df, keys, "date date, step int, forecast double")
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date")
-        y = pdf["y"].to_numpy()
-        if len(y) <= lags:
-            return _with_keys(pdf, keys, {"date": [], "step": [], "forecast": []})
-        beta = _solve(y[lags:], _lagged(y, lags))
-        known = list(y)
-        for _ in range(horizon):
-            recent = known[: -lags - 1 : -1]
-            known.append(beta[0] + float(np.dot(beta[1:], recent)))
-        last = pd.Timestamp(pdf["date"].iloc[-1])
-        days = pd.date_range(last + pd.Timedelta(days=1), periods=horizon).date
-        steps = np.arange(1, horizon + 1, dtype="int32")
-        return _with_keys(pdf, keys, {"date": days, "step": steps, "forecast": known[len(y):]})
-
-    return _apply(_ready(df, value, keys, date), keys, run, schema)
+    """Recursive forecast of the days after the series; the state is the list of the latest values."""
+    fits = _fits(_lagged(df, value, lags, keys, date), lags, keys)
+
+    def path(beta: Column) -> Column:
+        def ahead(known: Column, _: Column) -> Column:
+            past = F.concat(F.array(F.lit(1.0)), F.slice(known, 1, lags))
+            return F.concat(F.array(dot(beta, past)), known)
+
+        return F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), F.col("_tail"), ahead)
+
+    # The coefficients are bound before the recursion: as a column they would be solved again in every step.
+    steps = F.reverse(F.slice(let(F.col("_b"), path), 1, horizon))
+    steps = fits.select(*keys, "_mean", "_last", F.posexplode(steps).alias("_i", "_z"))
+    step = F.col("_i") + 1
+    return steps.select(*keys, F.date_add("_last", step).alias("date"), step.alias("step"), (F.col("_mean") + F.col("_z")).alias("forecast"))
+
+
+def _daily_grid(df: DataFrame, target: str, exog: Sequence[str], keys: Sequence[str], date: str) -> DataFrame:
+    """Every day from the first known target to the last day of a series, gaps filled from before."""
+    means = [F.avg(as_double(df, c)).alias(c) for c in exog]
+    days = df.groupBy(*keys, F.col(date).cast("date").alias("date")).agg(F.avg(as_double(df, target)).alias("_y"), *means)
+    days = days.dropna(subset=["date"])
+    order = over_keys(keys).orderBy("date")
+    # A day stands for the gap behind it too, so filling is copying.
+    gap = F.coalesce(F.date_sub(F.lead("date").over(order), 1), F.col("date"))
+    last = [F.last(c, ignorenulls=True).over(order).alias(c) for c in ("_y", *exog)]
+    filled = days.select(*keys, "date", gap.alias("_until"), *last).where(F.col("_y").isNotNull())
+    every = F.explode(F.sequence("date", "_until", F.expr("interval 1 day"))).alias("date")
+    return filled.select(*keys, every, "_y", *exog)
+
+
+def arx_fit(
+    df: DataFrame,
+    target: str,
+    *,
+    keys: Sequence[str] = (),
+    date: str = "date",
+    horizon: int = HORIZON,
+    backtest_window: int | None = BACKTEST_WINDOW,
+    exog: Sequence[str] | None = (),
+    lags: int = 1,
+    season: int = SEASON,
+) -> tuple[DataFrame, DataFrame]:
+    """Coefficient table of the weekly-differenced regression, and the test rows it was not fitted on.
+
+    One row per series: ``beta`` (constant, lags, features; NULL where the series is too short), ``sigma``, ``mean`` of the
+    training days and ``recent``, their latest values. Test rows carry the day's feature differences ``dx``.
+    """
+    exog = feature_columns(df, target, keys=keys) if exog is None else list(exog)
+    series = over_keys(keys)
+    order = series.orderBy("date")
+    grid = _daily_grid(df, target, exog, keys, date)
+    n = F.count(F.lit(1)).over(series)
+    h = F.least(F.lit(horizon), F.greatest(F.lit(1), F.floor(F.col("_n") / 3)))
+    window = F.least(F.lit(30), F.col("_n")) if backtest_window is None else F.lit(backtest_window)
+    end = F.least(F.col("_n"), F.greatest(F.col("_n") - h, F.greatest(F.lit(10), F.col("_n") - window)))
+    rows = grid.withColumns(
+        {"_t": F.row_number().over(order) - 1, "_n": n, "_dy": F.col("_y") - F.lag("_y", season).over(order)}
+    ).withColumn("_end", end)
+    # Features that are unknown on some day of a series carry no usable signal in it.
+    known = {f"_k{i}": F.count(c).over(series) == F.col("_n") for i, c in enumerate(exog)}
+    steps = {f"_x{i}": F.col(c) - F.lag(c, season).over(order) for i, c in enumerate(exog)}
+    own = {f"_l{k}": F.lag("_dy", k).over(order) for k in range(1, lags + 1)}
+    rows = rows.withColumns({**known, **steps, **own})
+    rows = rows.withColumns({f"_x{i}": F.when(F.col(f"_k{i}") & F.col(f"_x{i}").isNotNull(), F.col(f"_x{i}")).otherwise(0.0) for i in range(len(exog))})
+    train = (F.col("_t") >= season + lags) & (F.col("_t") < F.col("_end"))
+    design = [F.lit(1.0), *[F.col(c) for c in own], *[F.col(c) for c in steps]]
+    recent = F.collect_list(F.when((F.col("_t") < F.col("_end")) & (F.col("_t") >= F.col("_end") - season - lags), F.struct("_t", "_y")))
+    fits = rows.groupBy(*keys).agg(
+        *[c.alias(name) for name, c in moments(design, F.col("_dy"), train).items()],
+        F.avg(F.when(F.col("_t") < F.col("_end"), F.col("_y"))).alias("mean"),
+        F.transform(F.sort_array(recent, asc=False), lambda v: v["_y"]).alias("recent"),
+        *[F.first(c).alias(c) for c in known],
+    )
+    width = len(design)
+    usable = F.lit(1 + lags)
+    for c in known:
+        usable = usable + F.col(c).cast("int")
+    fits = fits.withColumn("_eq", equations(width)).withColumn("_fit", solve(F.slice("_eq", 1, width), width))
+    right = F.transform(F.slice("_eq", 1, width), lambda row: F.get(row, F.lit(width)))
+    rest = F.coalesce(F.col(f"_m{width}_{width}"), F.lit(0.0)) - dot(F.col("_fit.beta"), right)
+    enough = F.col("_rows") >= usable + 2
+    freedom = F.greatest(F.lit(1), F.col("_rows") - F.col("_fit.used"))
+    fits = fits.select(
+        *keys, F.when(enough, F.col("_fit.beta")).alias("beta"),
+        F.when(enough, F.sqrt(F.greatest(F.lit(0.0), rest) / freedom)).alias("sigma"), "mean", "recent",
+    )
+    test = rows.where(F.col("_t") >= F.col("_end")).select(
+        *keys, "date", F.col("_y").alias("actual"), (F.col("_t") - F.col("_end")).alias("step"),
+        F.array(*[F.col(c) for c in steps]).cast("array<double>").alias("dx"),
+    )
+    return fits, test
+
+
+def arx_score(
+    fits: DataFrame, test: DataFrame, *, keys: Sequence[str] = (), lags: int = 1, season: int = SEASON, z: float = BAND_Z
+) -> DataFrame:
+    """Forecast of the test rows from a coefficient table of `arx_fit`: ``keys, date, prediction, lower, upper, actual``."""
+    day = F.struct("step", "date", "actual", "dx")
+    ahead = test.groupBy(*keys).agg(F.sort_array(F.collect_list(day)).alias("_days"))  # at most the test days of a series
+    both = join_keys(fits, ahead, keys) if keys else fits.join(F.broadcast(ahead))
+    beta = F.col("beta")
+    phi = F.slice(beta, 2, lags)
+    gamma = F.slice(beta, 2 + lags, F.greatest(F.lit(0), F.size(beta) - 1 - lags))
+
+    def further(known: Column, d: Column) -> Column:
+        moves = F.zip_with(F.slice(known, 1, lags), F.slice(known, 1 + season, lags), lambda a, b: a - b)
+        step = F.get(beta, F.lit(0)) + dot(phi, moves) + dot(gamma, d["dx"])
+        return F.concat(F.array(F.get(known, F.lit(season - 1)) + step), known)
+
+    def growth(state: Column, d: Column) -> Column:
+        """Responses to a shock ``step`` days ago: of the differences, of the series, and summed squares of the latter."""
+        shock = F.when(d["step"] == 0, 1.0).otherwise(dot(phi, F.slice(state["shock"], 1, lags)))
+        return let(shock, lambda s: let(s + F.get(state["weight"], F.lit(season - 1)), lambda w: F.struct(
+            F.concat(F.array(s), state["shock"]).alias("shock"), F.concat(F.array(w), state["weight"]).alias("weight"),
+            F.concat(state["square"], F.array(F.coalesce(F.element_at(state["square"], -1), F.lit(0.0)) + w * w)).alias("square"),
+        )))
+
+    zeros = F.struct(
+        F.array_repeat(F.lit(0.0), lags).alias("shock"), F.array_repeat(F.lit(0.0), season).alias("weight"),
+        F.array(F.lit(0.0)).alias("square"),
+    )
+    days = F.size("_days")
+    path = F.reverse(F.slice(F.aggregate("_days", F.col("recent"), further), 1, days))
+    spread = F.slice(F.aggregate("_days", zeros, growth)["square"], 2, days)
+    done = both.withColumns({
+        "_path": F.when(beta.isNull(), F.array_repeat("mean", days)).otherwise(path),
+        "_half": F.when(beta.isNull(), F.array_repeat(F.lit(0.5), days)).otherwise(
+            F.transform(spread, lambda v: z * F.col("sigma") * F.sqrt(v))),
+    })
+    each = done.select(*keys, F.explode(F.arrays_zip("_days", "_path", "_half")).alias("d"))
+    p, half = F.col("d._path"), F.col("d._half")
+    return each.select(
+        *keys, F.col("d._days.date").alias("date"), p.alias("prediction"), (p - half).alias("lower"), (p + half).alias("upper"),
+        F.col("d._days.actual").alias("actual"),
+    )
 
 
 def seasonal_arx_forecast(
@@ -144,123 +279,22 @@ def seasonal_arx_forecast(
     exog: Sequence[str] | None = (),
     lags: int = 1,
     season: int = SEASON,
-    z: float = 1.959963984540054,
+    z: float = BAND_Z,
 ) -> DataFrame:
     """Weekly-differenced regression on own lags and outside features, tested on the last days.
 
     The weekly difference of the target is regressed on a constant, its last
     ``lags`` values and the weekly differences of the features. The test days are
     forecast recursively with their known features; the band widens with the step
-    by the autoregressive weights. Too short or unsolvable series get the training
-    mean with a band of 0.5. ``exog=None`` takes every numeric column that is not
-    derived from the same night.
+    by the autoregressive weights. Too short series get the training mean with a
+    band of 0.5; features that depend on others or are unknown on some day get the
+    coefficient 0. ``exog=None`` takes every numeric column that is not derived
+    from the same night.
     """
-    keys = list(keys)
-    exog = feature_columns(df, target, keys=keys) if exog is None else list(exog)
-    schema = _schema(
-        df, keys, "date date, prediction double, lower double, upper double, actual double"
+    fits, test = arx_fit(
+        df, target, keys=keys, date=date, horizon=horizon, backtest_window=backtest_window, exog=exog, lags=lags, season=season
     )
-    # One row per day before the rows of a series meet in one task.
-    means = [F.avg(as_double(df, c)).alias(c) for c in exog]
-    ready = (
-        df.groupBy(*keys, F.col(date).cast("date").alias("date"))
-        .agg(F.avg(as_double(df, target)).alias("y"), *means)
-        .dropna(subset=["date"])
-    )
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date")
-        pdf = pdf.set_index(pd.DatetimeIndex(pd.to_datetime(pdf["date"])))
-        first_key = pdf.iloc[:1]
-        daily = pdf[["y", *exog]].asfreq("D").ffill()
-        daily = daily.loc[daily["y"].first_valid_index():] if daily["y"].notna().any() else daily.iloc[:0]
-        n = len(daily)
-        if n == 0:
-            empty = {c: [] for c in ("date", "prediction", "lower", "upper", "actual")}
-            return _with_keys(first_key, keys, empty)
-        h = min(horizon, max(1, n // 3))
-        window = min(30, n) if backtest_window is None else backtest_window
-        end = min(n, max(n - h, max(10, n - window)))
-        y = daily["y"].to_numpy()
-        # Features that are constant or unknown somewhere carry no usable signal.
-        x = daily[exog].to_numpy() if exog else np.empty((n, 0))
-        x = x[:, ~np.isnan(x).any(axis=0)] if x.size else np.empty((n, 0))
-        steps = n - end
-        fit = _arx(y[:end], x[:end], lags, season)
-        if fit is None:
-            mean = float(y[:end].mean())
-            prediction = np.full(steps, mean)
-            half = np.full(steps, 0.5)
-        else:
-            beta, sigma = fit
-            prediction = _arx_path(y[:end], x, beta, lags, season, steps)
-            half = z * sigma * _band_growth(beta[1 : 1 + lags], steps, season)
-        return _with_keys(
-            first_key,
-            keys,
-            {
-                "date": daily.index[end:].date,
-                "prediction": prediction,
-                "lower": prediction - half,
-                "upper": prediction + half,
-                "actual": y[end:],
-            },
-        )
-
-    return _apply(ready, keys, run, schema)
-
-
-def _arx(y: np.ndarray, x: np.ndarray, lags: int, season: int):
-    """Coefficients and residual deviation, None if the series is too short or degenerate."""
-    dy = y[season:] - y[:-season]
-    dx = x[season:] - x[:-season]
-    rows = len(dy) - lags
-    design_width = 1 + lags + x.shape[1]
-    if rows < design_width + 2:
-        return None
-    design = np.hstack([_lagged(dy, lags), dx[lags:]])
-    if np.linalg.matrix_rank(design) < design_width:
-        design_full = design
-        keep = _independent(design_full)
-        beta = np.zeros(design_width)
-        beta[keep] = _solve(dy[lags:], design_full[:, keep])
-        used = len(keep)
-    else:
-        beta = _solve(dy[lags:], design)
-        used = design_width
-    rest = dy[lags:] - design @ beta
-    return beta, float(np.sqrt(rest @ rest / max(1, rows - used)))
-
-
-def _independent(design: np.ndarray) -> list[int]:
-    """Leading independent columns."""
-    keep: list[int] = []
-    for j in range(design.shape[1]):
-        if np.linalg.matrix_rank(design[:, [*keep, j]]) == len(keep) + 1:
-            keep.append(j)
-    return keep
-
-
-def _arx_path(y, x, beta, lags, season, steps) -> np.ndarray:
-    known = list(y)
-    dx = np.zeros_like(x)
-    dx[season:] = x[season:] - x[:-season]
-    for _ in range(steps):
-        t = len(known)
-        diffs = [known[t - k] - known[t - k - season] for k in range(1, lags + 1)]
-        step = beta[0] + float(np.dot(beta[1 : 1 + lags], diffs)) + float(np.dot(beta[1 + lags :], dx[t]))
-        known.append(known[t - season] + step)
-    return np.array(known[len(y) :])
-
-
-def _band_growth(phi: np.ndarray, steps: int, season: int) -> np.ndarray:
-    """Root of the summed squared response weights of the undifferenced series."""
-    weights = np.zeros(steps)
-    shock = np.zeros(steps)
-    for t in range(steps):
-        shock[t] = (t == 0) + sum(phi[k] * shock[t - 1 - k] for k in range(len(phi)) if t - 1 - k >= 0)
-        weights[t] = shock[t] + (weights[t - season] if t >= season else 0.0)
-    return np.sqrt(np.cumsum(weights**2))
+    return arx_score(fits, test, keys=keys, lags=lags, season=season, z=z)
 
 
 register_forecaster("seasonal_arx", seasonal_arx_forecast)
