@@ -8,8 +8,9 @@ from catalog import bind
 from catalog.bind import plain
 from catalog.registry import query
 from catalog.tables_sql import r6
-from nightly.operators import boosting, decompose, detect, forecast as fc, regress, series
-from nightly.session import materialize
+from nightly.operators import decompose, detect, forecast as fc, models, regress, series
+from nightly.session import materialize, scratch_path
+from nightly.sinks.models import load_fitted, save_fitted
 
 KEY = ["series"]
 
@@ -317,8 +318,8 @@ def autoreg_fitted(spark, sf):
 
 
 # One lag, one feature, differences over a week; gaps are filled from before.
-_ARX = f"""WITH RECURSIVE d AS (SELECT l_suppkey AS series, CAST(l_shipdate AS DATE) AS date, avg(l_quantity * 0.3) AS y, avg(l_discount) AS x
-            FROM lineitem GROUP BY 1, 2),
+def _arx(days: str) -> str:
+    return f"""WITH RECURSIVE d AS ({days}),
         g AS (SELECT g.series, g.date, last_value(y IGNORE NULLS) OVER o AS y, last_value(x IGNORE NULLS) OVER o AS x
             FROM (SELECT series, CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date FROM d GROUP BY series) g
             LEFT JOIN d ON d.series = g.series AND d.date = g.date
@@ -345,8 +346,12 @@ _ARX = f"""WITH RECURSIVE d AS (SELECT l_suppkey AS series, CAST(l_shipdate AS D
             FROM p JOIN h ON h.series = p.series LEFT JOIN w ON w.series = p.series AND w.step = p.step LEFT JOIN f ON f.series = p.series)"""
 
 
+_SUPPLIER_DAYS = """SELECT l_suppkey AS series, CAST(l_shipdate AS DATE) AS date, avg(l_quantity * 0.3) AS y, avg(l_discount) AS x
+            FROM lineitem GROUP BY 1, 2"""
+
+
 @query(
-    f"""SELECT * FROM ({_ARX} SELECT series, date, {r6('prediction', 'prediction')}, {r6('prediction - half', 'lower')},
+    f"""SELECT * FROM ({_arx(_SUPPLIER_DAYS)} SELECT series, date, {r6('prediction', 'prediction')}, {r6('prediction - half', 'lower')},
         {r6('prediction + half', 'upper')}, {r6('actual', 'actual')} FROM z)"""
 )
 def seasonal_arx_forecast(spark, sf):
@@ -357,29 +362,54 @@ def seasonal_arx_forecast(spark, sf):
     )
 
 
-def _boosting_frame(spark, sf):
+def _user_target(spark, sf):
     daily = series.daily_target(
-        bind.circadian(spark, sf), "target", column="duration_min", transform="minutes_to_hours"
+        bind.circadian(spark, sf), "target", column="duration_min", transform="minutes_to_hours", keys=["user_id"]
     )
     return materialize(daily, "daily")
 
 
 @query()
 def gbt_backtest(spark, sf):
-    return plain(
-        boosting.gbt_forecast(_boosting_frame(spark, sf), "target", learning_rate=0.1, max_depth=3, n_estimators=100)
-    )
+    """One model of boosted trees over the daily rows of all users, scored from its saved copy."""
+    daily = _user_target(spark, sf)
+    fitted = models.fit("gbt", daily, "target", keys=["user_id"], learning_rate=0.1, max_depth=3, n_estimators=100)
+    path = save_fitted(spark, fitted, scratch_path(spark, "gbt"))
+    return plain(models.score(load_fitted(spark, path), daily))
 
 
-@query()
+_USER_DAYS = """SELECT user_id AS series, date, avg(duration_min / 60) AS y, avg(efficiency) AS x FROM circ GROUP BY 1, 2"""
+
+
+@query(
+    f"""SELECT * FROM ({_arx(_USER_DAYS)}, f4 AS (
+          SELECT 'seasonal_arx' AS model, series AS user_id, date, prediction, prediction - half AS lower, prediction + half AS upper, actual FROM z
+          UNION ALL SELECT 'rolling_mean', user_id, date, prediction, lower, upper, actual FROM uroll
+          UNION ALL SELECT 'flat', user_id, date, prediction, NULL, NULL, actual FROM uroll
+          UNION ALL SELECT 'naive_mean', user_id, date, level, level - 0.5, level + 0.5, sleep_hours
+          FROM (SELECT *, avg(CASE WHEN rn <= k THEN sleep_hours END) OVER (PARTITION BY user_id) AS level
+                FROM (SELECT *, least(n, greatest(n - least(7, greatest(1, n // 3)), greatest(10, n - 30))) AS k FROM usplit)) WHERE rn > k),
+        j AS (SELECT user_id, count(*) AS jumps FROM (SELECT *, stddev_pop(jump) OVER (PARTITION BY user_id) AS sd FROM (
+              SELECT *, count(*) OVER (PARTITION BY user_id) AS n,
+                abs(sleep_hours - lag(sleep_hours) OVER (PARTITION BY user_id ORDER BY date)) AS jump FROM udaily))
+            WHERE n >= 10 AND jump >= CASE WHEN sd > 0 THEN 5 * sd ELSE 5 END GROUP BY 1)
+        SELECT f4.user_id, model AS model_name, 'sleep_hours' AS target, {r6('avg(abs(actual - prediction))', 'mae')},
+          {r6('avg(abs(actual - prediction) / nullif(abs(actual), 0))', 'mape')},
+          {r6('avg(CASE WHEN lower IS NULL THEN NULL WHEN actual BETWEEN lower AND upper THEN 1.0 ELSE 0.0 END)', 'coverage')},
+          coalesce(any_value(jumps), 0)::BIGINT AS change_points, count(*) AS test_days
+        FROM f4 LEFT JOIN j ON j.user_id = f4.user_id GROUP BY f4.user_id, model)"""
+)
 def train_sweep(spark, sf):
-    """Metrics, change points and anomalies of all models on the daily target."""
-    from nightly.plans.pipelines import sweep, sweep_reports
+    """Metrics, change points and anomalies of every user and model, each scored from its saved coefficients."""
+    from nightly.plans.pipelines import TARGETS, sweep, sweep_reports
 
-    made, daily = sweep(bind.circadian(spark, sf))
-    reports = sweep_reports(materialize(made, "forecast"), daily)
+    chosen = {"seasonal_arx": {"exog": ["efficiency"]}, "rolling_mean": {}, "naive_mean": {}, "flat": {}}
+    keys = ["user_id"]
+    made, daily = sweep(bind.circadian(spark, sf), TARGETS, chosen, keys=keys, save_to=scratch_path(spark, "models"))
+    reports = sweep_reports(materialize(made, "forecast"), daily, keys=keys)
     return plain(
         reports.select(
+            "user_id",
             "model_name",
             "target",
             "metrics.mae",

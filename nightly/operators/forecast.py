@@ -82,7 +82,8 @@ def backtest_split(
     )
 
 
-def _values(df: DataFrame, target: str, keys: Sequence[str], date: str) -> DataFrame:
+def values_of(df: DataFrame, target: str, keys: Sequence[str], date: str) -> DataFrame:
+    """The known values of the target."""
     return df.select(*keys, date, as_double(df, target).alias("_y")).where(F.col("_y").isNotNull())
 
 
@@ -106,7 +107,7 @@ def last_rolling_mean(
 ) -> DataFrame:
     """Mean of the last ``window`` values of each series."""
     back = over_keys(keys).orderBy(F.desc(date))
-    ranked = _values(df, target, keys, date).withColumn("_r", F.row_number().over(back))
+    ranked = values_of(df, target, keys, date).withColumn("_r", F.row_number().over(back))
     return (
         ranked.where(F.col("_r") <= window)
         .groupBy(*keys)
@@ -127,7 +128,7 @@ def rolling_mean_forecast(
 ) -> DataFrame:
     """Flat forecast at the mean of the last training rows, with a fixed band."""
     rows = backtest_split(
-        _values(df, target, keys, date),
+        values_of(df, target, keys, date),
         keys=keys, date=date, horizon=horizon, backtest_window=backtest_window,
     )
     late = ~F.col("is_test") & (F.col("rn") > F.col("n_train") - window)
@@ -154,7 +155,7 @@ def naive_mean_forecast(
 ) -> DataFrame:
     """Flat forecast at the mean of all training rows, with a fixed band."""
     rows = backtest_split(
-        _values(df, target, keys, date),
+        values_of(df, target, keys, date),
         keys=keys, date=date, horizon=horizon, backtest_window=backtest_window, min_train=min_train,
     )
     level = F.avg(F.when(~F.col("is_test"), F.col("_y"))).over(over_keys(keys))

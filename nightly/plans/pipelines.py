@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from nightly.operators import boosting, regress  # noqa: F401  (register their forecasters)
+from nightly.operators import models as fitted_models, regress
 from nightly.operators.canonical import (
     normalize_sessions,
     quarantine_split,
@@ -29,6 +29,7 @@ from nightly.operators.profile import describe_numeric, describe_table
 from nightly.operators.series import acf, daily_target, regular_series
 from nightly.schema import FORECAST_COLUMNS, SLEEP_COLUMNS
 from nightly.session import materialize
+from nightly.sinks.models import load_fitted, save_fitted
 from nightly.sinks.writers import (
     Written,
     write_curated,
@@ -115,6 +116,10 @@ def build_features(
     return done
 
 
+def model_folder(path: str, model: str, target: str) -> str:
+    return f"{path}/model={model}/target={target}"
+
+
 def sweep(
     base: DataFrame,
     targets: Mapping[str, Mapping[str, object]] = TARGETS,
@@ -123,11 +128,14 @@ def sweep(
     keys: Sequence[str] = (),
     horizon: int = HORIZON,
     backtest_window: int = BACKTEST_WINDOW,
+    save_to: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Every target with every model: all forecasts, and the daily frames behind them.
 
     The daily frame of a target is written once and shared by its models. A target
-    may name its own ``horizon`` and ``backtest_window``.
+    may name its own ``horizon`` and ``backtest_window``. With ``save_to`` every
+    fitted model is saved (`model_folder`), loaded again and scored from there;
+    forecasters that were only registered as a function leave nothing to save.
     """
     forecasts, dailies = [], []
     for target, spec in targets.items():
@@ -139,13 +147,21 @@ def sweep(
         )
         dailies.append(daily.select(*keys, "date", F.lit(target).alias("target"), F.col(target).alias("value")))
         for model, options in models.items():
-            if not options.get("enabled", True) or model not in FORECASTERS:
+            if not options.get("enabled", True) or model not in {*FORECASTERS, *fitted_models.MODELS}:
                 continue
             options = {k: v for k, v in options.items() if k != "enabled"}
-            made = FORECASTERS[model](
-                daily, target, keys=list(keys), horizon=int(spec.get("horizon", horizon)),
-                backtest_window=spec.get("backtest_window", backtest_window), **options
-            )
+            options = {
+                "horizon": int(spec.get("horizon", horizon)),
+                "backtest_window": spec.get("backtest_window", backtest_window), **options,
+            }
+            if model in fitted_models.MODELS:
+                fitted = fitted_models.fit(model, daily, target, keys=keys, **options)
+                if save_to is not None:
+                    path = save_fitted(base.sparkSession, fitted, model_folder(save_to, model, target))
+                    fitted = load_fitted(base.sparkSession, path)
+                made = fitted_models.score(fitted, daily)
+            else:
+                made = FORECASTERS[model](daily, target, keys=list(keys), **options)
             forecasts.append(
                 made.withColumns({"model": F.lit(model), "target": F.lit(target)}).select(
                     *keys, *FORECAST_COLUMNS
@@ -206,15 +222,19 @@ def train(
     telemetry: str | None = None,
     **options,
 ) -> Written:
-    """Curated sessions -> forecasts and reports of every model and target."""
+    """Curated sessions -> saved models, forecasts and reports of every model and target."""
     began = time.time()
     base = circadian_features(curated_sleep(spark, curated))
-    forecast, daily = sweep(base, targets, models, **options)
+    forecast, daily = sweep(base, targets, models, save_to=f"{out}/models", **options)
     forecast = materialize(forecast, "forecast")
     write_forecasts(forecast, f"{out}/forecasts")
-    place = F.concat(F.lit(f"{out}/forecasts/model="), F.col("model_name"), F.lit("/target="), F.col("target"))
+    folder = F.concat(F.lit("/model="), F.col("model_name"), F.lit("/target="), F.col("target"))
+    saved = F.col("model_name").isin(*fitted_models.MODELS)
     reports = sweep_reports(forecast, daily).withColumns(
-        {"model_path": F.lit(None).cast("string"), "forecast_path": place}
+        {
+            "model_path": F.when(saved, F.concat(F.lit(f"{out}/models"), folder)),
+            "forecast_path": F.concat(F.lit(f"{out}/forecasts"), folder),
+        }
     )
     done = write_reports(reports, f"{out}/reports")
     if telemetry:
