@@ -38,6 +38,11 @@ def domain(source: str = "source") -> Column:
     return F.when(F.length(number) > 0, F.concat(F.lit("domain"), (number.cast("long") % 3).cast("string"))).otherwise("other")
 
 
+def _node(column: str) -> Column:
+    """Name of a node, never NULL: that of NULL is empty, others begin with a mark."""
+    return F.coalesce(F.concat(F.lit("="), F.col(column)), F.lit(""))
+
+
 def pour(total: float, weights: dict, capacity: dict) -> dict:
     """Split ``total`` by weight, no share above its capacity; shortages go to the rest by weight."""
     out = dict.fromkeys(weights, 0.0)
@@ -83,22 +88,25 @@ def mix(docs: DataFrame, weights: dict[tuple, float] | None = None, share: float
     """Rows of ``docs`` that the mix takes, with ``mix_domain``, ``mix_tokens`` and ``mix_copies``.
 
     ``share`` is the budget as a share of all tokens, ``epochs`` how often a document may be used at most. NULL language
-    and source are nodes of their own. Texts without words cost nothing and are taken where the prefix passes them. Rows
+    and source are nodes of their own (None in ``weights``), apart from empty ones. Texts without words cost nothing and are
+    taken where the prefix passes them; a leaf without any word is taken once, unless a node above it weighs nothing. Rows
     without doc_id are ordered by their text; repeated rows are rows of their own, in a fixed order but for equal ones,
     which are alike. Columns of ``docs`` named like the three results are replaced. An empty table gives no rows.
     """
     weights = WEIGHTS if weights is None else weights
     docs = docs.drop("mix_domain", "mix_tokens", "mix_copies")
-    leaf = [domain().alias("_l0"), F.coalesce("lang", F.lit("")).alias("_l1"), F.coalesce("source", F.lit("")).alias("_l2")]
+    leaf = [domain().alias("_l0"), _node("lang").alias("_l1"), _node("source").alias("_l2")]
     keys = ["_l0", "_l1", "_l2"]
     lean = docs.select("doc_id", F.when(F.col("doc_id").isNull(), F.col("text")).alias("text"), *leaf, words().alias("_n"))
     lean = materialize(lean, "mix-leaves")
     totals = lean.groupBy(*keys).agg(F.sum("_n").alias("n")).limit(MAX_LEAVES + 1).collect()
     if len(totals) > MAX_LEAVES:
         raise ValueError(f"more than {MAX_LEAVES} leaves")
-    have = {tuple(r[k] for k in keys): r["n"] for r in totals}
+    coded = {(r["_l0"], *(r[k][1:] if r[k] else None for k in keys[1:])): tuple(r[k] for k in keys) for r in totals}
+    have = {p: r["n"] for p, r in zip(coded, totals)}
     want = budgets(have, weights, share * sum(have.values()), epochs)
-    rows = [(*p, *divmod(want[p], n)) for p, n in have.items() if n]
+    weighs = {p: all(weights.get(p[:i], 1.0) > 0 for i in range(1, len(p) + 1)) for p in have}
+    rows = [(*coded[p], *(divmod(want[p], n) if n else (int(weighs[p] and share > 0), 0))) for p, n in have.items()]
     plan = docs.sparkSession.createDataFrame(rows, "_l0 string, _l1 string, _l2 string, _full long, _rest long")
     plan = F.broadcast(plan)  # at most MAX_LEAVES rows
 
