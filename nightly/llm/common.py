@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
@@ -14,6 +15,18 @@ from nightly.session import materialize
 # Rows handed to a Python worker at once; texts can be long.
 ARROW_ROWS = "2000"
 
+# What operators keep in a Python worker from task to task, by operator.
+WORKER_CACHES: dict[str, dict] = {}
+
+
+def clear_worker() -> None:
+    """At the start of a task: free what other operators left in this worker, which outlives their stages."""
+    if any(WORKER_CACHES.values()):
+        for held in WORKER_CACHES.values():
+            held.clear()
+        pa.default_memory_pool().release_unused()
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}

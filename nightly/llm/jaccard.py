@@ -27,7 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from nightly.llm.common import query, table
+from nightly.llm.common import clear_worker, query, table
 from nightly.llm.components import components
 from nightly.session import materialize
 
@@ -73,6 +73,7 @@ def describe(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     """Rows of kind 0: a document's set size and 128-bit digest; of kind 1: a token (d1) and in how many sets of a chunk (n)."""
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clear_worker()
         pool: list[np.ndarray] = []
         seen: set[bytes] = set()
         size = 0
@@ -116,6 +117,7 @@ def prefixes(docs: DataFrame, hot: np.ndarray, k: int = SHINGLE, percent: int =
     shared = docs.sparkSession.sparkContext.broadcast(hot)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clear_worker()
         hot = shared.value
         for batch in batches:
             size, rare, tokens = [], [], []
@@ -243,6 +245,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     few = ids.count() <= BROADCAST_IDS
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clear_worker()
         for batch in batches:
             held = pa.array([shingles(t, k).tobytes() for t in batch["text"].to_pylist()], pa.binary())
             yield pa.record_batch({"doc_id": batch["doc_id"], "tag": batch["tag"], "set": held})

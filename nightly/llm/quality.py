@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from nightly.llm.common import bounded_ids, fold, query, table
+from nightly.llm.common import bounded_ids, clear_worker, fold, query, table
 
 FEATURES = (
     "log_bytes log_words word_bytes upper digits spaces lines pipes symbols exclaims stops other_punct non_ascii "
@@ -158,6 +158,7 @@ def score(docs: DataFrame, model: Model | None, column: str = "quality_score") -
 
     @F.pandas_udf(T.DoubleType())
     def scored(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        clear_worker()
         for texts in parts:
             yield pd.Series(model.score(features(texts)) if model else np.full(len(texts), 0.5), dtype=float)
 

@@ -10,7 +10,8 @@ Layout of a shard, little-endian: magic ``FRVB0001``; documents, ids, data bytes
 ``ranks.bin`` holds the id of every rank (uint32).
 
 Texts are cut into the tokenizer's pre-tokens with numpy (character classes and a running hash), and the tokenizer is asked
-once per distinct pre-token and worker, up to ``_MEMO`` kept ones. Texts with characters, contractions or special tokens
+once per distinct pre-token and worker, up to ``_MEMO`` kept ones. Equal hashes only propose: characters of every pre-token are
+compared with those its ids were made from, and where they differ the tokenizer is asked. Texts with characters, contractions or special tokens
 that this cut does not cover go to the tokenizer whole; both ways give the tokenizer's ids.
 """
 
@@ -29,15 +30,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokenizers import Tokenizer
 
-from nightly.llm.common import filesystem, put_file, query, range_bounds, range_of, table
+from nightly.llm.common import WORKER_CACHES, filesystem, put_file, query, range_bounds, range_of, table
 from nightly.session import scratch_path
 
 MAGIC = b"FRVB0001"
 MANIFEST = "MANIFEST.json"
 END_ID = 0
 _HEAD = np.dtype("<u8")
-_MEMO = 1_000_000  # distinct pre-tokens a worker keeps
-_RECENT = 100_000  # of these in a dictionary
+_MEMO = 700_000  # distinct pre-tokens a worker keeps
+_RECENT = 50_000  # of these in a dictionary
 _ROWS = 256  # rows encoded at once
 _PIECE = 1 << 18  # code points per piece of a long text
 _GROUP = 1 << 20  # code points worked on at once
@@ -84,6 +85,7 @@ class Encoder:
         self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.recent: dict[int, int] = {}
         self.flat, self.ends = array("I"), array("Q", [0])
+        self.chars, self.stops = array("H"), array("Q", [0])
 
     def _find(self, keys: np.ndarray) -> np.ndarray:
         """Slot of every key, -1 for new ones."""
@@ -110,11 +112,15 @@ class Encoder:
             self.powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, base)]), dtype=np.uint64)
             self.inverse = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, back)]), dtype=np.uint64)
 
+    def _ids(self, text: str) -> list[int]:
+        return [t.id for t in self.tokenizer.model.tokenize(text.encode().decode("latin-1").translate(self.letters))]
+
     def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
         for key, text in zip(keys.tolist(), texts):
-            mapped = text.encode().decode("latin-1").translate(self.letters)
-            self.flat.extend(t.id for t in self.tokenizer.model.tokenize(mapped))
+            self.flat.extend(self._ids(text))
             self.ends.append(len(self.flat))
+            self.chars.frombytes(text.encode("utf-16-le"))
+            self.stops.append(len(self.chars))
             self.recent[key] = len(self.ends) - 2
         if len(self.recent) > _RECENT:
             self._settle()
@@ -156,12 +162,43 @@ class Encoder:
         flat = np.frombuffer(self.flat, np.uint32)
         low, size = ends[at], ends[at + 1] - ends[at]
         low, size = low[codes], size[codes]
+        wrong = self._differing(x, begin, end, at[codes])
+        if len(wrong):
+            return self._corrected(joined, begin, end, piece, len(pieces), low, size, flat, wrong)
         out = np.repeat(low - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
         ids = flat[out]
         per_piece = np.bincount(piece, weights=size, minlength=len(pieces)).astype(np.int64)
         del ends, flat
         return ids, per_piece
 
+    def _differing(self, x: np.ndarray, begin: np.ndarray, end: np.ndarray, slot: np.ndarray) -> np.ndarray:
+        """Pre-tokens whose characters are not those their slot was learned from."""
+        chars, stops = np.frombuffer(self.chars, np.uint16), np.frombuffer(self.stops, np.uint64).astype(np.int64)
+        length, held = end - begin, stops[slot + 1] - stops[slot]
+        same = length == held
+        if not same.all():
+            wrong = np.flatnonzero(~same)
+            begin, slot, length = begin[same], slot[same], length[same]
+        else:
+            wrong = np.zeros(0, np.int64)
+        # all characters of the pre-tokens stand in a row but for the marks between pieces
+        at = np.repeat((stops[slot] - np.cumsum(length) + length).astype(np.int32), length) + np.arange(int(length.sum()), dtype=np.int32)
+        own = np.repeat((begin - np.cumsum(length) + length).astype(np.int32), length) + np.arange(int(length.sum()), dtype=np.int32)
+        off = np.flatnonzero(chars[at] != x[own])
+        if len(off):
+            more = np.unique(np.searchsorted(np.cumsum(length), off, side="right"))
+            wrong = np.concatenate([wrong, np.flatnonzero(same)[more]])
+        return wrong
+
+    def _corrected(self, joined, begin, end, piece, pieces, low, size, flat, wrong) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pre-tokens where some have the hash of another one."""
+        ids = [flat[a : a + n] for a, n in zip(low.tolist(), size.tolist())]
+        size = size.copy()
+        for i in wrong.tolist():
+            ids[i] = np.array(self._ids(joined[begin[i] : end[i]]), np.uint32)
+            size[i] = len(ids[i])
+        return np.concatenate(ids), np.bincount(piece, weights=size, minlength=pieces).astype(np.int64)
+
     def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the number of ids of each; NULL is an empty text."""
         parts: list[np.ndarray] = []
@@ -209,7 +246,7 @@ def _pieces(text: str) -> Iterator[str]:
     yield text[at:]
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[str, Encoder] = WORKER_CACHES.setdefault("token_files", {})
 
 
 def _encoder(path: str) -> Encoder:

@@ -349,3 +349,16 @@ def test_pipeline_stages_take_odd_rows(spark, folder):
 
 def test_schema_of_documents_is_the_given_one(spark):
     assert documents(spark, []).schema == spark.createDataFrame([], SCHEMA).schema
+
+
+def test_pre_tokens_of_equal_hash_keep_their_own_ids():
+    """A word over two letters and its complement have equal polynomial hashes modulo 2^64 from 1,024 letters on."""
+    encoder = token_files.Encoder(BPE)
+    for n in (9, 10, 11, 12):
+        a, b = "a", "b"
+        for _ in range(n):
+            a, b = a + b, b + a
+        for texts in ([a, b], [a + " " + b], [b, a + " " + a + " x " + b, "x"]):
+            ids, sizes = encoder.encode(texts)
+            want = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+            assert ids.tolist() == sum(want, []) and sizes.tolist() == list(map(len, want))
