@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from nightly.llm import decontaminate, jaccard, mixing, quality, token_files
-from nightly.llm.common import table
+from nightly.llm.common import small_batches, table
 from nightly.session import materialize, scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -21,18 +21,22 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 LEAST_QUALITY = 0.3
 # Near duplicates: share of common five-word shingles in percent.
 SHINGLE, SIMILARITY = 5, 80
+# Text handed to a Python worker at once, as memory of the executors is what long texts run out of first.
+BATCH_MB = 4
 # Share of the remaining tokens the mix may take, each document once.
 MIX_SHARE = 0.8
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the quality classifier accepts."""
+    small_batches(spark, BATCH_MB)
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
     return quality.score(docs, model, "_quality").where(F.col("_quality") >= LEAST_QUALITY).select(*docs.columns)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of every component of near duplicates; of rows of one doc_id all."""
+    small_batches(spark, BATCH_MB)
     found = jaccard.join_similar(docs, SHINGLE, SIMILARITY)
     extra = materialize(found.where("component_id <> doc_id").select(F.col("doc_id").alias("_id")).distinct(), "near-duplicates")
     return docs.join(extra, docs["doc_id"] == extra["_id"], "left_anti")
@@ -52,6 +56,7 @@ def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Token files of what is left, as read back from them."""
     import public_tokenizers
 
+    small_batches(spark, BATCH_MB)
     path = scratch_path(spark, "corpus-tokens")
     token_files.write_tokens(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
     return token_files.read_tokens(spark, path)
