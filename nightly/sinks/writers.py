@@ -50,6 +50,13 @@ def _parent(path: str) -> str:
     return path.rstrip("/").rsplit("/", 1)[0]
 
 
+def note_schema(df: DataFrame, path: str, partitions: Iterable[str]) -> None:
+    """Keep the columns of a run in ``path/_schema``, one file per distinct schema, so that readers need no footers."""
+    doc = {"columns": df.schema.jsonValue(), "partitions": list(partitions)}
+    text = json.dumps(doc, sort_keys=True)
+    write_text(df.sparkSession, f"{path.rstrip('/')}/_schema/{schema_hash(df.schema)}.json", text)
+
+
 def write_curated(df: DataFrame, path: str, *, now: datetime | None = None) -> Written:
     """Add one dated run below ``path`` and move the version pointer to it.
 
@@ -61,6 +68,7 @@ def write_curated(df: DataFrame, path: str, *, now: datetime | None = None) -> W
     part = f"run_date={stamp:%Y-%m-%d}/run_id={stamp:%H%M%S%f}"
     counted, seen = _counted(df)
     counted.write.mode("errorifexists").parquet(f"{path}/{part}")
+    note_schema(df, path, ["run_date", "run_id"])
     pointer = f"{_parent(path)}/VERSION.json"
     doc = {
         "last_run_ts": stamp.isoformat(),

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from nightly.functions.time import utc_wall
-from nightly.operators.canonical import drop_repeats
+from nightly.operators.canonical import drop_repeats, zscore_duration
 
 REPORT_SCHEMA = T.StructType(
     [
@@ -24,27 +26,65 @@ REPORT_SCHEMA = T.StructType(
 )
 
 
+# Folders of runs, in the order of their runs, and how they are read.
+RUN_FOLDERS = {"run_date": T.StringType(), "run_id": T.StringType(), "batch_id": T.LongType()}
+
+
+def noted_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """Union of the columns that the writers noted in ``path/_schema``, run folders last; None if they noted nothing.
+
+    There is one small file per distinct schema, however many runs there are. A column of two types is an error.
+    """
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_schema")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return None
+    names = sorted(s.getPath().getName() for s in fs.listStatus(folder) if s.getPath().getName().endswith(".json"))
+    found: dict[str, T.StructField] = {}
+    folders: dict[str, None] = {}
+    for name in names:
+        doc = json.loads(spark.read.text(f"{path.rstrip('/')}/_schema/{name}", wholetext=True).first()["value"])
+        folders |= dict.fromkeys(doc["partitions"])
+        for f in T.StructType.fromJson(doc["columns"]).fields:
+            known = found.setdefault(f.name, T.StructField(f.name, f.dataType, True))
+            if known.dataType != f.dataType:
+                raise ValueError(f"column {f.name} is {known.dataType.simpleString()} and {f.dataType.simpleString()} under {path}")
+    if not names:
+        return None
+    return T.StructType([*found.values(), *[T.StructField(c, RUN_FOLDERS[c]) for c in folders]])
+
+
 def scan_curated(
     spark: SparkSession, path: str, *, run_date: str | None = None, dedupe: bool = False, merge: bool = True
 ) -> DataFrame:
     """Every Parquet file below ``path``, columns matched by name.
 
-    ``merge`` takes the columns of all files, which reads every footer; without it
-    those of one file count, as for runs that all have the canonical schema. The
-    `run_date=` and `run_id=` folders become string columns, and a filter on the date
-    prunes files. ``dedupe`` keeps the latest run of every id.
+    The columns of all runs are those their writers noted, so no footer is read to find them. Where nothing was noted,
+    ``merge`` takes the columns of all files, which reads every footer; without it those of one file count. The folders of
+    runs become columns (`run_date`, `run_id`: text; `batch_id` of a stream: number), and a filter on the date prunes files.
+    ``dedupe`` keeps the latest run, or batch, of every id.
     """
-    found = spark.read.option("mergeSchema", merge).parquet(path)
-    runs = {"run_date", "run_id"} & set(found.columns)
-    kinds = [T.StructField(f.name, T.StringType()) if f.name in runs else f for f in found.schema.fields]
-    df = spark.read.schema(T.StructType(kinds)).parquet(path)
+    schema = noted_schema(spark, path)
+    if schema is None:
+        found = spark.read.option("mergeSchema", merge).parquet(path)
+        schema = T.StructType([T.StructField(f.name, RUN_FOLDERS.get(f.name, f.dataType)) for f in found.schema.fields])
+    df = spark.read.schema(schema).parquet(path)
     if run_date is not None:
         df = df.where(F.col("run_date") == F.lit(run_date))
     if dedupe:
-        df = drop_repeats(df, ["id"], F.struct("run_date", "run_id"))
+        order = [c for c in RUN_FOLDERS if c in df.columns]
+        if not order:
+            raise ValueError(f"no run folders under {path} to tell the latest row of an id")
+        df = drop_repeats(df, ["id"], F.struct(*order))
     return df
 
 
+def scan_stream(spark: SparkSession, path: str, *, dedupe: bool = True) -> DataFrame:
+    """What a stream curated, the latest version of every night, with the duration z-score of the whole table."""
+    return zscore_duration(scan_curated(spark, path, dedupe=dedupe))
+
+
 def curated_sleep(spark: SparkSession, path: str, **options) -> DataFrame:
     """Curated sessions as the feature store reads them: dated, user id as string."""
     df = scan_curated(spark, path, **{"merge": False, **options})

@@ -181,3 +181,44 @@ def test_stream_processes_each_file_once(spark, folder):
     assert sorted(r.id for r in good.collect()) == ["n1", "n3"]
     assert good.select(F.unix_micros("start_ts")).first()[0] > 0
     assert [r.id for r in spark.read.parquet(f"{folder}/out_quarantine").collect()] == ["n2"]
+
+
+def test_a_row_sent_twice_is_curated_once(spark, folder):
+    os.makedirs(f"{folder}/in")
+    args = (spark, "oura", f"{folder}/in", f"{folder}/out", f"{folder}/ckpt")
+    _oura(f"{folder}/in/a.csv", [_night(1), _night(2), _night(2), _night(9, "1.4")])
+    ingest_stream(*args).awaitTermination(120)
+    _oura(f"{folder}/in/b.csv", [_night(2), _night(3), _night(1, "0.5"), _night(9, "1.4")])
+    ingest_stream(*args).awaitTermination(120)
+    rows = spark.read.parquet(f"{folder}/out").collect()
+    assert sorted((r.id, r.efficiency) for r in rows) == [("n1", 0.5), ("n1", 0.9), ("n2", 0.9), ("n3", 0.9)]
+    assert [r.id for r in spark.read.parquet(f"{folder}/out_quarantine").collect()] == ["n9"]
+    latest = files.scan_stream(spark, f"{folder}/out")
+    assert sorted((r.id, r.efficiency) for r in latest.collect()) == [("n1", 0.5), ("n2", 0.9), ("n3", 0.9)]
+    assert {"duration_zscore", "is_outlier_duration", "batch_id"} <= set(latest.columns)
+    assert abs(latest.agg(F.sum("duration_zscore")).first()[0]) < 1e-9
+    everything = files.scan_curated(spark, f"{folder}/out")
+    assert everything.count() == 4 and dict(everything.dtypes)["batch_id"] == "bigint"
+
+
+def test_columns_are_known_without_footers(spark, folder):
+    out = f"{folder}/sleep"
+    df = frame(spark, [record(), record(id="b")])
+    for day in (1, 2):
+        writers.write_curated(df, out, now=utc(2024, 1, day, 8))
+    writers.write_curated(df.withColumn("more", F.lit(1)), out, now=utc(2024, 1, 3, 8))
+    assert len([n for n in os.listdir(f"{out}/_schema") if n.endswith(".json")]) == 2
+    # no job looks at the data before the scan itself
+    broken = f"{out}/run_date=2024-01-04/run_id=1"
+    os.makedirs(broken)
+    with open(f"{broken}/part-0.parquet", "w") as f:
+        f.write("no footer here")
+    back = files.scan_curated(spark, out)
+    assert "more" in back.columns and back.where("run_date < '2024-01-04'").count() == 6
+    assert "mergeSchema" not in back._jdf.queryExecution().optimizedPlan().toString()
+    with pytest.raises(ValueError, match="more"):
+        writers.write_curated(df.withColumn("more", F.lit("text")), out, now=utc(2024, 1, 5, 8))
+        files.scan_curated(spark, out)
+    with pytest.raises(ValueError, match="run folders"):
+        df.write.parquet(f"{folder}/bare")
+        files.scan_curated(spark, f"{folder}/bare", dedupe=True)
