@@ -10,7 +10,7 @@ import __spark_entry__ as entry
 from tests.conftest import DATA
 from tools.check import compare, connection
 
-SLOW = {"gbt_backtest", "train_sweep"}
+SLOW = {"gbt_backtest"}
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="needs the given tables")
 
 
