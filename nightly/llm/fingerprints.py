@@ -45,30 +45,92 @@ def winnow(text: str = "text", k: int = K, w: int = W) -> Column:
     return F.expr(f"coalesce(array_distinct({low}), array())")
 
 
-def winnow_chars(text: str = "text", level: str | None = None, k: int = CHARS) -> Column:
-    """Fingerprints as above over grams of ``k`` characters; positions count characters with blanks collapsed to one.
+def plain(text: str) -> str:
+    """The text as it is cut into grams: blanks collapsed to one, none at the ends."""
+    return f"trim(regexp_replace(coalesce({text}, ''), '[\\\\x20\\\\x09-\\\\x0D]+', ' '))"
+
+
+# Window by the number of grams: from so many on, the smallest of every so many.
+LEVELS = ((0, 1), (32, 4), (128, 16), (512, 64))
+WIDEST = LEVELS[-1][1]
 
-    The smallest of every 64 grams is kept, of texts with fewer than 512 grams of every 16, under 128 of every 4, under 32 all.
-    What a wider window keeps a narrower one keeps too, so texts of unlike length compare: a run of w + k - 1 characters two
-    texts share, w the wider of their windows, leaves a fingerprint in both. ``level`` is another text's expression, whose
-    length decides instead. A text shorter than a gram is one gram; NULL, empty and blank texts have an empty array.
-    """
-    def plain(t: str) -> str:
-        return f"trim(regexp_replace(coalesce({t}, ''), '[\\\\x20\\\\x09-\\\\x0D]+', ' '))"
 
+def _winnowed(collapsed: str, k: int, level: bool) -> str:
+    """Fingerprints of a collapsed text, with the window its own length gives or, of long parts of texts, the widest."""
     # four bytes a character, so that a gram is cut out without counting from the start
     gram = f"shiftleft(xxhash64(substring(b, 4 * i + 1, {4 * k})) & 2147483647, 32) - i"
-    low = _bind("b", f"encode({plain(text)}, 'utf-32')", f"if(length(b) = 0, array(), transform(sequence(0, greatest(cast(length(b) / 4 as int) - {k}, 0)), i -> {gram}))")
-    grams = f"length({plain(level or text)}) - {k - 1}"
-    for step, least in ((1, 32), (4, 128), (16, 512)):  # smallest of 4, 16, 64
+    low = _bind("b", f"encode({collapsed}, 'utf-32')", f"if(length(b) = 0, array(), transform(sequence(0, greatest(cast(length(b) / 4 as int) - {k}, 0)), i -> {gram}))")
+    for (least, width), (_, step) in zip(LEVELS[1:], LEVELS):
         four = f"transform(sequence(0, size(g) - {3 * step + 1}), i -> least(g[i], g[i + {step}], g[i + {2 * step}], g[i + {3 * step}]))"
-        low = _bind("g", low, f"if(n < {least} or size(g) = 0, g, if(size(g) <= {3 * step}, array(array_min(g)), {four}))")
-    return F.expr(f"coalesce(array_distinct({_bind('n', grams, low)}), array())")
+        low = _bind("g", low, f"if(n < {least} or size(g) = 0, g, if(size(g) <= {3 * step}, array(array_min(g)), {four}))" if level else four)
+    return f"coalesce(array_distinct({_bind('n', grams(collapsed, k), low) if level else low}), array())"
+
+
+def grams(collapsed: str, k: int = CHARS) -> str:
+    return f"(length({collapsed}) - {k - 1})"
+
+
+def winnow_chars(text: str = "text", k: int = CHARS) -> Column:
+    """Fingerprints as above over grams of ``k`` characters; positions count characters with blanks collapsed to one.
+
+    The smallest of every 64 grams is kept, of texts with fewer than 512 grams of every 16, under 128 of every 4, under 32 all:
+    a function of the text alone. A run of w + k - 1 characters two texts share, w the wider of their windows, leaves a
+    fingerprint in both; `coarsened` takes the narrower one's to the wider window. A text shorter than a gram is one gram;
+    NULL, empty and blank texts have an empty array.
+    """
+    return F.expr(_winnowed(plain(text), k, True))
+
+
+def winnow_edited(text: str, edited: str, kept: str, own: str, k: int = CHARS) -> Column:
+    """`winnow_chars` of ``edited``, whose first ``kept`` characters are those of ``text``, whose fingerprints are ``own``.
+
+    Windows that lie in the common start keep what they have; only the grams from the last such window on are hashed.
+    """
+    def found(start: str, p: str, e: str) -> str:
+        # of a fingerprint the first window it is taken from: behind a smaller one before it, or as soon as it is reached
+        first = f"if(i = 0, 0, if({own}[i - 1] < x, {_at(f'{own}[i - 1]')} + 1, {_at('x')} - {WIDEST - 1}))"
+        inside = f"filter({own}, (x, i) -> {first} <= {p} - {WIDEST})"
+        tail = _winnowed(f"substring({e}, {p} - {WIDEST - 2})", k, False)
+        rest = f"if({grams(e, k)} - {p} < 1, array(), transform({tail}, x -> x - ({p} - {WIDEST - 1})))"
+        return f"array_distinct(concat({inside}, {rest}))"
+
+    least = LEVELS[-1][0]
+    same = f"{grams(plain(text), k)} >= {least} and {grams('e', k)} >= {least} and p >= {WIDEST}"
+    start = f"substring({text}, 1, {kept})"
+    body = _bind("p", grams(plain(start), k), f"if({same}, {found(start, 'p', 'e')}, {_winnowed('e', k, True)})")
+    return F.expr(_bind("e", plain(edited), body))
+
+
+def window(count: str) -> str:
+    """Window of a text with so many grams."""
+    cases = "".join(f" when {count} >= {least} then {width}" for least, width in LEVELS[:0:-1])
+    return f"(case{cases} else {LEVELS[0][1]} end)"
+
+
+def coarsened(prints: str, count: str, width: str) -> str:
+    """Fingerprints of a text of ``count`` grams with a wider window than its own.
+
+    One stays if so many grams in a row have none smaller: its distance to the next smaller ones on both sides, or to the ends
+    of the text, tells. Of a text with fewer grams the smallest stays.
+    """
+    def nearest(part: str, pick: str, none: str) -> str:
+        return f"coalesce({pick}(transform(filter({part}, y -> y < x), y -> {_at('y')})), {none})"
+
+    left = nearest(f"slice({prints}, 1, i)", "array_max", "-1")
+    right = nearest(f"slice({prints}, i + 1, size({prints}))", "array_min", count)
+    return f"if({count} < {width}, filter({prints}, x -> x = array_min({prints})), filter({prints}, (x, i) -> {right} - {left} - 1 >= {width}))"
 
 
 # Hash and position of a fingerprint x.
 _HASH = "shiftright(x + 4294967295, 32)"
-_AT = f"(shiftleft({_HASH}, 32) - x)"
+
+
+def _at(x: str) -> str:
+    """Position in a fingerprint."""
+    return f"cast(shiftleft(shiftright({x} + 4294967295, 32), 32) - {x} as int)"
+
+
+_AT = _at("x")
 
 
 def positions(prints: str) -> Column:
@@ -92,6 +154,17 @@ def likeness(a: str, b: str) -> Column:
     return F.when(both == 0, F.lit(1.0)).otherwise(common / (both - common)).cast("double")
 
 
+def likeness_of(a: str, b: str) -> Column:
+    """Likeness of two structs (prints, grams), at the wider of the two windows, so that no length changes it by a step."""
+    wide = f"greatest({window(f'{a}.grams')}, {window(f'{b}.grams')})"
+
+    def taken(x: str) -> str:
+        held = f"if({window(f'{x}.grams')} < w, {coarsened(f'{x}.prints', f'{x}.grams', 'w')}, {x}.prints)"
+        return f"array_distinct(transform({held}, x -> cast({_HASH} as int)))"
+
+    return F.expr(_bind("w", wide, f"named_struct('a', {taken(a)}, 'b', {taken(b)})"))
+
+
 def readers(docs: DataFrame) -> DataFrame:
     """doc_id, reader, third: the document whose next one this is, and the third of that one's characters.
 
@@ -125,20 +198,24 @@ def compare_edits(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     base = docs.where(F.col("doc_id").isNotNull()).withColumn("_own", winnow_chars("text"))
+    own = F.struct(F.col("_own").alias("prints"), F.expr(grams(plain("text"))).alias("grams"))
     heads = base.join(readers(docs).hint("merge"), "doc_id").select(
-        F.col("reader").alias("doc_id"), F.expr("substring(text, 1, third)").alias("_head"), hashes("_own").alias("_next")
+        F.col("reader").alias("doc_id"), F.expr("substring(text, 1, third)").alias("_head"), own.alias("_next")
     )
     heads = heads.groupBy("doc_id").agg(F.min(F.struct("_head", "_next")).alias("_n"))
     both = base.hint("merge").join(heads, "doc_id")
-    edited = F.expr("concat(substring(text, 1, length(text) - cast(floor(length(text) / 3) as int)), substring(_n._head, 1, cast(floor(length(text) / 3) as int)))")
-    printed = both.select("doc_id", "text", edited.alias("edited"), "_own", F.col("_n._next").alias("_next")).select(
+    kept = "(length(text) - cast(floor(length(text) / 3) as int))"
+    edited = F.expr(f"concat(substring(text, 1, {kept}), substring(_n._head, 1, cast(floor(length(text) / 3) as int)))")
+    both = both.select("doc_id", "text", edited.alias("edited"), "_own", F.col("_n._next").alias("_next"))
+    printed = both.withColumn("_edit", winnow_edited("text", "edited", kept, "_own"))
+    printed = printed.select(
         "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.encode("edited", "utf-8"), 256).alias("edited_sha256"),
-        "_own", hashes("_own").alias("_a"), winnow_chars("edited", "text").alias("_edit"), "_next",
+        own.alias("_a"), F.struct(F.col("_edit").alias("prints"), F.expr(grams(plain("edited"))).alias("grams")).alias("_b"), "_next",
     )
-    printed = printed.withColumn("_b", hashes("_edit"))
+    printed = printed.withColumns({"_ab": likeness_of("_a", "_b"), "_an": likeness_of("_a", "_next")})
     return printed.select(
-        "doc_id", "n_chars", "edited_sha256", as_text("_own").alias("fingerprint"), as_text("_edit").alias("edited_fingerprint"),
-        likeness("_a", "_b").alias("near_edited"), likeness("_a", "_next").alias("near_next"),
+        "doc_id", "n_chars", "edited_sha256", as_text("_a.prints").alias("fingerprint"), as_text("_b.prints").alias("edited_fingerprint"),
+        likeness("_ab.a", "_ab.b").alias("near_edited"), likeness("_an.a", "_an.b").alias("near_next"),
     )
 
 

@@ -201,6 +201,14 @@ def test_edits_and_likeness(spark):
         assert got[d]["n_chars"] == len(t)
     assert got[5]["near_edited"] > 0.3 and got[21]["near_next"] == 0.0 and got[11]["near_edited"] == 1.0
     assert len(got) == len(rows) and fingerprints.compare_edits(documents(spark, [])).collect() == []
+    # an edited text that is another document's text has that document's fingerprint
+    whole = prose(rng, 700)
+    one, other = whole[:900], whole[:600] + "z" * 300
+    alike = {r["doc_id"]: r for r in fingerprints.compare_edits(documents(spark, [(1, one), (2, other), (3, whole[:700] + "q" * 350)])).collect()}
+    assert alike[2]["edited_sha256"] == hashlib.sha256((other[:600] + one[:300]).encode()).hexdigest()
+    short = {r["doc_id"]: r for r in fingerprints.compare_edits(documents(spark, [(1, "ab"), (2, one), (3, one[:600] + "ab")])).collect()}
+    assert short[2]["edited_sha256"] == hashlib.sha256((one[:600] + "ab").encode()).hexdigest()
+    assert short[2]["edited_fingerprint"] == short[3]["fingerprint"]
     twice = fingerprints.compare_edits(documents(spark, [(1, "a b c"), (1, "a b c"), (2, "d e f g h i")])).collect()
     assert len(twice) == 3 and len({r["fingerprint"] for r in twice if r["doc_id"] == 1}) == 1
 
@@ -213,12 +221,67 @@ def test_short_texts_and_texts_without_blanks_keep_fingerprints(spark):
     assert all(got[i]["near_edited"] > 0 for i, t in enumerate(texts) if len(t) >= 12)
 
 
+def every_gram(df, text="text"):
+    """All grams of a text as fingerprints, hashed by Spark."""
+    gram = f"shiftleft(xxhash64(substring(encode(t, 'utf-32'), 4 * i + 1, 32)) & 2147483647, 32) - i"
+    found = f"if(t = '', array(), transform(sequence(0, greatest(length(t) - 8, 0)), i -> {gram}))"
+    return df.withColumn("all", F.expr(f"transform(array({fingerprints.plain(text)}), t -> {found})[0]"))
+
+
+def hash_of(x):
+    return -(-x >> 32)
+
+
+def width_of(n):
+    return 64 if n >= 512 else 16 if n >= 128 else 4 if n >= 32 else 1
+
+
+def picked(prints, w):
+    return [prints[i] for i in plain_winnow([hash_of(x) for x in prints], w)]
+
+
 def test_character_windows_are_nested_and_guarantee_runs(spark):
     rng = random.Random(10)
     texts = [prose(rng, n) for n in (3, 9, 20, 60, 200)] + ["ab", "", "x" * 600, "a  b\n" * 40]
-    df = documents(spark, list(enumerate(texts))).withColumn("every", F.lit("short")).withColumn("all", fingerprints.winnow_chars("text", "every"))
-    for r in df.withColumn("own", fingerprints.winnow_chars()).selectExpr("text", "all", "own").collect():
+    df = every_gram(documents(spark, list(enumerate(texts)))).withColumn("own", fingerprints.winnow_chars())
+    wide = df.withColumn("wide", F.expr(fingerprints.coarsened("own", "size(all)", "64")))
+    for r in wide.select("text", "all", "own", "wide").collect():
         n = len(" ".join(r["text"].split())) - 7
-        w = 64 if n >= 512 else 16 if n >= 128 else 4 if n >= 32 else 1
         assert len(r["all"]) == (max(1, n) if r["text"] else 0)
-        assert r["own"] == [r["all"][i] for i in plain_winnow([x >> 32 if x % 2**32 == 0 else (x >> 32) + 1 for x in r["all"]], w)]
+        assert r["own"] == picked(r["all"], width_of(n))
+        if n < 512:
+            assert r["wide"] == picked(r["all"], 64)
+
+
+def test_edited_fingerprints_are_those_of_the_edited_text(spark):
+    rng = random.Random(11)
+    sizes = [0, 1, 30, 130, 500, 519, 520, 600, 700, 779, 780, 790, 900, 1500, 5000]
+    texts = [prose(rng, n // 4 + 3)[:n] for n in sizes] + ["x" * 3000, " \n ab" * 400 + "  ", "a" * 700 + " " * 900 + prose(rng, 300)]
+    rows = [(i, a, b) for i, a in enumerate(texts) for b in (texts[i - 1], texts[-3], texts[i // 2])]
+    df = spark.createDataFrame([(i, a, a[: len(a) - len(a) // 3] + b[: len(a) // 3]) for i, a, b in rows], "id long, text string, edited string")
+    df = df.withColumn("own", fingerprints.winnow_chars("text"))
+    df = df.withColumn("got", fingerprints.winnow_edited("text", "edited", "(length(text) - cast(floor(length(text) / 3) as int))", "own"))
+    for r in df.withColumn("want", fingerprints.winnow_chars("edited")).collect():
+        assert r["got"] == r["want"], (len(r["text"]), len(r["edited"]))
+
+
+def test_likeness_equals_a_plain_version_and_has_no_steps(spark):
+    rng = random.Random(12)
+    texts, pairs = [], []
+    for n in [*range(1, 60, 7), 126, 127, 134, 135, 136, 300, 518, 519, 520, 521, 800, 1300, 2000]:
+        one = prose(rng, n // 3 + 3)[:n].replace("  ", " ")
+        texts += [one, one[:-1], one[: n // 2] + "#" + one[n // 2 + 1 :]]
+    rows = [(i, t, u) for i, t in enumerate(texts) for u in texts[max(0, i - 2) : i + 3]]
+    df = every_gram(spark.createDataFrame(rows, "id long, text string, other string"))
+    left = df.withColumnRenamed("all", "x")
+    both = every_gram(left, "other").withColumnRenamed("all", "y")
+    for name, text in (("a", "text"), ("b", "other")):
+        both = both.withColumn(name, F.struct(fingerprints.winnow_chars(text).alias("prints"), F.expr(fingerprints.grams(fingerprints.plain(text))).alias("grams")))
+    both = both.withColumn("l", fingerprints.likeness_of("a", "b")).withColumn("near", fingerprints.likeness("l.a", "l.b"))
+    for r in both.collect():
+        w = max(width_of(len(" ".join(t.split())) - 7) for t in (r["text"], r["other"]))
+        p, q = ({hash_of(v) for v in picked(g, w)} for g in (r["x"], r["y"]))
+        want = len(p & q) / len(p | q) if p | q else 1.0
+        assert abs(r["near"] - want) < 1e-12
+        if r["text"][:-1] == r["other"] and len(r["text"]) >= 100:
+            assert r["near"] > 0.7
