@@ -81,12 +81,13 @@ def winnow_chars(text: str = "text", k: int = CHARS) -> Column:
     return F.expr(_winnowed(plain(text), k, True))
 
 
-def winnow_edited(text: str, edited: str, kept: str, own: str, k: int = CHARS) -> Column:
-    """`winnow_chars` of ``edited``, whose first ``kept`` characters are those of ``text``, whose fingerprints are ``own``.
+def _edited_prints(text: str, edited: str, kept: str, own: str, k: int = CHARS) -> Column:
+    """Struct (prints, grams): `winnow_chars` of ``edited`` and its number of grams.
 
-    Windows that lie in the common start keep what they have; only the grams from the last such window on are hashed.
+    The first ``kept`` characters of it are those of ``text``, whose fingerprints are ``own``. Windows that lie in the common
+    start keep what they have; only the grams from the last such window on are hashed.
     """
-    def found(start: str, p: str, e: str) -> str:
+    def found(p: str, e: str) -> str:
         # of a fingerprint the first window it is taken from: behind a smaller one before it, or as soon as it is reached
         first = f"if(i = 0, 0, if({own}[i - 1] < x, {_at(f'{own}[i - 1]')} + 1, {_at('x')} - {WIDEST - 1}))"
         inside = f"filter({own}, (x, i) -> {first} <= {p} - {WIDEST})"
@@ -95,10 +96,15 @@ def winnow_edited(text: str, edited: str, kept: str, own: str, k: int = CHARS) -
         return f"array_distinct(concat({inside}, {rest}))"
 
     least = LEVELS[-1][0]
-    same = f"{grams(plain(text), k)} >= {least} and {grams('e', k)} >= {least} and p >= {WIDEST}"
+    same = f"o >= {least} and {grams('e', k)} >= {least} and p >= {WIDEST}"
     start = f"substring({text}, 1, {kept})"
-    body = _bind("p", grams(plain(start), k), f"if({same}, {found(start, 'p', 'e')}, {_winnowed('e', k, True)})")
-    return F.expr(_bind("e", plain(edited), body))
+    prints = _bind("o", grams(plain(text), k), _bind("p", grams(plain(start), k), f"if({same}, {found('p', 'e')}, {_winnowed('e', k, True)})"))
+    return F.expr(_bind("e", plain(edited), f"named_struct('prints', {prints}, 'grams', {grams('e', k)})"))
+
+
+def winnow_edited(text: str, edited: str, kept: str, own: str, k: int = CHARS) -> Column:
+    """`winnow_chars` of a text whose start is that of another one with known fingerprints."""
+    return _edited_prints(text, edited, kept, own, k)["prints"]
 
 
 def window(count: str) -> str:
@@ -143,9 +149,13 @@ def hashes(prints: str) -> Column:
     return F.expr(f"array_distinct(transform({prints}, x -> cast({_HASH} as int)))")
 
 
+def _text_sql(prints: str) -> str:
+    return f"array_join(transform({prints}, x -> concat(hex({_HASH}), '@', {_AT})), ' ')"
+
+
 def as_text(prints: str) -> Column:
     """``hash@position`` of every fingerprint, by one blank; two equal texts give equal strings."""
-    return F.expr(f"array_join(transform({prints}, x -> concat(hex({_HASH}), '@', {_AT})), ' ')")
+    return F.expr(_text_sql(prints))
 
 
 def likeness(a: str, b: str) -> Column:
@@ -154,15 +164,29 @@ def likeness(a: str, b: str) -> Column:
     return F.when(both == 0, F.lit(1.0)).otherwise(common / (both - common)).cast("double")
 
 
-def likeness_of(a: str, b: str) -> Column:
-    """Likeness of two structs (prints, grams), at the wider of the two windows, so that no length changes it by a step."""
+def at_wider_window(a: str, b: str) -> str:
+    """Distinct hashes a and b of two structs (prints, grams) at the wider of their windows, so that no length is a step.
+
+    Both are names of bound values, as they stand here several times.
+    """
     wide = f"greatest({window(f'{a}.grams')}, {window(f'{b}.grams')})"
 
     def taken(x: str) -> str:
         held = f"if({window(f'{x}.grams')} < w, {coarsened(f'{x}.prints', f'{x}.grams', 'w')}, {x}.prints)"
         return f"array_distinct(transform({held}, x -> cast({_HASH} as int)))"
 
-    return F.expr(_bind("w", wide, f"named_struct('a', {taken(a)}, 'b', {taken(b)})"))
+    return _bind("w", wide, f"named_struct('a', {taken(a)}, 'b', {taken(b)})")
+
+
+def _likeness_sql(a: str, b: str) -> str:
+    both = _bind("v", f"named_struct('both', size(h.a) + size(h.b), 'common', size(array_intersect(h.a, h.b)))",
+                 "if(v.both = 0, 1.0D, v.common / cast(v.both - v.common as double))")
+    return _bind("h", at_wider_window(a, b), both)
+
+
+def likeness_of(a: str, b: str) -> Column:
+    """Likeness of two columns of structs (prints, grams)."""
+    return F.expr(_bind("p", a, _bind("q", b, _likeness_sql("p", "q"))))
 
 
 def readers(docs: DataFrame) -> DataFrame:
@@ -207,15 +231,16 @@ def compare_edits(docs: DataFrame) -> DataFrame:
     kept = "(length(text) - cast(floor(length(text) / 3) as int))"
     edited = F.expr(f"concat(substring(text, 1, {kept}), substring(_n._head, 1, cast(floor(length(text) / 3) as int)))")
     both = both.select("doc_id", "text", edited.alias("edited"), "_own", F.col("_n._next").alias("_next"))
-    printed = both.withColumn("_edit", winnow_edited("text", "edited", kept, "_own"))
-    printed = printed.select(
+    both = both.select(
         "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.encode("edited", "utf-8"), 256).alias("edited_sha256"),
-        own.alias("_a"), F.struct(F.col("_edit").alias("prints"), F.expr(grams(plain("edited"))).alias("grams")).alias("_b"), "_next",
+        own.alias("_a"), _edited_prints("text", "edited", kept, "_own").alias("_b"), "_next",
     )
-    printed = printed.withColumns({"_ab": likeness_of("_a", "_b"), "_an": likeness_of("_a", "_next")})
-    return printed.select(
-        "doc_id", "n_chars", "edited_sha256", as_text("_a.prints").alias("fingerprint"), as_text("_b.prints").alias("edited_fingerprint"),
-        likeness("_ab.a", "_ab.b").alias("near_edited"), likeness("_an.a", "_an.b").alias("near_next"),
+    # One bound expression: as columns the fingerprints would be worked out anew wherever they stand.
+    parts = f"named_struct('f', {_text_sql('a.prints')}, 'e', {_text_sql('b.prints')}, 'ab', {_likeness_sql('a', 'b')}, 'an', {_likeness_sql('a', 'c')})"
+    done = both.withColumn("_r", F.expr(_bind("a", "_a", _bind("b", "_b", _bind("c", "_next", parts)))))
+    return done.select(
+        "doc_id", "n_chars", "edited_sha256", F.col("_r.f").alias("fingerprint"), F.col("_r.e").alias("edited_fingerprint"),
+        F.col("_r.ab").alias("near_edited"), F.col("_r.an").alias("near_next"),
     )
 
 

@@ -277,7 +277,7 @@ def test_likeness_equals_a_plain_version_and_has_no_steps(spark):
     both = every_gram(left, "other").withColumnRenamed("all", "y")
     for name, text in (("a", "text"), ("b", "other")):
         both = both.withColumn(name, F.struct(fingerprints.winnow_chars(text).alias("prints"), F.expr(fingerprints.grams(fingerprints.plain(text))).alias("grams")))
-    both = both.withColumn("l", fingerprints.likeness_of("a", "b")).withColumn("near", fingerprints.likeness("l.a", "l.b"))
+    both = both.withColumn("near", fingerprints.likeness_of("a", "b"))
     for r in both.collect():
         w = max(width_of(len(" ".join(t.split())) - 7) for t in (r["text"], r["other"]))
         p, q = ({hash_of(v) for v in picked(g, w)} for g in (r["x"], r["y"]))
