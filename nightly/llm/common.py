@@ -91,18 +91,23 @@ def put_file(uri: str, tmp: str, name: str, parts: list[bytes]) -> None:
     fs.move(f"{folder}/{tmp}", f"{folder}/{name}")
 
 
+# Ranges a table is cut into at most, which is what a shuffle can deal out, and keys that are looked at for it at most.
+MAX_RANGES, MAX_SAMPLE = 20_000, 320_000
+
+
 def range_bounds(df: DataFrame, key: str, size: Column, shard_bytes: int, per_shard: int = 64) -> list[int]:
     """Upper keys of all ranges but the last, a function of the table alone.
 
-    Keys are taken by hash, about ``per_shard`` for every ``shard_bytes`` of content, so ranges differ little in size and
-    the same table is cut alike on every run. A range of one key is not cut further.
+    Keys are taken by hash, about ``per_shard`` for every ``shard_bytes`` of content and no more than about MAX_SAMPLE of the
+    whole table, so ranges differ little in size and the same table is cut alike on every run. There are at most MAX_RANGES;
+    in a larger table they hold more than ``shard_bytes``. A range of one key is not cut further.
     """
     size = F.coalesce(size, F.lit(0)).cast("long") + 64
     total = df.agg(F.count(key).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()
-    shards = -(-total["b"] // shard_bytes)
+    shards = min(-(-total["b"] // shard_bytes), MAX_RANGES)
     if shards < 2:
         return []
-    share = min(1.0, shards * per_shard / max(1, total["n"]))
+    share = min(1.0, min(shards * per_shard, MAX_SAMPLE) / max(1, total["n"]))
     chance = F.shiftrightunsigned(F.xxhash64(key), 33) / float(1 << 31)
     got = df.where(F.col(key).isNotNull() & (chance < share)).select(F.col(key).alias("k"), size.alias("b")).toPandas()
     if got.empty:
@@ -113,6 +118,11 @@ def range_bounds(df: DataFrame, key: str, size: Column, shard_bytes: int, per_sh
     return sorted({int(x) for x in got["k"].to_numpy()[cuts]})
 
 
+def ranges_of(keys: pa.Array, edges: np.ndarray) -> np.ndarray:
+    """Numbers of the ranges of a batch of keys; NULL keys are in the first."""
+    return np.where(keys.is_valid().to_numpy(zero_copy_only=False), np.searchsorted(edges, keys.fill_null(0).to_numpy()), 0).astype(np.int32)
+
+
 def range_of(key: str, bounds: list[int]) -> Column:
     """Number of the range a key falls in; NULL keys are in the first."""
     edges = np.array(bounds, dtype=np.int64)

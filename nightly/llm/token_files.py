@@ -2,8 +2,9 @@
 
 A first pass counts every id of the corpus; ids are replaced by their rank by frequency, so common ids take one byte.
 Each rank is stored in 1 to 4 bytes; the lengths stand apart as 2-bit codes, four to a control byte, and a reader finds
-all offsets of a block by one table lookup per control byte and a running sum. Documents are dealt to shards by ranges
-of doc_id that depend on the table alone and sorted inside them; files are renamed into place and named by a manifest.
+all offsets of a block by one table lookup per control byte and a running sum. Documents are dealt to tasks by ranges
+of doc_id that depend on the table alone and sorted inside them; a task rolls files by size, which are renamed into place and
+named by a manifest.
 
 Layout of a shard, little-endian: magic ``FRVB0001``; documents, ids, data bytes (3 x uint64); per document a flag
 (uint8, 1: no doc_id), doc_id (int64) and number of ids (uint32); control bytes, every document from a new byte; data bytes.
@@ -30,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokenizers import Tokenizer
 
-from nightly.llm.common import WORKER_CACHES, filesystem, put_file, query, range_bounds, range_of, table
+from nightly.llm.common import WORKER_CACHES, filesystem, put_file, query, range_bounds, ranges_of, table
 from nightly.session import scratch_path
 
 MAGIC = b"FRVB0001"
@@ -40,8 +41,8 @@ _HEAD = np.dtype("<u8")
 _MEMO = 700_000  # distinct pre-tokens a worker keeps
 _RECENT = 50_000  # of these in a dictionary
 _ROWS = 256  # rows encoded at once
-_PIECE = 1 << 18  # code points per piece of a long text
-_GROUP = 1 << 20  # code points worked on at once
+_PIECE = 1 << 17  # code points per piece of a long text
+_GROUP = 1 << 18  # code points worked on at once
 
 # Characters below this have had the same class in every Unicode version since 5.0.
 _KNOWN = 0x250
@@ -337,6 +338,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, shard_bytes: int =
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
+        edges = np.array(bounds, dtype=np.int64)
         for batch in _small(batches):
             ids, sizes = encoder.encode(batch["text"].to_pylist())
             ends = np.cumsum(sizes)
@@ -344,27 +346,36 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, shard_bytes: int =
             control, data, cb, db = pack(ranks, sizes + 1)
             at = [np.concatenate([[0], np.cumsum(b)]).astype(np.int32) for b in (cb, db)]
             columns = [pa.Array.from_buffers(pa.binary(), len(cb), [None, pa.py_buffer(o), pa.py_buffer(v.tobytes())]) for o, v in zip(at, (control, data))]
-            yield pa.record_batch({"shard": batch["shard"], "doc_id": batch["doc_id"], "n": pa.array(sizes + 1), "control": columns[0], "data": columns[1]})
+            yield pa.record_batch({"shard": pa.array(ranges_of(batch["doc_id"], edges)), "doc_id": batch["doc_id"], "n": pa.array(sizes + 1), "control": columns[0], "data": columns[1]})
 
-    coded = docs.withColumn("shard", range_of("doc_id", bounds)).mapInArrow(encode, "shard int, doc_id long, n long, control binary, data binary")
+    coded = docs.mapInArrow(encode, "shard int, doc_id long, n long, control binary, data binary")
     dealt = coded.repartitionById(len(bounds) + 1, "shard").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "n", "data")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        attempt, shard = TaskContext.get().taskAttemptId(), None
-        ids, sizes, control, data = [], [], [], []
+        attempt, number = TaskContext.get().taskAttemptId(), 0
+        ids, sizes, control, data, held = [], [], [], [], 0
+
+        def roll(shard: int) -> pa.RecordBatch:
+            name = f"tokens-{shard:06d}-{number:05d}.frvb"
+            head = np.array([len(ids), sum(sizes), sum(map(len, data))], "<u8").tobytes()
+            known = np.array([i is None for i in ids], np.uint8).tobytes()
+            index = known + np.array([i or 0 for i in ids], "<i8").tobytes() + np.array(sizes, "<u4").tobytes()
+            put_file(path, f".{name}.{attempt}.tmp", name, [MAGIC + head + index, *control, *data])
+            return pa.record_batch({"name": [name], "documents": [len(ids)], "tokens": [sum(sizes)]})
+
+        shard = 0
         for batch in batches:
             shard = batch["shard"][0].as_py()
             ids += batch["doc_id"].to_pylist()
             sizes += batch["n"].to_pylist()
             control.append(b"".join(batch["control"].to_pylist()))
             data.append(b"".join(batch["data"].to_pylist()))
+            held += len(control[-1]) + len(data[-1])
+            if held >= shard_bytes:  # a range may hold more than a file does
+                yield roll(shard)
+                ids, sizes, control, data, held, number = [], [], [], [], 0, number + 1
         if ids:
-            name = f"tokens-{shard:06d}.frvb"
-            head = np.array([len(ids), sum(sizes), sum(map(len, data))], "<u8").tobytes()
-            known = np.array([i is None for i in ids], np.uint8).tobytes()
-            index = known + np.array([i or 0 for i in ids], "<i8").tobytes() + np.array(sizes, "<u4").tobytes()
-            put_file(path, f".{name}.{attempt}.tmp", name, [MAGIC + head + index, *control, *data])
-            yield pa.record_batch({"name": [name], "documents": [len(ids)], "tokens": [sum(sizes)]})
+            yield roll(shard)
 
     files = dealt.mapInArrow(write, "name string, documents long, tokens long").toPandas().sort_values("name")
     files["start"] = files["tokens"].cumsum() - files["tokens"]

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from nightly.llm import decontaminate, language, mixing, quality, token_files, toxicity, warc
+from nightly.llm import common, decontaminate, language, mixing, quality, token_files, toxicity, warc
 from tests.conftest import DATA
 from tests.llm.helpers import SCHEMA, documents, odd, prose
 
@@ -362,3 +362,22 @@ def test_pre_tokens_of_equal_hash_keep_their_own_ids():
             ids, sizes = encoder.encode(texts)
             want = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
             assert ids.tolist() == sum(want, []) and sizes.tolist() == list(map(len, want))
+
+
+def test_ranges_are_bounded_and_files_roll(spark, folder, monkeypatch):
+    rng = random.Random(3)
+    rows = [(i, prose(rng, 60)) for i in range(300)] + [(None, prose(rng, 60)) for _ in range(100)]
+    df = documents(spark, rows).repartition(4)
+    token_files.write_tokens(df, f"{folder}/many", BPE, shard_bytes=6000)
+    many = token_files.read_tokens(spark, f"{folder}/many", with_ids=True).collect()
+    monkeypatch.setattr(common, "MAX_RANGES", 3)
+    monkeypatch.setattr(common, "MAX_SAMPLE", 40)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
+    done = token_files.write_tokens(df, f"{folder}/few", BPE, shard_bytes=6000)
+    few = token_files.read_tokens(spark, f"{folder}/few", with_ids=True).collect()
+    assert len(done["bounds"]) == 2 and len(done["files"]) > 3
+    assert sorted(map(str, few)) == sorted(map(str, many)) and len(few) == 400
+    at = 0
+    for r in sorted(few, key=lambda r: r["start"]):
+        assert r["start"] == at
+        at += r["n_tokens"]
