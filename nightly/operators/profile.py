@@ -170,27 +170,42 @@ def box_stats(df: DataFrame, value: str, keys: Sequence[str] = (), *, approx: bo
     )
 
 
-def kde_density(df: DataFrame, value: str, grid: int = 200, cut: float = 3.0) -> DataFrame:
-    """Gaussian kernel density with Scott's bandwidth on an even grid.
+def kde_density(
+    df: DataFrame, value: str, grid: int = 200, cut: float = 3.0, *, bins: int | None = 4096
+) -> DataFrame:
+    """Gaussian kernel density with Scott's bandwidth h on an even grid.
 
-    The grid reaches ``cut`` bandwidths past the extremes. Equal values are
-    counted first; each distinct value then adds its kernel to every grid point
-    within its task, and only one partial sum per task and grid point is shuffled.
+    The grid reaches ``cut`` bandwidths past the extremes. Every value is shared between the two nearest of ``bins`` + 1 even
+    places, in proportion to its distance, an aggregate that is combined before its shuffle; the places then add their kernels
+    to the grid points. So the work after the scan does not depend on the data, and with places d apart the density is off by
+    at most d^2 / (8 h^3 sqrt(2 pi)). With ``bins=None`` it is exact and every distinct value adds its own kernel.
     """
     v = as_double(df, value)
-    counts = (
-        df.select(v.alias("_v"))
-        .where(F.col("_v").isNotNull())
-        .groupBy("_v")
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
     moments = df.agg(
         F.count(v).alias("_n"),
         (F.stddev_samp(v) * F.pow(F.count(v).cast("double"), F.lit(-0.2))).alias("_h"),
         F.min(v).alias("_a"),
         F.max(v).alias("_b"),
     )
-    ready = attach_stats(counts, moments, ()).where(F.col("_h") > 0)
+    known = df.select(v.alias("_v")).where(F.col("_v").isNotNull())
+    if bins is None:
+        ready = attach_stats(known.groupBy("_v").agg(F.count(F.lit(1)).cast("double").alias("_c")), moments, ())
+        ready = ready.where(F.col("_h") > 0)
+    else:
+        width = (F.col("_b") - F.col("_a")) / F.lit(float(bins))
+        placed = attach_stats(known, moments, ()).where(F.col("_h") > 0)
+        placed = placed.withColumn("_p", F.least((F.col("_v") - F.col("_a")) / width, F.lit(float(bins))))
+        low = F.least(F.floor("_p"), F.lit(bins - 1))
+        # Both shares of a value are sums over its lower place, so no row is made twice.
+        sums = placed.groupBy(low.alias("_i"), "_n", "_h", "_a", "_b").agg(
+            F.sum(1 - (F.col("_p") - low)).alias("_w0"), F.sum(F.col("_p") - low).alias("_w1")
+        )
+        both = F.inline(F.array(
+            F.struct(F.col("_i").alias("_j"), F.col("_w0").alias("_w")),
+            F.struct((F.col("_i") + 1).alias("_j"), F.col("_w1").alias("_w")),
+        ))
+        places = sums.select("_n", "_h", "_a", "_b", both).groupBy("_j", "_n", "_h", "_a", "_b").agg(F.sum("_w").alias("_c"))
+        ready = places.withColumn("_v", F.col("_a") + F.col("_j") * width)
     start = F.col("_a") - cut * F.col("_h")
     step = (F.col("_b") - F.col("_a") + 2 * cut * F.col("_h")) / F.lit(float(grid - 1))
     x = start + F.col("point") * step

@@ -5,6 +5,7 @@ from datetime import date, datetime
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from nightly.operators import profile, scenarios
 from tests.helpers import by, daily
@@ -63,12 +64,33 @@ def test_histogram_of_equal_values(spark, value):
 def test_kde_matches_a_numpy_model(spark):
     values = np.array([1.0, 2.0, 2.0, 4.0, 7.0])
     h = values.std(ddof=1) * len(values) ** -0.2
-    for r in profile.kde_density(daily(spark, values), "v", grid=20).collect():
+    for r in profile.kde_density(daily(spark, values), "v", grid=20, bins=None).collect():
         want = np.exp(-0.5 * ((r.x - values) / h) ** 2).sum() / (len(values) * h * np.sqrt(2 * np.pi))
         assert r.density == pytest.approx(want)
     assert profile.kde_density(daily(spark, [3.0, 3.0]), "v").count() == 0
 
 
+@pytest.mark.parametrize("bins", [16, 100, 4096])
+def test_binned_kde_keeps_its_bound(spark, bins):
+    rng = np.random.default_rng(4)
+    values = np.concatenate([rng.normal(5, 1, 300), rng.normal(9, 0.3, 200), [2.0, 12.0]])
+    df = daily(spark, [*values, None])
+    exact = {r.point: r.density for r in profile.kde_density(df, "v", bins=None).collect()}
+    h = values.std(ddof=1) * len(values) ** -0.2
+    bound = ((values.max() - values.min()) / bins) ** 2 / (8 * h**3 * np.sqrt(2 * np.pi))
+    got = profile.kde_density(df, "v", bins=bins)
+    off = max(abs(r.density - exact[r.point]) for r in got.collect())
+    assert off <= bound + 1e-12 and len(exact) == 200
+
+
+def test_rows_of_the_binned_kde_do_not_grow_with_the_values(spark):
+    plan = profile.kde_density(spark.range(100_000).selectExpr("id / 7.0D as v"), "v", bins=50)
+    made = plan.agg(F.max("density")).first()[0]
+    assert made > 0
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "keys=[_v" not in text
+
+
 def test_profile_counts_copies_with_nulls(spark):
     df = spark.createDataFrame([(1, None), (1, None), (2, "x")], "a int, b string")
     assert {r.metric: r.value for r in profile.profile_summary(df).collect()} == {"rows": 3, "columns": 2, "duplicates": 1}
