@@ -28,7 +28,7 @@ from nightly.operators.privacy import scrub
 from nightly.operators.profile import describe_numeric, describe_table
 from nightly.operators.series import acf, daily_target, regular_series
 from nightly.schema import FORECAST_COLUMNS, SLEEP_COLUMNS
-from nightly.session import materialize
+from nightly.session import job, materialize
 from nightly.sinks.models import load_fitted, save_fitted
 from nightly.sinks.writers import (
     Written,
@@ -68,6 +68,14 @@ def ingest(
     same run folders, written after the curated run. ``strict`` raises on the
     first pass instead and writes nothing.
     """
+    with job(spark):
+        return _ingest(spark, source, path, out, strict, local_only, scrub_fields, telemetry)
+
+
+def _ingest(
+    spark: SparkSession, source: str, path: str, out: str, strict: bool, local_only: bool,
+    scrub_fields: Iterable[str], telemetry: str | None,
+) -> Written:
     began = time.time()
     bad = None
     sessions = normalize_sessions(scan_vendor(spark, source, path), drop_unknown=False)
@@ -102,13 +110,18 @@ def build_features(
     screen: str | None = None,
     scrub_fields: Iterable[str] | None = None,
     telemetry: str | None = None,
+    unique: bool = False,
 ) -> Written:
-    """Curated sessions and the given signal files -> feature store."""
+    """Curated sessions and the given signal files -> feature store.
+
+    ``unique`` raises if a signal has several rows for one user and day, which would repeat sessions.
+    """
     began = time.time()
     scans = [(hrv, scan_hrv), (steps, scan_steps), (tags, scan_tags), (screen, scan_screen)]
     signals = [scan(spark, path) for path, scan in scans if path]
-    store = feature_store(curated_sleep(spark, curated), signals)
-    done = write_features(store, out, scrub_fields=scrub_fields)
+    with job(spark):
+        store = feature_store(curated_sleep(spark, curated), signals, unique=unique)
+        done = write_features(store, out, scrub_fields=scrub_fields)
     if telemetry:
         write_telemetry(
             spark, telemetry, "build-features", start_time=began, rows_processed=done.rows
@@ -224,19 +237,20 @@ def train(
 ) -> Written:
     """Curated sessions -> saved models, forecasts and reports of every model and target."""
     began = time.time()
-    base = circadian_features(curated_sleep(spark, curated))
-    forecast, daily = sweep(base, targets, models, save_to=f"{out}/models", **options)
-    forecast = materialize(forecast, "forecast")
-    write_forecasts(forecast, f"{out}/forecasts")
-    folder = F.concat(F.lit("/model="), F.col("model_name"), F.lit("/target="), F.col("target"))
-    saved = F.col("model_name").isin(*fitted_models.MODELS)
-    reports = sweep_reports(forecast, daily).withColumns(
-        {
-            "model_path": F.when(saved, F.concat(F.lit(f"{out}/models"), folder)),
-            "forecast_path": F.concat(F.lit(f"{out}/forecasts"), folder),
-        }
-    )
-    done = write_reports(reports, f"{out}/reports")
+    with job(spark):
+        base = circadian_features(curated_sleep(spark, curated))
+        forecast, daily = sweep(base, targets, models, save_to=f"{out}/models", **options)
+        forecast = materialize(forecast, "forecast")
+        write_forecasts(forecast, f"{out}/forecasts")
+        folder = F.concat(F.lit("/model="), F.col("model_name"), F.lit("/target="), F.col("target"))
+        saved = F.col("model_name").isin(*fitted_models.MODELS)
+        reports = sweep_reports(forecast, daily).withColumns(
+            {
+                "model_path": F.when(saved, F.concat(F.lit(f"{out}/models"), folder)),
+                "forecast_path": F.concat(F.lit(f"{out}/forecasts"), folder),
+            }
+        )
+        done = write_reports(reports, f"{out}/reports")
     if telemetry:
         write_telemetry(spark, telemetry, "train", start_time=began, rows_processed=done.rows)
     return done

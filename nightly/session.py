@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,9 +61,28 @@ def scratch_root(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/nightly/{spark.sparkContext.applicationId}"
 
 
+_jobs: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the scratch folder that no other call gets."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    return "/".join([scratch_root(spark), *_jobs[-1:], f"{name}-{uuid.uuid4().hex[:12]}"])
+
+
+@contextlib.contextmanager
+def job(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables made inside are deleted at the end, also after an error.
+
+    For jobs whose results are written elsewhere; frames that read those tables cannot be used afterwards.
+    """
+    name = f"job-{uuid.uuid4().hex[:12]}"
+    _jobs.append(name)
+    try:
+        yield
+    finally:
+        _jobs.remove(name)
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/{name}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -14,6 +14,7 @@ from nightly.plans import pipelines
 from nightly.schema import schema_hash
 from nightly.sinks import writers
 from nightly.sources import files, text
+from nightly.session import scratch_root
 from nightly.streaming.ingest import ingest_stream
 from tests.helpers import daily, frame, record, sinusoid, utc
 
@@ -222,3 +223,20 @@ def test_columns_are_known_without_footers(spark, folder):
     with pytest.raises(ValueError, match="run folders"):
         df.write.parquet(f"{folder}/bare")
         files.scan_curated(spark, f"{folder}/bare", dedupe=True)
+
+
+def test_jobs_clear_their_scratch_tables_and_check_signals(spark, folder):
+    def tables():
+        root = scratch_root(spark)
+        return {n for n in os.listdir(root) if n.startswith("job-")} if os.path.isdir(root) else set()
+
+    before = tables()
+    _oura(f"{folder}/in.csv", [_night(1), _night(2), _night(3, "1.4")])
+    assert pipelines.ingest(spark, "oura", f"{folder}/in.csv", f"{folder}/cur/sleep").rows == 2
+    with open(f"{folder}/hrv.csv", "w") as out:
+        out.write("user_id,date,rmssd,sdnn\nu1,2024-01-02,60,40\nu1,2024-01-02,61,40\n")
+    args = (spark, f"{folder}/cur/sleep", f"{folder}/features")
+    with pytest.raises(ValueError, match="several rows"):
+        pipelines.build_features(*args, hrv=f"{folder}/hrv.csv", unique=True)
+    assert pipelines.build_features(*args, hrv=f"{folder}/hrv.csv").rows == 3
+    assert tables() == before
