@@ -37,8 +37,8 @@ def _buckets(x: np.ndarray) -> np.ndarray:
 def _points(text: str) -> np.ndarray:
     """Lower-case code points between two blanks, digits, marks and runs of blanks dropped."""
     x = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "replace"), np.uint32)
-    x = x[(x > 127) | (x == 32) | ((x >= 97) & (x <= 122)) | (x == 10)]
-    x = np.where(x == 10, np.uint32(32), x)
+    x = np.where((x >= 9) & (x <= 13), np.uint32(32), x)
+    x = x[(x > 127) | (x == 32) | ((x >= 97) & (x <= 122))]
     return x[np.concatenate([[True], (x[1:] != 32) | (x[:-1] != 32)])] if len(x) else x
 
 

@@ -128,12 +128,21 @@ def write_warc(pages: DataFrame, path: str, least_bytes: int = 0, shard_bytes: i
     return manifest
 
 
+_SLICE = 1 << 16  # bytes of a file unpacked at once
+
+
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers and block of every record of a file of gzip members."""
-    while data:
-        d = zlib.decompressobj(31)
-        raw = d.decompress(data) + d.flush()
-        data = d.unused_data
+    view, at = memoryview(data), 0
+    while at < len(view):
+        d, parts = zlib.decompressobj(31), []
+        while not d.eof and at < len(view):
+            part = view[at : at + _SLICE]
+            parts.append(d.decompress(part))
+            at += len(part) - len(d.unused_data)
+        if not d.eof:
+            raise ValueError("the file ends inside a record")
+        raw = b"".join(parts)
         head, _, rest = raw.partition(b"\r\n\r\n")
         lines = head.decode().split("\r\n")
         if lines[0] != "WARC/1.1":

@@ -381,3 +381,19 @@ def test_ranges_are_bounded_and_files_roll(spark, folder, monkeypatch):
     for r in sorted(few, key=lambda r: r["start"]):
         assert r["start"] == at
         at += r["n_tokens"]
+
+
+def test_warc_members_are_found_in_slices(monkeypatch):
+    import gzip
+
+    blocks = [os.urandom(n) for n in (0, 1, 50, 400, 7, 90)]
+    data = b"".join(gzip.compress(f"WARC/1.1\r\nContent-Length: {len(b)}\r\n\r\n".encode() + b + b"\r\n\r\n") for b in blocks)
+    for size in (1, 3, 64, 1 << 16):
+        monkeypatch.setattr(warc, "_SLICE", size)
+        assert [b for _, b in warc.parse(data)] == blocks
+    with pytest.raises(ValueError, match="ends inside"):
+        list(warc.parse(data[:-9]))
+
+
+def test_all_blanks_part_words():
+    assert language._points("ab\tcd\n\x0bef").tolist() == language._points("ab cd ef").tolist()
