@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
 from nightly.functions.frame import as_double, attach_stats, numeric_columns
 from nightly.functions.time import EPOCH, is_weekend, seconds_between, to_utc_wall, utc_wall
-from nightly.operators.quantile import exact_quantiles
+from nightly.operators.quantile import ACCURACY, MARGIN, exact_quantiles
+from nightly.operators.skew import running_totals
+from nightly.session import materialize
 
 WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 QUARTILES = (0.25, 0.5, 0.75)
@@ -279,23 +281,71 @@ def _long(df: DataFrame, columns: Sequence[str], text: bool) -> DataFrame:
     return df.select(F.inline(cells))
 
 
+def _brackets(n: int, low: float, high: float, sketch: list[float]) -> list[tuple[float, float]]:
+    """Disjoint ranges of values that hold the quartiles of a column; all values of a short one."""
+    if n <= ACCURACY:
+        return [(low, high)]
+    half = len(sketch) // 2
+    merged: list[tuple[float, float]] = []
+    for lo, hi in sorted(zip(sketch[:half], sketch[half:])):
+        if merged and lo <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(hi, merged[-1][1]))
+        else:
+            merged.append((lo, hi))
+    return merged
+
+
 def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Count, mean, sample deviation, extremes and quartiles, one row per column."""
+    """Count, mean, sample deviation, extremes and exact quartiles, one row per column.
+
+    Two scans, however many columns. The first takes one mergeable state a column, a sketch that brackets the quartiles with
+    it; the second counts what lies below the brackets while it writes, value by value, the few cells inside them. The state
+    of a column, a dozen numbers, is what the driver holds.
+    """
     columns = list(columns or numeric_columns(df))
-    cells = _long(df, columns, text=False)
-    basic = cells.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    quart = exact_quantiles(cells, "value", QUARTILES, keys=["column"])
-    q = F.col("quantiles")
-    return basic.join(quart, "column", "left").select(
-        "column", "count", "mean", "std", "min",
-        q[0].alias("q25"), q[1].alias("q50"), q[2].alias("q75"), "max",
-    )
+    rows = df.select(*[as_double(df, c).alias(f"_{i}") for i, c in enumerate(columns)])
+    wanted = [p - MARGIN for p in QUARTILES] + [p + MARGIN for p in QUARTILES]
+    states = rows.agg(*[
+        F.struct(
+            F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"), F.max(c).alias("max"),
+            F.percentile_approx(c, wanted, ACCURACY).alias("sketch"),
+        ).alias(c) for c in rows.columns
+    ]).first()
+    basic = "_i int, column string, count long, mean double, std double, min double, max double"
+    found = [(i, c, *list(states[i])[:5]) for i, c in enumerate(columns)]
+    ranges = {i: _brackets(s["n"], s["min"], s["max"], s["sketch"]) for i, s in enumerate(states) if s["n"]}
+
+    below = [
+        F.count_if(F.col(f"_{i}") < lo).alias(f"{i}_{k}") for i, held in ranges.items() for k, (lo, _) in enumerate(held)
+    ]
+    cells = F.array(*[
+        F.when(F.col(f"_{i}").between(lo, hi), F.struct(F.lit(i).alias("_i"), F.lit(k).alias("_k"), (F.col(f"_{i}") + F.lit(0.0)).alias("_v")))
+        for i, held in ranges.items() for k, (lo, hi) in enumerate(held)
+    ])
+    summary = df.sparkSession.createDataFrame(found, basic)
+    none = F.lit(None).cast("double")
+    if not ranges:
+        return summary.select("column", "count", "mean", "std", "min", none.alias("q25"), none.alias("q50"), none.alias("q75"), "max")
+    seen = Observation()
+    inside = rows.observe(seen, *below).select(F.explode(F.filter(cells, lambda x: x.isNotNull())).alias("c"))
+    tally = materialize(inside.groupBy("c._i", "c._k", "c._v").agg(F.count(F.lit(1)).alias("_c")), "tally")
+    counted = seen.get
+    starts = [(i, k, counted[f"{i}_{k}"], states[i]["n"]) for i, held in ranges.items() for k in range(len(held))]
+    base = F.broadcast(df.sparkSession.createDataFrame(starts, "_i int, _k int, _below long, _n long"))  # a few rows a column
+    ranked = running_totals(tally, {"_end": F.col("_c")}, keys=["_i", "_k"], order=["_v"]).join(base, ["_i", "_k"])
+    ranked = ranked.withColumns({"_end": F.col("_below") + F.col("_end"), "_start": F.col("_below") + F.col("_end") - F.col("_c")})
+    picks = []
+    for j, p in enumerate(QUARTILES):
+        target = F.lit(p) * (F.col("_n") - 1)
+        for name, rank in ((f"_a{j}", F.floor(target)), (f"_z{j}", F.ceil(target))):
+            picks.append(F.max(F.when((F.col("_start") <= rank) & (rank < F.col("_end")), F.col("_v"))).alias(name))
+    picked = ranked.groupBy("_i").agg(F.max("_n").alias("_n"), *picks)
+    quarts = []
+    for j, (name, p) in enumerate(zip(("q25", "q50", "q75"), QUARTILES)):
+        target = F.lit(p) * (F.col("_n") - 1)
+        low, high = (F.coalesce(F.col(f"{c}{j}"), F.raise_error(F.lit("quantile bracket missed")).cast("double")) for c in ("_a", "_z"))
+        quarts.append((low + (high - low) * (target - F.floor(target))).alias(name))
+    return summary.join(picked.select("_i", *quarts), "_i", "left").select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def describe_categorical(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -136,3 +136,27 @@ def test_coach_rules_and_defaults(spark):
     bare = scenarios.coach_rules(df.select("user_id", "date"), top=2).first()
     assert [i.triggered for i in bare.insights] == [False, False]
     assert by(scenarios.coach_levels(df), "user_id")["u"].weekend_gap == 3.0
+
+
+def test_describe_takes_two_scans(spark, folder, monkeypatch):
+    monkeypatch.setattr(profile, "ACCURACY", 1000)
+    monkeypatch.setattr(profile, "MARGIN", 4 / 1000)
+    rng = np.random.default_rng(2)
+    data = {"a": rng.normal(0, 1, 5000), "b": rng.integers(0, 4, 5000).astype(float), "c": np.full(5000, 2.5), "d": rng.exponential(3, 5000), "e": rng.normal(0, 1, 5000)}
+    data["d"][::3] = np.nan
+    data["e"][5:] = np.nan
+    frame = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in r) for r in zip(*data.values())], ", ".join(f"{c} double" for c in data))
+    frame.withColumn("none", F.lit(None).cast("double")).repartition(4).write.parquet(f"{folder}/wide-table")
+    df = spark.read.parquet(f"{folder}/wide-table")
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsList().size()
+    got = {r["column"]: r for r in profile.describe_numeric(df).collect()}
+    runs = store.executionsList()
+    scans = sum(runs.apply(i).physicalPlanDescription().count("wide-table") > 0 for i in range(before, runs.size()))
+    assert scans == 2
+    for c, v in data.items():
+        v = v[~np.isnan(v)]
+        want = [len(v), v.mean(), v.std(ddof=1), v.min(), *np.quantile(v, [0.25, 0.5, 0.75]), v.max()]
+        np.testing.assert_allclose(list(got[c])[1:], want, atol=1e-9)
+    assert got["none"]["count"] == 0 and got["none"]["q50"] is None
+    assert profile.describe_numeric(df.select("none")).first()["q25"] is None
