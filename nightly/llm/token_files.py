@@ -38,11 +38,11 @@ MAGIC = b"FRVB0001"
 MANIFEST = "MANIFEST.json"
 END_ID = 0
 _HEAD = np.dtype("<u8")
-_MEMO = 700_000  # distinct pre-tokens a worker keeps
-_RECENT = 50_000  # of these in a dictionary
+_MEMO = 1_000_000  # distinct pre-tokens a worker keeps
+_RECENT = 100_000  # of these in a dictionary
 _ROWS = 256  # rows encoded at once
 _PIECE = 1 << 17  # code points per piece of a long text
-_GROUP = 1 << 18  # code points worked on at once
+_GROUP = 1 << 19  # code points worked on at once
 
 # Characters below this have had the same class in every Unicode version since 5.0.
 _KNOWN = 0x250
@@ -163,7 +163,7 @@ class Encoder:
         flat = np.frombuffer(self.flat, np.uint32)
         low, size = ends[at], ends[at + 1] - ends[at]
         low, size = low[codes], size[codes]
-        wrong = self._differing(x, begin, end, at[codes])
+        wrong = self._differing(x, c != _STOP, begin, end, at[codes])
         if len(wrong):
             return self._corrected(joined, begin, end, piece, len(pieces), low, size, flat, wrong)
         out = np.repeat(low - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
@@ -172,22 +172,23 @@ class Encoder:
         del ends, flat
         return ids, per_piece
 
-    def _differing(self, x: np.ndarray, begin: np.ndarray, end: np.ndarray, slot: np.ndarray) -> np.ndarray:
-        """Pre-tokens whose characters are not those their slot was learned from."""
+    def _differing(self, x: np.ndarray, inside: np.ndarray, begin: np.ndarray, end: np.ndarray, slot: np.ndarray) -> np.ndarray:
+        """Pre-tokens whose characters are not those their slot was learned from; ``inside`` marks the characters of all."""
         chars, stops = np.frombuffer(self.chars, np.uint16), np.frombuffer(self.stops, np.uint64).astype(np.int64)
-        length, held = end - begin, stops[slot + 1] - stops[slot]
-        same = length == held
-        if not same.all():
-            wrong = np.flatnonzero(~same)
-            begin, slot, length = begin[same], slot[same], length[same]
-        else:
-            wrong = np.zeros(0, np.int64)
-        # all characters of the pre-tokens stand in a row but for the marks between pieces
-        at = np.repeat((stops[slot] - np.cumsum(length) + length).astype(np.int32), length) + np.arange(int(length.sum()), dtype=np.int32)
-        own = np.repeat((begin - np.cumsum(length) + length).astype(np.int32), length) + np.arange(int(length.sum()), dtype=np.int32)
-        off = np.flatnonzero(chars[at] != x[own])
+        length, first = end - begin, stops[slot]
+        same = length == stops[slot + 1] - first
+        wrong = np.flatnonzero(~same)
+        if len(wrong):
+            inside = inside.copy()
+            for i in wrong.tolist():
+                inside[begin[i] : end[i]] = False
+            first, length = first[same], length[same]
+        reach = np.cumsum(length)
+        at = np.repeat((first - reach + length).astype(np.int32), length)
+        at += np.arange(len(at), dtype=np.int32)
+        off = np.flatnonzero(chars[at] != x[inside])
         if len(off):
-            more = np.unique(np.searchsorted(np.cumsum(length), off, side="right"))
+            more = np.unique(np.searchsorted(reach, off, side="right"))
             wrong = np.concatenate([wrong, np.flatnonzero(same)[more]])
         return wrong
 
