@@ -30,64 +30,80 @@ def _ready(df: DataFrame, value: str, keys: Sequence[str], date: str) -> DataFra
     return rows.groupBy(*keys, "date").agg(F.avg("y").alias("y"))
 
 
-def _lagged(df: DataFrame, value: str, lags: int, keys: Sequence[str], date: str) -> DataFrame:
-    """The series around its mean, with ``lags`` earlier values beside every day."""
-    series = over_keys(keys)
-    order = series.orderBy("date")
-    rows = _ready(df, value, keys, date).withColumns(
-        {"_mean": F.avg("y").over(series), "_n": F.count(F.lit(1)).over(series), "_rn": F.row_number().over(order)}
-    )
-    rows = rows.withColumn("_z0", F.col("y") - F.col("_mean"))
-    return rows.withColumns({f"_z{k}": F.lag("_z0", k).over(order) for k in range(1, lags + 1)})
+def _packed(df: DataFrame, value: str, lags: int, keys: Sequence[str], date: str) -> DataFrame:
+    """One row per series with more than ``lags`` values: its ``_days`` in order, and their mean.
+
+    A lag is another place of the same array. As columns beside every day, the lags would make each row more than ten times as
+    wide on its way through sorts, aggregates and joins.
+    """
+    days = F.sort_array(F.collect_list(F.struct("date", "y"))).alias("_days")
+    return _ready(df, value, keys, date).groupBy(*keys).agg(days, F.avg("y").alias("_mean")).where(F.size("_days") > lags)
 
 
-def _latest(position: Column, wanted: Column) -> Column:
-    """The values of the wanted rows of a series, latest first."""
-    picked = F.collect_list(F.when(wanted, F.struct(position.alias("p"), F.col("_z0").alias("z"))))
-    return F.transform(F.sort_array(picked, asc=False), lambda x: x["z"])
+def _centred() -> Column:
+    """The values of a series around their mean, in order."""
+    return F.transform("_days", lambda d: d["y"] - F.col("_mean"))
 
 
-def _lag_products(lags: int) -> Column:
+def _earlier(z: Column, k: Column, lags: int) -> Column:
+    """For each of the values that have all their lags the one ``k`` days before."""
+    return F.slice(z, lags + 1 - k, F.size(z) - lags)
+
+
+def _lag_products(z: Column, lags: int) -> Column:
     """Sums of z[t-i] z[t-j] over the days with all lags, i and j from 0 to ``lags``.
 
     Only those of z[t] are summed over the days. Each further row is the row before moved on by one day: it gains the product
     of two of the first values and loses that of two of the last.
     """
-    first = F.array(*[F.col(f"_c{k}") for k in range(lags + 1)])
+    def own(y: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(lags)), lambda k: F.aggregate(
+            F.zip_with(y, _earlier(z, k, lags), lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v))
+
+    def rows(first: Column, head: Column, tail: Column) -> Column:
+        def further(done: Column, i: Column) -> Column:
+            def moved(v: Column, j: Column) -> Column:
+                return v + F.get(head, i) * F.get(head, j) - F.get(tail, i) * F.get(tail, j)
+
+            row = F.concat(F.array(F.get(first, i + 1)), F.transform(F.slice(F.get(done, i), 1, lags), moved))
+            return F.concat(done, F.array(row))
 
-    def further(rows: Column, i: Column) -> Column:
-        def moved(v: Column, j: Column) -> Column:
-            gained = F.get("_head", i) * F.get("_head", j)
-            return v + gained - F.get("_tail", i) * F.get("_tail", j)
+        return F.aggregate(F.sequence(F.lit(0), F.lit(lags - 1)), F.array(first), further)
 
-        row = F.concat(F.array(F.get(first, i + 1)), F.transform(F.slice(F.get(rows, i), 1, lags), moved))
-        return F.concat(rows, F.array(row))
+    return let(let(_earlier(z, F.lit(0), lags), own), lambda first: let(_head(z, lags), lambda head: let(
+        _tail(z, lags), lambda tail: rows(first, head, tail))))
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(lags - 1)), F.array(first), further)
 
+def _lag_sums(z: Column, lags: int) -> Column:
+    """Sums of z[t-k] over the days with all lags, k from 0 to ``lags``, each from the one before."""
+    first = F.aggregate(_earlier(z, F.lit(0), lags), F.lit(0.0), lambda s, v: s + v)
+    moves = let(_head(z, lags), lambda head: F.zip_with(head, _tail(z, lags), lambda gained, lost: gained - lost))
+    return F.aggregate(moves, F.array(first), lambda done, v: F.concat(done, F.array(F.element_at(done, -1) + v)))
 
-def _fits(rows: DataFrame, lags: int, keys: Sequence[str]) -> DataFrame:
-    """Per series with more than ``lags`` values: ``_beta`` (constant first), the last values, their mean and the last day."""
-    whole = F.col("_rn") > lags
-    lag = [F.col(f"_z{k}") for k in range(lags + 1)]
-    sums = rows.groupBy(*keys).agg(
-        *[F.sum(F.when(whole, lag[0] * z)).alias(f"_c{k}") for k, z in enumerate(lag)],
-        *[F.sum(F.when(whole, z)).alias(f"_s{k}") for k, z in enumerate(lag)],
-        F.count_if(whole).alias("_rows"),
-        _latest(F.col("_rn"), F.col("_rn") <= lags).alias("_head"),
-        _latest(F.col("_rn"), F.col("_rn") > F.col("_n") - lags).alias("_tail"),
-        F.first("_mean").alias("_mean"),
-        F.max("date").alias("_last"),
-    ).where("_rows > 0")
-    ones = F.array(F.col("_rows").cast("double"), *[F.col(f"_s{k}") for k in (*range(1, lags + 1), 0)])
 
-    def row(products: Column, k: int) -> Column:
-        own = F.get(products, F.lit(k))
-        return F.concat(F.array(F.col(f"_s{k}")), F.slice(own, 2, lags), F.slice(own, 1, 1))
+def _head(z: Column, lags: int) -> Column:
+    """The first ``lags`` values, latest first."""
+    return F.reverse(F.slice(z, 1, lags))
 
-    system = let(_lag_products(lags), lambda p: F.array(ones, *[row(p, k) for k in range(1, lags + 1)]))
-    beta = solve(system, lags + 1)["beta"]
-    return sums.withColumn("_b", beta).select(*keys, "_b", "_tail", "_mean", "_last")
+
+def _tail(z: Column, lags: int) -> Column:
+    """The last ``lags`` values, latest first."""
+    return F.reverse(F.slice(z, -lags, lags))
+
+
+def _fits(packed: DataFrame, lags: int, keys: Sequence[str]) -> DataFrame:
+    """The rows of `_packed` with the coefficients ``_b`` of the series around its mean, constant first."""
+    def system(z: Column, products: Column, sums: Column) -> Column:
+        rows = (F.size(z) - lags).cast("double")
+        ones = F.concat(F.array(rows), F.slice(sums, 2, lags), F.slice(sums, 1, 1))
+
+        def row(k: Column) -> Column:
+            return let(F.get(products, k), lambda p: F.concat(F.array(F.get(sums, k)), F.slice(p, 2, lags), F.slice(p, 1, 1)))
+
+        return F.concat(F.array(ones), F.transform(F.sequence(F.lit(1), F.lit(lags)), row))
+
+    equations_of = let(_centred(), lambda z: let(_lag_products(z, lags), lambda p: let(_lag_sums(z, lags), lambda s: system(z, p, s))))
+    return packed.select(*keys, "_days", "_mean", solve(equations_of, lags + 1)["beta"].alias("_b"))
 
 
 def _original(beta: Column, mean: Column) -> Column:
@@ -105,7 +121,7 @@ def autoreg_fit(
     Series with at most ``lags`` values give no rows. Lags that depend on those before them, as in a constant series, get the
     coefficient 0. Expects a regular series.
     """
-    fits = _fits(_lagged(df, value, lags, keys, date), lags, keys)
+    fits = _fits(_packed(df, value, lags, keys, date), lags, keys)
     own = let(F.col("_b"), lambda beta: _original(beta, F.col("_mean")))
     return fits.select(*keys, F.posexplode(own).alias("term", "coefficient"))
 
@@ -114,11 +130,19 @@ def autoreg_fitted(
     df: DataFrame, value: str, lags: int = 30, *, keys: Sequence[str] = (), date: str = "date"
 ) -> DataFrame:
     """Actual and fitted value of every day that has all its lags."""
-    rows = _lagged(df, value, lags, keys, date)
-    fits = _fits(rows, lags, keys).select(*keys, "_b")
-    both = join_keys(rows.where(F.col("_rn") > lags), fits, keys) if keys else rows.where(F.col("_rn") > lags).join(F.broadcast(fits))
-    past = F.array(F.lit(1.0), *[F.col(f"_z{k}") for k in range(1, lags + 1)])
-    return both.select(*keys, "date", F.col("y").alias("actual"), (F.col("_mean") + dot(past, F.col("_b"))).alias("fitted"))
+    fits = _fits(_packed(df, value, lags, keys, date), lags, keys)
+
+    def days(beta: Column, z: Column) -> Column:
+        def further(line: Column, k: Column) -> Column:
+            return let(F.get(beta, k), lambda b: F.zip_with(line, _earlier(z, k, lags), lambda s, v: s + b * v))
+
+        start = F.array_repeat(F.col("_mean") + F.get(beta, F.lit(0)), F.size(z) - lags)
+        lines = F.aggregate(F.sequence(F.lit(1), F.lit(lags)), start, further)
+        return F.zip_with(_earlier(F.col("_days"), F.lit(0), lags), lines, lambda d, line: F.struct(
+            d["date"].alias("date"), d["y"].alias("actual"), line.alias("fitted")))
+
+    each = let(F.col("_b"), lambda beta: let(_centred(), lambda z: days(beta, z)))
+    return fits.select(*keys, F.inline(each))
 
 
 def autoreg_forecast(
@@ -131,18 +155,19 @@ def autoreg_forecast(
     date: str = "date",
 ) -> DataFrame:
     """Recursive forecast of the days after the series; the state is the list of the latest values."""
-    fits = _fits(_lagged(df, value, lags, keys, date), lags, keys)
+    fits = _fits(_packed(df, value, lags, keys, date), lags, keys)
 
     def path(beta: Column) -> Column:
         def ahead(known: Column, _: Column) -> Column:
             past = F.concat(F.array(F.lit(1.0)), F.slice(known, 1, lags))
             return F.concat(F.array(dot(beta, past)), known)
 
-        return F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), F.col("_tail"), ahead)
+        return F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), _tail(_centred(), lags), ahead)
 
     # The coefficients are bound before the recursion: as a column they would be solved again in every step.
     steps = F.reverse(F.slice(let(F.col("_b"), path), 1, horizon))
-    steps = fits.select(*keys, "_mean", "_last", F.posexplode(steps).alias("_i", "_z"))
+    last = F.element_at("_days", -1)["date"].alias("_last")
+    steps = fits.select(*keys, "_mean", last, F.posexplode(steps).alias("_i", "_z"))
     step = F.col("_i") + 1
     return steps.select(*keys, F.date_add("_last", step).alias("date"), step.alias("step"), (F.col("_mean") + F.col("_z")).alias("forecast"))
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F, Window as W
 
 from nightly.functions.frame import as_double, attach_stats, numeric_columns, over_keys
 from nightly.functions.time import utc_wall
-from nightly.operators.skew import MAX_ROWS, Spread, row_windows, running_totals
+from nightly.operators.skew import MAX_ROWS, Spread, by_series, row_windows, running_totals, series_tasks
 
 HEALTHY_HOURS = (7.0, 9.0)
 # Two-sided 95 % quantile of the standard normal distribution.
@@ -53,17 +53,21 @@ def daily_target(
 
 
 def calendar_densify(
-    df: DataFrame, *, keys: Sequence[str] = (), date: str = "date"
+    df: DataFrame, *, keys: Sequence[str] = (), date: str = "date", tasks: int | None = None
 ) -> DataFrame:
     """One row per day between the first and the last day of each series.
 
     Every row makes the days up to its successor, so this needs no join, and
     later windows over the keys reuse the shuffle. Added days have NULL values.
+    ``tasks`` may be counted (`series_tasks`) on the rows that ``df`` is made of,
+    where it costs less than on ``df``.
     """
     values = [c for c in df.columns if c not in (*keys, date)]
     following = F.lead(date).over(over_keys(keys).orderBy(date))
     last = F.coalesce(F.date_sub(following, 1), F.col(date))
-    spread = df.where(F.col(date).isNotNull()).withColumn("_last", last)
+    known = df.where(F.col(date).isNotNull())
+    dealt = by_series(known, keys, tasks or series_tasks(known, keys, date))
+    spread = dealt.withColumn("_last", last)
     days = spread.withColumn("_day", F.explode(F.sequence(F.col(date), F.col("_last"))))
     own = F.col("_day") == F.col(date)
     return days.select(
@@ -115,9 +119,11 @@ def regular_series(
 
     The same as densify and interpolate, in one pass over the known days: each
     makes the days up to the next known day on the line between them. A series
-    without a known value keeps its days, all NULL.
+    without a known value keeps its days, all NULL. The days are counted first, by
+    one job over keys and dates, so that the tasks grow with them.
     """
     daily = daily_mean(df, value, keys=keys, date=date).where(F.col(date).isNotNull())
+    daily = by_series(daily, keys, series_tasks(df, keys, date))
     series = over_keys(keys)
     ends = daily.withColumns(
         {"_first": F.min(date).over(series), "_end": F.max(date).over(series), "_known": F.count(value).over(series)}

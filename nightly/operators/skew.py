@@ -24,6 +24,8 @@ MAX_ROWS = 2_000_000
 # A key counts as large only above 1/MAX_HOT_KEYS of all rows, so there are
 # fewer than MAX_HOT_KEYS large keys and their table can be broadcast.
 MAX_HOT_KEYS = 20_000
+# Days of whole series per task, which bounds the memory of the sorts over them.
+TASK_DAYS = 500_000
 
 Columns = Callable[[WindowSpec], Sequence[Column]]
 
@@ -57,6 +59,25 @@ def spread(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_ROWS) -> Spre
     return Spread(keys, total, limit, materialize(counts.where(F.col("_n") > limit), "large-keys"))
 
 
+def series_tasks(df: DataFrame, keys: Sequence[str], date: str = "date") -> int:
+    """Tasks for every day of the series in ``df``, from the first to the last of each, found by one job over keys and dates."""
+    if not keys:
+        return 1
+    day = F.col(date).cast("date")
+    ends = df.groupBy(*keys).agg(F.min(day).alias("_first"), F.max(day).alias("_last"))
+    days = ends.agg(F.sum(F.date_diff("_last", "_first") + 1)).first()[0] or 0
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-days // TASK_DAYS))
+
+
+def by_series(df: DataFrame, keys: Sequence[str], tasks: int) -> DataFrame:
+    """Whole series dealt to ``tasks`` tasks.
+
+    A window over the keys shuffles by itself, but into as many bytes a task as adaptive execution aims at, before the days that
+    are missing are made and sorted. Their number is what a task must have room for, so it says how many tasks there are.
+    """
+    return df.repartition(tasks, *keys) if keys else df
+
+
 def _nulls_last(order: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in order]
 

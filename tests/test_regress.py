@@ -121,3 +121,33 @@ def test_lag_products_equal_the_sums(spark):
         z = np.array(y)
         design = np.column_stack([np.ones(50 - lags), *[z[lags - k : 50 - k] for k in range(1, lags + 1)]])
         np.testing.assert_allclose(got, np.linalg.lstsq(design, z[lags:], rcond=None)[0], atol=1e-7)
+
+
+def test_a_series_is_one_narrow_row(spark):
+    """No lag columns beside the days, and no join that shuffles the days anew."""
+    df = rows_of(spark, made(random.Random(3), "a", 60))
+    inputs = df.groupBy("k", "date").agg(F.avg("v").alias("v"))
+    own = plan_of(inputs).count("Exchange")
+    for made_df in (
+        regress.autoreg_fit(inputs, "v", 5, keys=["k"]), regress.autoreg_forecast(inputs, "v", 5, 3, keys=["k"]),
+        regress.autoreg_fitted(inputs, "v", 5, keys=["k"]),
+    ):
+        plan = plan_of(made_df)
+        assert "Join" not in plan and "Window" not in plan and plan.count("Exchange") == own + 1
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_fitted_values_of_null_keys_and_repeated_days(spark):
+    rng = np.random.default_rng(4)
+    y = rng.normal(7, 1, 40)
+    rows = [(k, DAY + dt.timedelta(t), float(v + shift)) for k in (None, "a") for t, v in enumerate(y) for shift in (-1, 1)]
+    got = regress.autoreg_fitted(spark.createDataFrame(rows, "k string, date date, v double"), "v", 4, keys=["k"]).collect()
+    design = np.column_stack([np.ones(36), *[y[4 - k : 40 - k] for k in range(1, 5)]])
+    want = design @ np.linalg.lstsq(design, y[4:], rcond=None)[0]
+    for key in (None, "a"):
+        mine = sorted((r.date, r.actual, r.fitted) for r in got if r.k == key)
+        assert [r[0] for r in mine] == [DAY + dt.timedelta(t) for t in range(4, 40)]
+        np.testing.assert_allclose([r[1:] for r in mine], np.column_stack([y[4:], want]))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 from datetime import date
 
 import numpy as np
@@ -8,7 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from nightly.operators import decompose, detect, series
+from nightly.operators import decompose, detect, forecast, regress, series, skew
 from tests.helpers import by, daily
 
 
@@ -200,3 +201,33 @@ def test_iqr_anomalies(spark):
     rows = detect.anomalies_iqr(_residuals(spark, values), threshold=1.5).orderBy("i").collect()
     assert [r.is_anomaly for r in rows] == [False] * 4 + [True]
     assert not any(r.is_anomaly for r in detect.anomalies_iqr(_residuals(spark, [1.0] * 8 + [9.0])).collect())
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _tasks(df) -> set[int]:
+    return {int(n) for n in re.findall(r"hashpartitioning\([^()]*, (\d+)\), REPARTITION_BY_NUM", _plan(df))}
+
+
+def _sorted(df):
+    return sorted(tuple(str(v) if c in ("k", "date") else round(v, 9) if v is not None else -1.0 for c, v in zip(df.columns, r)) for r in df.collect())
+
+
+@pytest.mark.parametrize(
+    "make",
+    [
+        lambda df: series.regular_series(df, "v", keys=["k"]),
+        lambda df: decompose.seasonal_decompose(series.regular_series(df, "v", keys=["k"]), "v", keys=["k"]),
+        lambda df: forecast.ar1_forecast(series.regular_series(df, "v", keys=["k"]), "v", keys=["k"]),
+        lambda df: regress.autoreg_fitted(series.regular_series(df, "v", keys=["k"]), "v", 5, keys=["k"]),
+    ],
+)
+def test_tasks_grow_with_the_days_of_the_series(gappy, monkeypatch, make):
+    usual = make(gappy)
+    monkeypatch.setattr(skew, "TASK_DAYS", 2)
+    many = make(gappy)
+    assert _tasks(many) == {60} and _tasks(usual) == {8}  # two series of 60 days, eight cores
+    assert _plan(many).count("Exchange hashpartitioning") == 2
+    assert _sorted(many) == _sorted(usual)
