@@ -18,6 +18,7 @@ from nightly.operators.forecast import (
     register_forecaster,
 )
 from nightly.operators.normal import dot, equations, let, moments, solve
+from nightly.operators.skew import by_series, series_tasks
 
 SEASON = 7
 BAND_Z = 1.959963984540054
@@ -176,7 +177,7 @@ def _daily_grid(df: DataFrame, target: str, exog: Sequence[str], keys: Sequence[
     """Every day from the first known target to the last day of a series, gaps filled from before."""
     means = [F.avg(as_double(df, c)).alias(c) for c in exog]
     days = df.groupBy(*keys, F.col(date).cast("date").alias("date")).agg(F.avg(as_double(df, target)).alias("_y"), *means)
-    days = days.dropna(subset=["date"])
+    days = by_series(days.dropna(subset=["date"]), keys, series_tasks(df, keys, date))
     order = over_keys(keys).orderBy("date")
     # A day stands for the gap behind it too, so filling is copying.
     gap = F.coalesce(F.date_sub(F.lead("date").over(order), 1), F.col("date"))

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from nightly.operators import normal, regress
+from nightly.operators import normal, regress, skew
 
 DAY = dt.date(2024, 1, 1)
 
@@ -151,3 +151,15 @@ def test_fitted_values_of_null_keys_and_repeated_days(spark):
         mine = sorted((r.date, r.actual, r.fitted) for r in got if r.k == key)
         assert [r[0] for r in mine] == [DAY + dt.timedelta(t) for t in range(4, 40)]
         np.testing.assert_allclose([r[1:] for r in mine], np.column_stack([y[4:], want]))
+
+
+def test_tasks_of_the_arx_grow_with_the_days(spark, monkeypatch):
+    rng = random.Random(6)
+    df = rows_of(spark, made(rng, "a", 60) + made(rng, "b", 60))
+    usual = regress.seasonal_arx_forecast(df, "v", keys=["k"], exog=["x"])
+    monkeypatch.setattr(skew, "TASK_DAYS", 2)
+    many = regress.seasonal_arx_forecast(df, "v", keys=["k"], exog=["x"])
+    assert "60), REPARTITION_BY_NUM" in plan_of(many)  # two series of 60 days
+    a, b = (sorted((r.k, r.date, r.prediction, r.lower) for r in d.collect()) for d in (usual, many))
+    assert [r[:2] for r in a] == [r[:2] for r in b]
+    np.testing.assert_allclose([r[2:] for r in a], [r[2:] for r in b])
