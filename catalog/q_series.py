@@ -9,12 +9,18 @@ from catalog.bind import plain
 from catalog.registry import query
 from catalog.tables_sql import r6
 from nightly.operators import decompose, detect, forecast as fc, models, regress, series
+from nightly.operators.skew import series_tasks
 from nightly.session import materialize, scratch_path
 from nightly.sinks.models import load_fitted, save_fitted
 
 KEY = ["series"]
 
 
+def _dense(spark, sf):
+    tasks = series_tasks(bind.supplier_rows(spark, sf), KEY)
+    return series.calendar_densify(bind.supplier_daily(spark, sf), keys=KEY, tasks=tasks)
+
+
 def _regular(spark, sf):
     return series.regular_series(bind.supplier_rows(spark, sf), "sleep_hours", keys=KEY)
 
@@ -40,19 +46,17 @@ def series_daily_mean(spark, sf):
 
 @query(f"SELECT series, date, {r6('sleep_hours', 'sleep_hours')} FROM sdense")
 def calendar_densify(spark, sf):
-    return plain(series.calendar_densify(bind.supplier_daily(spark, sf), keys=KEY))
+    return plain(_dense(spark, sf))
 
 
 @query(f"SELECT series, date, {r6('pv', 'sleep_hours')} FROM sframed")
 def forward_fill(spark, sf):
-    dense = series.calendar_densify(bind.supplier_daily(spark, sf), keys=KEY)
-    return plain(series.forward_fill(dense, ["sleep_hours"], keys=KEY))
+    return plain(series.forward_fill(_dense(spark, sf), ["sleep_hours"], keys=KEY))
 
 
 @query(f"SELECT series, date, {r6('sleep_hours', 'sleep_hours')} FROM sregular")
 def interpolate_linear(spark, sf):
-    dense = series.calendar_densify(bind.supplier_daily(spark, sf), keys=KEY)
-    return plain(series.interpolate_linear(dense, "sleep_hours", keys=KEY))
+    return plain(series.interpolate_linear(_dense(spark, sf), "sleep_hours", keys=KEY))
 
 
 @query(f"SELECT series, date, {r6('sleep_hours', 'sleep_hours')} FROM sregular")
@@ -68,7 +72,7 @@ def regular_series(spark, sf):
                 FROM lineitem GROUP BY 1, 2) d ON d.series = g.series AND d.date = g.date)"""
 )
 def exog_align(spark, sf):
-    spine = series.calendar_densify(bind.supplier_daily(spark, sf), keys=KEY).select("series", "date")
+    spine = _dense(spark, sf).select("series", "date")
     return plain(series.exog_align(spine, bind.supplier_rows(spark, sf), ["efficiency"], keys=KEY))
 
 

@@ -231,3 +231,13 @@ def test_tasks_grow_with_the_days_of_the_series(gappy, monkeypatch, make):
     assert _tasks(many) == {60} and _tasks(usual) == {8}  # two series of 60 days, eight cores
     assert _plan(many).count("Exchange hashpartitioning") == 2
     assert _sorted(many) == _sorted(usual)
+
+
+@pytest.mark.parametrize("fill", [lambda d: series.forward_fill(d, ["v"], keys=["k"]), lambda d: series.interpolate_linear(d, "v", keys=["k"])])
+def test_tasks_of_a_filled_calendar_grow_with_its_days(gappy, monkeypatch, fill):
+    mean = series.daily_mean(gappy, "v", keys=["k"])
+    usual = fill(series.calendar_densify(mean, keys=["k"]))
+    monkeypatch.setattr(skew, "TASK_DAYS", 2)
+    many = fill(series.calendar_densify(mean, keys=["k"]))
+    assert _tasks(many) == {60} and _plan(many).count("Exchange hashpartitioning") == 2
+    assert _sorted(many) == _sorted(usual) == _sorted(fill(series.calendar_densify(mean, keys=["k"], tasks=3)))
