@@ -18,8 +18,9 @@ from nightly.operators.forecast import (
 )
 from nightly.session import materialize
 
-# Rows per training task, so that the tasks grow with the series.
-TRAIN_ROWS = 10_000
+# Rows per training task, so that the tasks grow with the series. Every level of every tree is a pass over all tasks, some 600
+# in all: with few rows a task, starting the tasks takes longer than the passes.
+TRAIN_ROWS = 250_000
 
 
 def _rows(df: DataFrame, target: str, features: Sequence[str], keys: Sequence[str], date: str, horizon: int, backtest_window: int | None) -> DataFrame:

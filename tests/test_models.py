@@ -99,3 +99,20 @@ def test_train_names_its_models(spark, folder):
         scored = models.score(load_fitted(spark, path), daily).agg(F.round(F.sum("prediction"), 6)).first()[0]
         kept = written.where(F.col("model") == name).agg(F.round(F.sum(F.col("prediction").cast("double")), 6)).first()[0]
         assert scored == pytest.approx(kept, abs=1e-4)
+
+
+def test_a_pass_of_the_trees_starts_few_tasks(spark, monkeypatch):
+    """600 passes over 25,000 rows in one task each; a task of a pass costs more to start than 10,000 rows to read."""
+    seen = []
+
+    class Trainer:
+        def __init__(self, **_):
+            pass
+
+        def fit(self, rows):
+            seen.append((rows.rdd.getNumPartitions(), rows.count()))
+
+    monkeypatch.setattr(boosting, "GBTRegressor", Trainer)
+    df = spark.range(25_000).selectExpr("id % 500 AS k", "date_add(date'2024-01-01', int(id div 500)) AS date", "double(id) AS v", "double(id % 7) AS x")
+    boosting.gbt_train(df, "v", keys=["k"], features=["x"])
+    assert seen == [(1, 25_000 - 500 * 7)]
