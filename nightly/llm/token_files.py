@@ -43,10 +43,12 @@ _RECENT = 100_000  # of these in a dictionary
 _ROWS = 256  # rows encoded at once
 _PIECE = 1 << 17  # code points per piece of a long text
 _GROUP = 1 << 19  # code points worked on at once
+_ASKED = 1 << 14  # code points of new pre-tokens whose tokens are held at once, more if one alone is longer
 
 # Characters below this have had the same class in every Unicode version since 5.0.
 _KNOWN = 0x250
-_SLOW = re.compile(r"[^\x00-ɏ]|'(?:[stmd]|re|ve|ll)|<\|endoftext\|>")
+_BEYOND = re.compile(r"[^\x00-ɏ]")
+_CONTRACTION = re.compile(r"'(?:[stmd]|re|ve|ll)")
 _LETTER, _NUMBER, _SPACE, _OTHER, _STOP = range(5)
 
 
@@ -69,6 +71,13 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def _slow(text: str) -> bool:
+    """Whether the text has something that the cut does not cover."""
+    if not text.isascii() and _BEYOND.search(text):
+        return True
+    return "'" in text and _CONTRACTION.search(text) is not None or "<|endoftext|>" in text
+
+
 class Encoder:
     """Ids of texts, equal to ``tokenizer.encode(text, add_special_tokens=False).ids``."""
 
@@ -76,6 +85,12 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.classes = _classes()
         self.letters = _byte_letters()
+        # Stand-ins of the one or two bytes of every known character, 0 for no second one; a stop becomes a blank, which is none.
+        self.stand_ins = np.zeros((_KNOWN + 1, 2), np.uint32)
+        for i in range(_KNOWN):
+            made = [ord(self.letters[b]) for b in chr(i).encode()]
+            self.stand_ins[i, : len(made)] = made
+        self.stand_ins[_KNOWN, 0] = ord(" ")
         rng = np.random.default_rng(3)
         self.salt = rng.integers(1, 1 << 63, _KNOWN + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.powers = self.inverse = np.zeros(0, np.uint64)
@@ -116,13 +131,31 @@ class Encoder:
     def _ids(self, text: str) -> list[int]:
         return [t.id for t in self.tokenizer.model.tokenize(text.encode().decode("latin-1").translate(self.letters))]
 
-    def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
-        for key, text in zip(keys.tolist(), texts):
-            self.flat.extend(self._ids(text))
-            self.ends.append(len(self.flat))
-            self.chars.frombytes(text.encode("utf-16-le"))
-            self.stops.append(len(self.chars))
-            self.recent[key] = len(self.ends) - 2
+    def _ask(self, x: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pre-tokens of ``x`` in a row, and how many each has; before and after all there is a stop."""
+        size = end - begin + 1
+        reach = np.cumsum(size)
+        at = np.repeat(begin - reach + size, size) + np.arange(int(reach[-1]))
+        at[reach - 1] = 0
+        made = self.stand_ins[x[at]].reshape(-1)
+        words = made[made > 0].tobytes().decode("utf-32-le")[:-1].split(" ")
+        tokens = [*map(self.tokenizer.model.tokenize, words)]
+        return np.array([t.id for word in tokens for t in word], np.uint32), np.fromiter(map(len, tokens), np.int64, len(tokens))
+
+    def _learn(self, keys: np.ndarray, x: np.ndarray, begin: np.ndarray, end: np.ndarray) -> None:
+        size = end - begin
+        reach = np.cumsum(size)
+        lo, slot = 0, len(self.ends) - 1
+        while lo < len(keys):
+            hi = max(lo + 1, int(np.searchsorted(reach, reach[lo] - size[lo] + _ASKED, side="right")))
+            ids, n = self._ask(x, begin[lo:hi], end[lo:hi])
+            self.ends.frombytes((np.cumsum(n) + len(self.flat)).astype(np.uint64).tobytes())
+            self.flat.frombytes(ids.tobytes())
+            lo = hi
+        at = np.repeat(begin - reach + size, size) + np.arange(int(reach[-1]))
+        self.stops.frombytes((reach + len(self.chars)).astype(np.uint64).tobytes())
+        self.chars.frombytes(x[at].astype(np.uint16).tobytes())
+        self.recent.update(zip(keys.tolist(), range(slot, slot + len(keys))))
         if len(self.recent) > _RECENT:
             self._settle()
 
@@ -155,9 +188,8 @@ class Encoder:
         if len(new):
             first = np.full(len(distinct), -1, np.int64)
             first[codes[::-1]] = np.arange(len(codes))[::-1]
-            b, e = begin[first[new]].tolist(), end[first[new]].tolist()
             grown = len(self.ends) - 1
-            self._learn(distinct[new], [joined[i:j] for i, j in zip(b, e)])
+            self._learn(distinct[new], x, begin[first[new]], end[first[new]])
             at[new] = grown + np.arange(len(new))
         ends = np.frombuffer(self.ends, np.uint64).astype(np.int64)
         flat = np.frombuffer(self.flat, np.uint32)
@@ -220,7 +252,7 @@ class Encoder:
         for i, text in enumerate(texts):
             if not text:
                 continue
-            if _SLOW.search(text):
+            if _slow(text):
                 flush()
                 ids = self.tokenizer.encode(text, add_special_tokens=False).ids
                 parts.append(np.array(ids, dtype=np.uint32))

@@ -364,6 +364,20 @@ def test_pre_tokens_of_equal_hash_keep_their_own_ids():
             assert ids.tolist() == sum(want, []) and sizes.tolist() == list(map(len, want))
 
 
+def test_new_pre_tokens_are_learned_many_at_once(monkeypatch):
+    """Pre-tokens were once cut out of the text and learned one by one, which was over half of the time to encode it."""
+    monkeypatch.setattr(token_files, "_ASKED", 9, raising=False)
+    encoder = token_files.Encoder(BPE)
+    cut, whole = [], encoder._ids
+    monkeypatch.setattr(encoder, "_ids", lambda text: cut.append(text) or whole(text))
+    texts = ["One longerwordthanthat, two  two\n\n\t three ", "Größe Æther ŉ ɏ 12345 \x00\xa0\x85 !?", "x" * 300, "", None, "One two \xad\xff <|endoftext| >", "it's 漢字", " "]
+    for _ in range(2):
+        ids, sizes = encoder.encode(texts)
+        want = [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert ids.tolist() == sum(want, []) and sizes.tolist() == list(map(len, want))
+    assert not cut
+
+
 def test_ranges_are_bounded_and_files_roll(spark, folder, monkeypatch):
     rng = random.Random(3)
     rows = [(i, prose(rng, 60)) for i in range(300)] + [(None, prose(rng, 60)) for _ in range(100)]
