@@ -19,10 +19,11 @@ ARROW_ROWS = "2000"
 WORKER_CACHES: dict[str, dict] = {}
 
 
-def clear_worker() -> None:
-    """At the start of a task: free what other operators left in this worker, which outlives their stages."""
-    if any(WORKER_CACHES.values()):
-        for held in WORKER_CACHES.values():
+def clear_worker(keep: str | None = None) -> None:
+    """At the start of a task: free what operators other than ``keep`` left in this worker, which outlives their stages."""
+    left = [held for name, held in WORKER_CACHES.items() if name != keep and held]
+    if left:
+        for held in left:
             held.clear()
         pa.default_memory_pool().release_unused()
 

@@ -1,6 +1,7 @@
 """Token ids of whole texts in frequency-ranked, byte-aligned, variable-length files.
 
-A first pass counts every id of the corpus; ids are replaced by their rank by frequency, so common ids take one byte.
+Texts are encoded once: a first pass keeps the ids in a compressed table and counts every id of the corpus, a second replaces
+them by their rank by frequency, so common ids take one byte. The table is deleted when the files are written.
 Each rank is stored in 1 to 4 bytes; the lengths stand apart as 2-bit codes, four to a control byte, and a reader finds
 all offsets of a block by one table lookup per control byte and a running sum. Documents are dealt to tasks by ranges
 of doc_id that depend on the table alone and sorted inside them; a task rolls files by size, which are renamed into place and
@@ -11,7 +12,7 @@ Layout of a shard, little-endian: magic ``FRVB0001``; documents, ids, data bytes
 ``ranks.bin`` holds the id of every rank (uint32).
 
 Texts are cut into the tokenizer's pre-tokens with numpy (character classes and a running hash), and the tokenizer is asked
-once per distinct pre-token and worker, up to ``_MEMO`` kept ones. Equal hashes only propose: characters of every pre-token are
+once per distinct pre-token and worker, up to ``_MEMO`` kept ones, of which those not met again go first. Equal hashes only propose: characters of every pre-token are
 compared with those its ids were made from, and where they differ the tokenizer is asked. Texts with characters, contractions or special tokens
 that this cut does not cover go to the tokenizer whole; both ways give the tokenizer's ids.
 """
@@ -27,23 +28,25 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokenizers import Tokenizer
 
-from nightly.llm.common import WORKER_CACHES, filesystem, put_file, query, range_bounds, ranges_of, table
-from nightly.session import scratch_path
+from nightly.llm.common import WORKER_CACHES, clear_worker, filesystem, put_file, query, range_bounds, ranges_of, table
+from nightly.session import job, materialize, scratch_path
 
 MAGIC = b"FRVB0001"
 MANIFEST = "MANIFEST.json"
 END_ID = 0
 _HEAD = np.dtype("<u8")
-_MEMO = 1_000_000  # distinct pre-tokens a worker keeps
-_RECENT = 100_000  # of these in a dictionary
-_ROWS = 256  # rows encoded at once
+_MEMO = 500_000  # distinct pre-tokens a worker keeps
+_ROWS = 256  # rows encoded at once, and bytes of their texts or ids, more if one alone is longer
+_BYTES = 1 << 18
 _PIECE = 1 << 17  # code points per piece of a long text
-_GROUP = 1 << 19  # code points worked on at once
+_GROUP = 1 << 18  # code points worked on at once
 _ASKED = 1 << 14  # code points of new pre-tokens whose tokens are held at once, more if one alone is longer
+_IDS = 1 << 18  # ids read at once, more if one document has more
 
 # Characters below this have had the same class in every Unicode version since 5.0.
 _KNOWN = 0x250
@@ -97,29 +100,58 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        """Pre-tokens are known by hash: sorted arrays, and a small dictionary of the latest ones."""
-        self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.recent: dict[int, int] = {}
-        self.flat, self.ends = array("I"), array("Q", [0])
-        self.chars, self.stops = array("H"), array("Q", [0])
+        """Pre-tokens are known by hash, in an open-addressing table (0: free) with the slots of their ids and characters."""
+        self.keys, self.slots = np.zeros(1 << 12, np.uint64), np.zeros(1 << 12, np.int32)
+        self.flat, self.ends = array("I"), array("I", [0])
+        self.chars, self.stops = array("H"), array("I", [0])
+        self.met = bytearray()  # whether a slot was asked for again
 
     def _find(self, keys: np.ndarray) -> np.ndarray:
         """Slot of every key, -1 for new ones."""
         out = np.full(len(keys), -1, np.int64)
-        if len(self.keys):
-            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-            hit = self.keys[at] == keys
-            out[hit] = self.slots[at[hit]]
-        rest = np.flatnonzero(out < 0)
-        out[rest] = [self.recent.get(k, -1) for k in keys[rest].tolist()]
+        mask = len(self.keys) - 1
+        rest, at = np.arange(len(keys)), (keys & np.uint64(mask)).astype(np.int64)
+        while len(rest):
+            held = self.keys[at]
+            hit = held == keys[rest]
+            out[rest[hit]] = self.slots[at[hit]]
+            on = (held != 0) & ~hit
+            rest, at = rest[on], (at[on] + 1) & mask
         return out
 
-    def _settle(self) -> None:
-        """Move the latest pre-tokens to the sorted arrays."""
-        keys = np.concatenate([self.keys, np.fromiter(self.recent.keys(), np.uint64, len(self.recent))])
-        slots = np.concatenate([self.slots, np.fromiter(self.recent.values(), np.int64, len(self.recent))])
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.slots, self.recent = keys[order], slots[order], {}
+    def _put(self, keys: np.ndarray, slots: np.ndarray) -> None:
+        """Add distinct keys that are not in the table, which is at most half full, after their characters were added."""
+        if 2 * (len(self.stops) - 1) > len(self.keys):
+            used = np.flatnonzero(self.keys)
+            keys, slots = np.concatenate([self.keys[used], keys]), np.concatenate([self.slots[used], slots])
+            size = 1 << (2 * len(keys)).bit_length()
+            self.keys, self.slots = np.zeros(size, np.uint64), np.zeros(size, np.int32)
+        mask = len(self.keys) - 1
+        rest, at = np.arange(len(keys)), (keys & np.uint64(mask)).astype(np.int64)
+        while len(rest):
+            free = self.keys[at] == 0
+            self.keys[at[free]] = keys[rest[free]]
+            own = self.keys[at] == keys[rest]
+            self.slots[at[own]] = slots[rest[own]]
+            rest, at = rest[~own], (at[~own] + 1) & mask
+
+    def _shed(self) -> None:
+        """Forget the pre-tokens that were not met again, and all if over half of them were."""
+        at = np.flatnonzero(self.keys)
+        keys, slot = self.keys[at], self.slots[at]
+        again = np.frombuffer(self.met, bool)[slot]
+        keys, slot = keys[again], slot[again]
+        if len(keys) > _MEMO // 2:
+            return self.forget()
+        ids, ends = _runs(self.flat, self.ends, slot)
+        chars, stops = _runs(self.chars, self.stops, slot)
+        self.forget()
+        self.flat.frombytes(ids.tobytes())
+        self.ends.frombytes(ends.tobytes())
+        self.chars.frombytes(chars.tobytes())
+        self.stops.frombytes(stops.tobytes())
+        self.met.extend(bytes(len(keys)))
+        self._put(keys, np.arange(len(keys), dtype=np.int32))
 
     def _grow(self, n: int) -> None:
         if len(self.powers) < n:
@@ -149,15 +181,14 @@ class Encoder:
         while lo < len(keys):
             hi = max(lo + 1, int(np.searchsorted(reach, reach[lo] - size[lo] + _ASKED, side="right")))
             ids, n = self._ask(x, begin[lo:hi], end[lo:hi])
-            self.ends.frombytes((np.cumsum(n) + len(self.flat)).astype(np.uint64).tobytes())
+            self.ends.frombytes((np.cumsum(n) + len(self.flat)).astype(np.uint32).tobytes())
             self.flat.frombytes(ids.tobytes())
             lo = hi
         at = np.repeat(begin - reach + size, size) + np.arange(int(reach[-1]))
-        self.stops.frombytes((reach + len(self.chars)).astype(np.uint64).tobytes())
+        self.stops.frombytes((reach + len(self.chars)).astype(np.uint32).tobytes())
         self.chars.frombytes(x[at].astype(np.uint16).tobytes())
-        self.recent.update(zip(keys.tolist(), range(slot, slot + len(keys))))
-        if len(self.recent) > _RECENT:
-            self._settle()
+        self.met.extend(bytes(len(keys)))
+        self._put(keys, np.arange(slot, slot + len(keys), dtype=np.int32))
 
     def _group(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces in a row, and how many each has."""
@@ -180,10 +211,12 @@ class Encoder:
         begin, end = begin[~stop], end[~stop]
         h = (total[end] - total[begin]) * self.inverse[begin]
         h ^= h >> np.uint64(32)
+        h[h == 0] = 1
         codes, distinct = pd.factorize(h)
         if len(self.ends) + len(distinct) > _MEMO:
-            self.forget()
+            self._shed()
         at = self._find(distinct)
+        np.frombuffer(self.met, bool)[at[at >= 0]] = True
         new = np.flatnonzero(at < 0)
         if len(new):
             first = np.full(len(distinct), -1, np.int64)
@@ -191,9 +224,10 @@ class Encoder:
             grown = len(self.ends) - 1
             self._learn(distinct[new], x, begin[first[new]], end[first[new]])
             at[new] = grown + np.arange(len(new))
-        ends = np.frombuffer(self.ends, np.uint64).astype(np.int64)
+        ends = np.frombuffer(self.ends, np.uint32)
         flat = np.frombuffer(self.flat, np.uint32)
-        low, size = ends[at], ends[at + 1] - ends[at]
+        low = ends[at].astype(np.int64)
+        size = ends[at + 1] - low
         low, size = low[codes], size[codes]
         wrong = self._differing(x, c != _STOP, begin, end, at[codes])
         if len(wrong):
@@ -206,8 +240,8 @@ class Encoder:
 
     def _differing(self, x: np.ndarray, inside: np.ndarray, begin: np.ndarray, end: np.ndarray, slot: np.ndarray) -> np.ndarray:
         """Pre-tokens whose characters are not those their slot was learned from; ``inside`` marks the characters of all."""
-        chars, stops = np.frombuffer(self.chars, np.uint16), np.frombuffer(self.stops, np.uint64).astype(np.int64)
-        length, first = end - begin, stops[slot]
+        chars, stops = np.frombuffer(self.chars, np.uint16), np.frombuffer(self.stops, np.uint32)
+        length, first = end - begin, stops[slot].astype(np.int64)
         same = length == stops[slot + 1] - first
         wrong = np.flatnonzero(~same)
         if len(wrong):
@@ -268,6 +302,14 @@ class Encoder:
         return np.concatenate(parts) if parts else np.zeros(0, np.uint32), sizes
 
 
+def _runs(values: array, ends: array, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of some slots in a row, and where each ends."""
+    v, e = np.frombuffer(values, f"u{values.itemsize}"), np.frombuffer(ends, np.uint32).astype(np.int64)
+    size = e[slot + 1] - e[slot]
+    reach = np.cumsum(size)
+    return v[np.repeat(e[slot] - reach + size, size) + np.arange(int(size.sum()))], reach.astype(np.uint32)
+
+
 def _pieces(text: str) -> Iterator[str]:
     """Cut a long text where blanks begin; no pre-token runs over such a place."""
     at = 0
@@ -289,52 +331,70 @@ def _encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _small(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for at in range(0, batch.num_rows, _ROWS):
-            yield batch.slice(at, _ROWS)
+        reach = np.cumsum(pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = done = 0
+        while at < batch.num_rows:
+            to = min(at + _ROWS, max(at + 1, int(np.searchsorted(reach, done + _BYTES, side="right"))))
+            yield batch.slice(at, to - at)
+            at, done = to, int(reach[to - 1])
 
 
-def ranks_by_frequency(docs: DataFrame, path: str) -> np.ndarray:
-    """All ids by falling count over the whole corpus, ties by id; unused ids at the end. Bounded by the vocabulary."""
+def encode_once(docs: DataFrame, path: str) -> tuple[DataFrame, np.ndarray]:
+    """Ids of every row's whole text with a closing id 0, and all ids by falling count, ties by id, unused ones at the end.
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    A task writes its documents (doc_id, bytes of the text, n, ids as little-endian integers) and, after them, rows with the
+    count of every id it met. What goes to the driver is bounded by the vocabulary.
+    """
+    size = max(Tokenizer.from_file(path).get_vocab_size(), END_ID + 1)
+    kind = id_kind(size)
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clear_worker("token_files")
         encoder = _encoder(path)
-        size = max(encoder.tokenizer.get_vocab_size(), END_ID + 1)
-        n = np.zeros(size, np.int64)
-        for batch in _small(batches):
-            texts = batch["text"].to_pylist()
-            n += np.bincount(encoder.encode(texts)[0], minlength=size)
-            n[END_ID] += len(texts)
-        at = np.flatnonzero(n)
-        yield pa.record_batch({"id": pa.array(at.astype(np.int32)), "n": pa.array(n[at])})
-
-    sums = docs.select("text").mapInArrow(count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
-    n = np.zeros(max(Tokenizer.from_file(path).get_vocab_size(), END_ID + 1), np.int64)
+        met = np.zeros(size, np.int64)
+        for batch in _small(batches, "text"):
+            ids, sizes = encoder.encode(batch["text"].to_pylist())
+            ids, sizes = np.insert(ids, np.cumsum(sizes), END_ID), sizes + 1
+            met += np.bincount(ids, minlength=size)
+            at = np.concatenate([[0], np.cumsum(sizes)]) * kind.itemsize
+            held = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(ids.astype(kind))])
+            yield pa.record_batch({"doc_id": batch["doc_id"], "bytes": pc.binary_length(batch["text"]).cast("int64"), "n": pa.array(sizes), "ids": held, "id": pa.nulls(len(sizes), pa.int32()), "times": pa.nulls(len(sizes), pa.int64())})
+        at = np.flatnonzero(met)
+        none = pa.nulls(len(at), pa.int64())
+        yield pa.record_batch({"doc_id": none, "bytes": none, "n": none, "ids": pa.nulls(len(at), pa.binary()), "id": pa.array(at.astype(np.int32)), "times": pa.array(met[at])})
+
+    coded = materialize(docs.mapInArrow(code, "doc_id long, bytes long, n long, ids binary, id int, times long"), "token-ids", "zstd")
+    sums = coded.where("id is not null").groupBy("id").agg(F.sum("times").alias("n")).toPandas()
+    n = np.zeros(size, np.int64)
     n[sums["id"]] = sums["n"]
-    return np.lexsort([np.arange(len(n)), -n]).astype(np.uint32)
+    return coded.where("id is null").select("doc_id", "bytes", "n", "ids"), np.lexsort([np.arange(size), -n]).astype(np.uint32)
+
+
+def id_kind(size: int) -> np.dtype:
+    """How an id of so many is kept between the passes."""
+    return np.dtype("<u2" if size <= 1 << 16 else "<u4")
 
 
 def pack(ranks: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Control bytes and data bytes of runs of ranks, and the two byte counts of every run."""
     code = (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
-    width = code.astype(np.int64) + 1
-    offset = np.cumsum(width) - width
-    data = np.empty(int(width.sum()), np.uint8)
-    for byte in range(4):
-        use = code >= byte
-        if not use.any():
+    reach = np.concatenate([[0], np.cumsum(code + np.uint8(1), dtype=np.int64)])
+    data = np.empty(int(reach[-1]), np.uint8)
+    data[reach[:-1]] = ranks.astype(np.uint8)
+    for byte in range(1, 4):
+        use = np.flatnonzero(code >= byte)
+        if not len(use):
             break
-        data[offset[use] + byte] = (ranks[use] >> np.uint32(8 * byte)).astype(np.uint8)
+        data[reach[use] + byte] = (ranks[use] >> np.uint32(8 * byte)).astype(np.uint8)
     control_bytes = -(-sizes // 4)
     slot = np.repeat(4 * (np.cumsum(control_bytes) - control_bytes) - np.cumsum(sizes) + sizes, sizes) + np.arange(len(ranks))
     slots = np.zeros(4 * int(control_bytes.sum()), np.uint8)
     slots[slot] = code
-    s = slots.reshape(-1, 4)
-    control = s[:, 0] | s[:, 1] << 2 | s[:, 2] << 4 | s[:, 3] << 6
+    four = slots.view("<u4")
     ends = np.concatenate([[0], np.cumsum(sizes)])
-    reach = np.concatenate([[0], np.cumsum(width)])
-    return control.astype(np.uint8), data, control_bytes, reach[ends[1:]] - reach[ends[:-1]]
+    return (four | four >> 6 | four >> 12 | four >> 18).astype(np.uint8), data, control_bytes, reach[ends[1:]] - reach[ends[:-1]]
 
 
 # Widths of the four ranks a control byte stands for.
@@ -362,27 +422,30 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, shard_bytes: int =
     NULL and empty texts have the closing id only. Rows without doc_id come first; rows of one doc_id are written one after
     the other, by text. Other columns are ignored. An empty table gives a manifest without files.
     """
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    order = ranks_by_frequency(docs, tokenizer)
+    with job(docs.sparkSession):
+        return _write_tokens(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), path, tokenizer, shard_bytes)
+
+
+def _write_tokens(docs: DataFrame, path: str, tokenizer: str, shard_bytes: int) -> dict:
+    coded, order = encode_once(docs, tokenizer)
     put_file(path, ".ranks.tmp", "ranks.bin", [order.astype("<u4").tobytes()])
     rank_of = np.empty(len(order), np.uint32)
     rank_of[order] = np.arange(len(order), dtype=np.uint32)
-    bounds = range_bounds(docs, "doc_id", F.octet_length("text"), shard_bytes)
+    bounds = range_bounds(coded, "doc_id", F.col("bytes"), shard_bytes)
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer)
+    def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clear_worker()
         edges = np.array(bounds, dtype=np.int64)
-        for batch in _small(batches):
-            ids, sizes = encoder.encode(batch["text"].to_pylist())
-            ends = np.cumsum(sizes)
-            ranks = rank_of[np.insert(ids, ends, END_ID)]
-            control, data, cb, db = pack(ranks, sizes + 1)
+        kind = id_kind(len(rank_of))
+        for batch in _small(batches, "ids"):
+            sizes = batch["n"].to_numpy()
+            control, data, cb, db = pack(rank_of[np.frombuffer(b"".join(batch["ids"].to_pylist()), kind)], sizes)
             at = [np.concatenate([[0], np.cumsum(b)]).astype(np.int32) for b in (cb, db)]
-            columns = [pa.Array.from_buffers(pa.binary(), len(cb), [None, pa.py_buffer(o), pa.py_buffer(v.tobytes())]) for o, v in zip(at, (control, data))]
-            yield pa.record_batch({"shard": pa.array(ranges_of(batch["doc_id"], edges)), "doc_id": batch["doc_id"], "n": pa.array(sizes + 1), "control": columns[0], "data": columns[1]})
+            columns = [pa.Array.from_buffers(pa.binary(), len(cb), [None, pa.py_buffer(o), pa.py_buffer(v)]) for o, v in zip(at, (control, data))]
+            yield pa.record_batch({"shard": pa.array(ranges_of(batch["doc_id"], edges)), "doc_id": batch["doc_id"], "n": batch["n"], "control": columns[0], "data": columns[1]})
 
-    coded = docs.mapInArrow(encode, "shard int, doc_id long, n long, control binary, data binary")
-    dealt = coded.repartitionById(len(bounds) + 1, "shard").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "n", "data")
+    ranked = coded.mapInArrow(rank, "shard int, doc_id long, n long, control binary, data binary")
+    dealt = ranked.repartitionById(len(bounds) + 1, "shard").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "n", "data")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         attempt, number = TaskContext.get().taskAttemptId(), 0
@@ -445,16 +508,17 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
                 control = np.frombuffer(raw, np.uint8, len(raw) - nbytes - at - 13 * docs, at + 13 * docs)
                 data = np.frombuffer(raw, np.uint8, nbytes, len(raw) - nbytes)
                 lo = 0
-                while lo < docs:  # about a million ids at once
-                    hi = max(lo + 1, int(np.searchsorted(np.cumsum(sizes[lo:]), 1 << 20)) + lo)
+                reach = np.cumsum(sizes)
+                while lo < docs:
+                    hi = max(lo + 1, int(np.searchsorted(reach, (reach[lo - 1] if lo else 0) + _IDS)))
                     n = sizes[lo:hi]
                     cut = int((-(-n // 4)).sum())
                     ranks = unpack(control[:cut], data, n)
                     used = int(((ranks > 0xFF).astype(np.int64) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF) + 1).sum())
                     control, data = control[cut:], data[used:]
-                    tokens = order[ranks].astype("<u4")
+                    tokens = order[ranks]
                     ends = np.cumsum(n)
-                    crc = [zlib.crc32(tokens[e - k : e].tobytes()) for e, k in zip(ends.tolist(), n.tolist())]
+                    crc = [zlib.crc32(tokens[e - k : e]) for e, k in zip(ends.tolist(), n.tolist())]
                     out = {"doc_id": pa.array(ids[lo:hi], mask=missing[lo:hi]), "start": pa.array(start + ends - n), "n_tokens": pa.array(n), "ids_crc32": pa.array(crc, pa.int64())}
                     if with_ids:
                         out["ids"] = pa.array([tokens[e - k : e].astype(np.int32) for e, k in zip(ends, n)], pa.list_(pa.int32()))

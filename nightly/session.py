@@ -85,12 +85,12 @@ def job(spark: SparkSession) -> Iterator[None]:
         folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` once to the scratch folder and read it back.
 
     Used to cut lineage where a value must not change when a task is run again
     (partition ids), or where several passes read the same costly input.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)

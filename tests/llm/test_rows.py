@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from nightly.llm import common, decontaminate, language, mixing, quality, token_files, toxicity, warc
@@ -378,6 +379,35 @@ def test_new_pre_tokens_are_learned_many_at_once(monkeypatch):
     assert not cut
 
 
+def test_texts_are_read_and_encoded_once(spark, folder):
+    """They were once encoded to count the ids and again to write them, and read two more times to find the ranges."""
+    rng = random.Random(8)
+    rows = [(i, prose(rng, 40)) for i in range(60)] + [(None, "no id"), (7, None), (8, "")]
+    read = spark.sparkContext.accumulator(0)
+    df = documents(spark, rows).withColumn("text", F.udf(lambda t: read.add(1) or t)("text"))
+    token_files.write_tokens(df, f"{folder}/once", BPE, shard_bytes=2000)
+    assert read.value == len(rows)
+    got = token_files.read_tokens(spark, f"{folder}/once", with_ids=True).collect()
+    tok = tokenizers.Tokenizer.from_file(BPE)
+    assert sorted((r["doc_id"] or -1, r["ids"]) for r in got) == sorted((d or -1, tok.encode(t or "", add_special_tokens=False).ids + [0]) for d, t in rows)
+
+
+def test_ranks_follow_the_counts_of_all_tasks(spark, folder):
+    rng = random.Random(9)
+    rows = [(i, prose(rng, 30)) for i in range(90)]
+    token_files.write_tokens(documents(spark, rows).repartition(5), f"{folder}/ranks", BPE)
+    tok = tokenizers.Tokenizer.from_file(BPE)
+    n = np.zeros(tok.get_vocab_size(), np.int64)
+    for _, text in rows:
+        np.add.at(n, tok.encode(text, add_special_tokens=False).ids + [0], 1)
+    ranks = np.fromfile(f"{folder}/ranks/ranks.bin", "<u4")
+    assert ranks.tolist() == sorted(range(len(n)), key=lambda i: (-n[i], i))
+
+
+def test_ids_of_large_vocabularies_take_four_bytes():
+    assert token_files.id_kind(1 << 16).itemsize == 2 and token_files.id_kind((1 << 16) + 1).itemsize == 4
+
+
 def test_ranges_are_bounded_and_files_roll(spark, folder, monkeypatch):
     rng = random.Random(3)
     rows = [(i, prose(rng, 60)) for i in range(300)] + [(None, prose(rng, 60)) for _ in range(100)]
