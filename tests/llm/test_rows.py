@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -379,6 +380,38 @@ def test_new_pre_tokens_are_learned_many_at_once(monkeypatch):
     assert not cut
 
 
+def test_encoder_keeps_what_it_meets_again_and_no_more(monkeypatch):
+    """Everything was once forgotten together, so that common words were learned anew; as many as a million were kept."""
+    monkeypatch.setattr(token_files, "_MEMO", 300)
+    encoder = token_files.Encoder(BPE)
+    rng = random.Random(12)
+    asked, ask = Counter(), encoder._ask
+
+    def counted(x, begin, end):
+        asked.update("".join(map(chr, x[a:b])) for a, b in zip(begin, end))
+        return ask(x, begin, end)
+
+    monkeypatch.setattr(encoder, "_ask", counted)
+    for i in range(40):
+        text = " the house of" + "".join(f" {''.join(rng.choices('abcdé', k=9))}" for _ in range(50)) + " the house, of"
+        ids, sizes = encoder.encode([text, None, text[:40]])
+        want = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in (text, "", text[:40])]
+        assert ids.tolist() == sum(want, []) and sizes.tolist() == list(map(len, want))
+        assert len(encoder.stops) - 1 <= 300 and len(encoder.keys) <= 1 << 12
+    assert asked[" the"] == asked[" house"] == asked[" of"] == 1
+    monkeypatch.setattr(token_files, "_MEMO", 20)  # more than fits is met again
+    for _ in range(3):
+        ids, _ = encoder.encode([text])
+        assert ids.tolist() == want[0]
+
+
+def test_long_texts_are_worked_on_few_at_once():
+    batch = pa.record_batch({"text": ["x" * 100_000] * 7 + [None, "y" * 900_000, "é" * 200_000, ""]})
+    slices = list(token_files._small(iter([batch.slice(1)]), "text"))
+    assert pa.Table.from_batches(slices).to_pylist() == batch.slice(1).to_pylist()
+    assert max(map(len, slices)) <= 3 and all(s.num_rows == 1 or sum(len((t or "").encode()) for t in s["text"].to_pylist()) <= 1 << 18 for s in slices)
+
+
 def test_texts_are_read_and_encoded_once(spark, folder):
     """They were once encoded to count the ids and again to write them, and read two more times to find the ranges."""
     rng = random.Random(8)
