@@ -47,7 +47,8 @@ def winnow(text: str = "text", k: int = K, w: int = W) -> Column:
 
 def plain(text: str) -> str:
     """The text as it is cut into grams: blanks collapsed to one, none at the ends."""
-    return f"trim(regexp_replace(coalesce({text}, ''), '[\\\\x20\\\\x09-\\\\x0D]+', ' '))"
+    # single blanks are no matches, so that little is replaced
+    return f"trim(regexp_replace(coalesce({text}, ''), '[\\\\x09-\\\\x0D][\\\\x20\\\\x09-\\\\x0D]*|\\\\x20[\\\\x20\\\\x09-\\\\x0D]+', ' '))"
 
 
 # Window by the number of grams: from so many on, the smallest of every so many.
@@ -55,15 +56,48 @@ LEVELS = ((0, 1), (32, 4), (128, 16), (512, 64))
 WIDEST = LEVELS[-1][1]
 
 
+BLOCK = 8  # blocks of so many grams, in which the smallest of the widest window are looked for
+
+
+def smallest_of_widest(g: str) -> str:
+    """Smallest of every WIDEST elements of an array of distinct longs that has as many at least, in order.
+
+    The windows that begin in one block share the whole blocks after it and, but for the last block of a text, so does the first
+    window of the next block. Where the smallest ``c`` of those is smaller than both ends, it is that of all these windows. Where
+    one end has smaller ones, those count that no window reaches without a still smaller one of that end. Else each window looks
+    at what it has of both ends.
+    """
+    def some(array: str, first: str, n: int) -> str:  # so few are read faster one by one than cut out as an array
+        return ", ".join([f"get({array}, {first})", *(f"get({array}, {first} + {j})" for j in range(1, n))])
+
+    def below(first: str, among: str) -> str:
+        found = f"filter(array({some('g', first, BLOCK)}), x -> x < c)"
+        return _bind("s", found, f"if(size(s) = 1, s, filter(s, (x, i) -> x = array_min({among})))")
+
+    shared = WIDEST // BLOCK - 1
+    first, last = f"{BLOCK} * k", f"{BLOCK} * k + {WIDEST}"
+    ends = f"array({some('g', first, BLOCK)}, c, {some('g', last, BLOCK - 1)})"
+    each = _bind("e", ends, f"transform(sequence(0, least({BLOCK - 1}, size(g) - {WIDEST} - {BLOCK} * k)), r -> least({some('e', 'r', BLOCK + 1)}))")
+    one_end = f"if(c < get(m, k + {shared + 1}), concat({below(first, f'slice(s, i + 1, {BLOCK})')}, array(c)), concat(array(c), {below(last, 'slice(s, 1, i + 1)')}))"
+    beside = f"if(c > least(get(m, k), get(m, k + {shared + 1})), if(size(g) < {last} + {BLOCK} or c > greatest(get(m, k), get(m, k + {shared + 1})), {each}, {one_end}), array(c))"
+    block = _bind("c", f"least({some('m', 'k + 1', shared)})", beside)
+    found = f"flatten(transform(sequence(0, cast((size(g) - {WIDEST}) / {BLOCK} as int)), k -> {block}))"
+    return _bind("g", g, _bind("m", f"transform(sequence(0, size(g) - 1, {BLOCK}), i -> least({some('g', 'i', BLOCK)}))", found))
+
+
 def _winnowed(collapsed: str, k: int, level: bool) -> str:
     """Fingerprints of a collapsed text, with the window its own length gives or, of long parts of texts, the widest."""
     # four bytes a character, so that a gram is cut out without counting from the start
-    gram = f"shiftleft(xxhash64(substring(b, 4 * i + 1, {4 * k})) & 2147483647, 32) - i"
-    low = _bind("b", f"encode({collapsed}, 'utf-32')", f"if(length(b) = 0, array(), transform(sequence(0, greatest(cast(length(b) / 4 as int) - {k}, 0)), i -> {gram}))")
-    for (least, width), (_, step) in zip(LEVELS[1:], LEVELS):
+    gram = f"shiftleft(xxhash64(substring(b, at, {4 * k})) & 2147483647, 32) - i"
+    every = f"if(length(b) = 0, array(), transform(sequence(1, greatest(length(b) - {4 * k - 1}, 1), 4), (at, i) -> {gram}))"
+    low = "g"
+    for (least, _), (_, step) in zip(LEVELS[1:-1], LEVELS):
         four = f"transform(sequence(0, size(g) - {3 * step + 1}), i -> least(g[i], g[i + {step}], g[i + {2 * step}], g[i + {3 * step}]))"
-        low = _bind("g", low, f"if(n < {least} or size(g) = 0, g, if(size(g) <= {3 * step}, array(array_min(g)), {four}))" if level else four)
-    return f"coalesce(array_distinct({_bind('n', grams(collapsed, k), low) if level else low}), array())"
+        low = _bind("g", low, f"if(n < {least}, g, {four})")
+    widest = smallest_of_widest("g")
+    chosen = f"if(size(g) < {LEVELS[-1][0]}, {_bind('n', 'size(g)', low)}, {widest})" if level else widest
+    found = _bind("b", f"encode({collapsed}, 'utf-32')", _bind("g", every, chosen))
+    return f"coalesce(array_distinct({found}), array())"
 
 
 def grams(collapsed: str, k: int = CHARS) -> str:
@@ -78,13 +112,18 @@ def winnow_chars(text: str = "text", k: int = CHARS) -> Column:
     fingerprint in both; `coarsened` takes the narrower one's to the wider window. A text shorter than a gram is one gram;
     NULL, empty and blank texts have an empty array.
     """
-    return F.expr(_winnowed(plain(text), k, True))
+    return counted_prints(text, k)["prints"]
+
+
+def counted_prints(text: str = "text", k: int = CHARS) -> Column:
+    """Struct (prints, grams): `winnow_chars` of a text and its number of grams; blanks are collapsed once for both."""
+    return F.expr(_bind("t", plain(text), f"named_struct('prints', {_winnowed('t', k, True)}, 'grams', {grams('t', k)})"))
 
 
-def _edited_prints(text: str, edited: str, kept: str, own: str, k: int = CHARS) -> Column:
+def _edited_prints(text: str, edited: str, kept: str, own: str, count: str, k: int = CHARS) -> Column:
     """Struct (prints, grams): `winnow_chars` of ``edited`` and its number of grams.
 
-    The first ``kept`` characters of it are those of ``text``, whose fingerprints are ``own``. Windows that lie in the common
+    The first ``kept`` characters of it are those of ``text``, whose fingerprints are ``own`` and grams ``count``. Windows that lie in the common
     start keep what they have; only the grams from the last such window on are hashed.
     """
     def found(p: str, e: str) -> str:
@@ -98,13 +137,13 @@ def _edited_prints(text: str, edited: str, kept: str, own: str, k: int = CHARS)
     least = LEVELS[-1][0]
     same = f"o >= {least} and {grams('e', k)} >= {least} and p >= {WIDEST}"
     start = f"substring({text}, 1, {kept})"
-    prints = _bind("o", grams(plain(text), k), _bind("p", grams(plain(start), k), f"if({same}, {found('p', 'e')}, {_winnowed('e', k, True)})"))
+    prints = _bind("o", count, _bind("p", grams(plain(start), k), f"if({same}, {found('p', 'e')}, {_winnowed('e', k, True)})"))
     return F.expr(_bind("e", plain(edited), f"named_struct('prints', {prints}, 'grams', {grams('e', k)})"))
 
 
 def winnow_edited(text: str, edited: str, kept: str, own: str, k: int = CHARS) -> Column:
     """`winnow_chars` of a text whose start is that of another one with known fingerprints."""
-    return _edited_prints(text, edited, kept, own, k)["prints"]
+    return _edited_prints(text, edited, kept, own, grams(plain(text), k), k)["prints"]
 
 
 def window(count: str) -> str:
@@ -221,10 +260,9 @@ def compare_edits(docs: DataFrame) -> DataFrame:
     of each text and its hashes travel to the reader.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    base = docs.where(F.col("doc_id").isNotNull()).withColumn("_own", winnow_chars("text"))
-    own = F.struct(F.col("_own").alias("prints"), F.expr(grams(plain("text"))).alias("grams"))
+    base = docs.where(F.col("doc_id").isNotNull()).withColumn("_own", counted_prints("text"))
     heads = base.join(readers(docs).hint("merge"), "doc_id").select(
-        F.col("reader").alias("doc_id"), F.expr("substring(text, 1, third)").alias("_head"), own.alias("_next")
+        F.col("reader").alias("doc_id"), F.expr("substring(text, 1, third)").alias("_head"), F.col("_own").alias("_next")
     )
     heads = heads.groupBy("doc_id").agg(F.min(F.struct("_head", "_next")).alias("_n"))
     both = base.hint("merge").join(heads, "doc_id")
@@ -233,7 +271,7 @@ def compare_edits(docs: DataFrame) -> DataFrame:
     both = both.select("doc_id", "text", edited.alias("edited"), "_own", F.col("_n._next").alias("_next"))
     both = both.select(
         "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.encode("edited", "utf-8"), 256).alias("edited_sha256"),
-        own.alias("_a"), _edited_prints("text", "edited", kept, "_own").alias("_b"), "_next",
+        F.col("_own").alias("_a"), _edited_prints("text", "edited", kept, "_own.prints", "_own.grams").alias("_b"), "_next",
     )
     # One bound expression: as columns the fingerprints would be worked out anew wherever they stand.
     parts = f"named_struct('f', {_text_sql('a.prints')}, 'e', {_text_sql('b.prints')}, 'ab', {_likeness_sql('a', 'b')}, 'an', {_likeness_sql('a', 'c')})"

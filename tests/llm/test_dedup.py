@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -253,6 +254,28 @@ def test_character_windows_are_nested_and_guarantee_runs(spark):
             assert r["wide"] == picked(r["all"], 64)
 
 
+def test_smallest_of_the_widest_window_by_blocks(spark):
+    rng = random.Random(13)
+    made = []
+    for n in [*range(64, 90), 127, 128, 129, 135, 136, 137, 500, 1001]:
+        made += [[rng.randrange(1 << 31) for _ in range(n)] for _ in range(4)] + [[rng.randrange(3) for _ in range(n)], [7] * n, list(range(n)), list(range(n, 0, -1))]
+        made.append([abs(i % 61 - 30) * 9 + rng.randrange(20) for i in range(n)])
+    rows = [(i, [(h << 32) - at for at, h in enumerate(x)]) for i, x in enumerate(made)]
+    df = spark.createDataFrame(rows, "id int, v array<long>").withColumn("got", F.expr(f"array_distinct({fingerprints.smallest_of_widest('v')})"))
+    for r in df.collect():
+        assert r["got"] == list(dict.fromkeys(min(r["v"][i : i + 64]) for i in range(len(r["v"]) - 63))), r["id"]
+
+
+def test_blanks_are_collapsed_once_for_prints_and_grams(spark):
+    texts = ["", " ", "a", " a  b\t", "a\tb\n\nc \x0b\x0c\rd", "\u00a0 x\u2003 y", "a \n b" * 9, "\n\n", "x \t", "one two  three"]
+    df = documents(spark, list(enumerate(texts)))
+    for r in df.withColumn("p", F.expr(fingerprints.plain("text"))).collect():
+        assert r["p"] == re.sub("[ \t-\r]+", " ", r["text"]).strip(" ")
+    plan = fingerprints.compare_edits(df)._jdf.queryExecution().optimizedPlan().toString()
+    # of the text, of the start an edited text keeps and of the edited text; the text stands on both sides of a join
+    assert plan.count("regexp_replace(") <= 4
+
+
 def test_edited_fingerprints_are_those_of_the_edited_text(spark):
     rng = random.Random(11)
     sizes = [0, 1, 30, 130, 500, 519, 520, 600, 700, 779, 780, 790, 900, 1500, 5000]
