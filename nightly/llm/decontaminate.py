@@ -49,19 +49,27 @@ def _quoted(pattern: str) -> str:
     return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def tokens(text: str) -> Column:
-    """Words of a text; a slot is a mark, its type (n, u, p) and its value. NULL has none."""
-    steps = (
+def patterns() -> tuple[tuple[str, str], ...]:
+    """Patterns and what replaces them, in this order.
+
+    Each first looks at one character, which rules out most places before what is slower to look at.
+    """
+    begins = "".join(sorted({w[0] for w in NUMBER_WORDS.split("|")}))
+    return (
         # a capitalised word inside a sentence or, in small letters but for the first, anywhere; then amounts of money, numbers, units behind them
-        (rf"(?=\p{{Lu}})(?<![\p{{L}}\d\x01])(?!(?i:{OPENERS})(?!\p{{L}}))(?:(?<=[\p{{Ll}},;] )(\p{{Lu}}\p{{L}}+)|(\p{{Lu}}\p{{Ll}}\p{{L}}*))", f"{_SLOT}p$1$2"),
+        (rf"(?![a-z ])(?=\p{{Lu}})(?<![\p{{L}}\d\x01])(?!(?i:{OPENERS})(?!\p{{L}}))(?:(?<=[\p{{Ll}},;] )(\p{{Lu}}\p{{L}}+)|(\p{{Lu}}\p{{Ll}}\p{{L}}*))", f"{_SLOT}p$1$2"),
         (r"([$€£])(?=\d)", f" {_SLOT}u$1 "),
-        (r"(?<![\p{L}\d])(\d+(?:[.,:/]\d+)*)", f" {_SLOT}n$1 "),
-        (rf"(?<![\p{{L}}\d\x01])(?i:({NUMBER_WORDS}))(?![\p{{L}}\d])", f"{_SLOT}n$1"),
+        (r"(?=\d)(?<![\p{L}\d])(\d+(?:[.,:/]\d+)*)", f" {_SLOT}n$1 "),
+        (rf"(?=[{begins}{begins.upper()}])(?<![\p{{L}}\d\x01])(?i:({NUMBER_WORDS}))(?![\p{{L}}\d])", f"{_SLOT}n$1"),
         (rf"(\x01n[^\s]+ *)(?i:({UNITS}))(?![\p{{L}}\d])", f"$1 {_SLOT}u$2 "),
-        (r"[^\p{L}\p{N}\x01\s$€£%]+(?!\d)", " "),
+        (r"(?![a-z ])[^\p{L}\p{N}\x01\s$€£%]+(?!\d)", " "),
     )
+
+
+def tokens(text: str) -> Column:
+    """Words of a text; a slot is a mark, its type (n, u, p) and its value. NULL has none."""
     out = f"coalesce({text}, '')"
-    for pattern, by in steps:
+    for pattern, by in patterns():
         out = f"regexp_replace({out}, {_quoted(pattern)}, '{by}')"
     return F.expr(f"filter(split(lower({out}), '[\\\\s]+'), x -> length(x) > 0)")
 

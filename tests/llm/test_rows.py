@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -474,3 +475,19 @@ def test_warc_members_are_found_in_slices(monkeypatch):
 
 def test_all_blanks_part_words():
     assert language._points("ab\tcd\n\x0bef").tolist() == language._points("ab cd ef").tolist()
+
+
+def test_patterns_look_at_one_character_first_and_find_the_same(spark):
+    first = re.compile(r"^(?:\(\?=\\d\)|\(\?!\[a-z \]\)|\(\?=\[[a-zA-Z]+\]\))")
+    found = decontaminate.patterns()
+    assert all(first.match(p) or p.startswith((r"([$€£])", r"(\x01n")) for p, _ in found)
+    texts = ["Tom has FIVE apples, Ann 12.5kg. One-two, tHree5 x7 7x 1,000.00 $5 3/4 été Été", "ſix K İstanbul sevené éseven _nine_ ten", "(a) [b] c-d e!? 5! !5 -5 £5 % €", "١٢ ½ 中文 Ab😀Cd 😀", "\u0001nfive Eight hundred  miles\televen\n.", "", "A"]
+    rng = random.Random(14)
+    texts += ["".join(rng.choice("aZ \t.,!-%$5éÉ中" + w) for _ in range(60) for w in [rng.choice(["one", " Ten ", "Km", "Bob"])]) for _ in range(60)]
+    out = "text"
+    for p, by in found:
+        out = f"regexp_replace({out}, {decontaminate._quoted(first.sub('', p, count=1))}, '{by}')"
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    df = df.withColumn("want", F.expr(f"filter(split(lower({out}), '[\\\\s]+'), x -> length(x) > 0)")).withColumn("got", decontaminate.tokens("text"))
+    for r in df.collect():
+        assert r["got"] == r["want"], r["text"]
