@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from nightly.llm import decontaminate, jaccard, mixing, quality, token_files
 from nightly.llm.common import small_batches, table
-from nightly.session import materialize, scratch_path
+from nightly.session import materialize, materialize_alone, scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -37,8 +37,12 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of every component of near duplicates; of rows of one doc_id all."""
     small_batches(spark, BATCH_MB)
-    found = jaccard.join_similar(docs, SHINGLE, SIMILARITY)
-    extra = materialize(found.where("component_id <> doc_id").select(F.col("doc_id").alias("_id")).distinct(), "near-duplicates")
+
+    def others() -> DataFrame:
+        found = jaccard.join_similar(docs, SHINGLE, SIMILARITY)
+        return found.where("component_id <> doc_id").select(F.col("doc_id").alias("_id")).distinct()
+
+    extra = materialize_alone(spark, others, "near-duplicates")
     return docs.join(extra, docs["doc_id"] == extra["_id"], "left_anti")
 
 

@@ -14,7 +14,8 @@ enough to find every group a query can have a link to.
 
 Every step is an aggregate that is combined before its shuffle or a join of plain exchanges that AQE can split. Broadcast
 are the list of frequent tokens, at most HOT_TOKENS longs (any list gives the same result; it only saves work), and the
-ids of documents to check while they are at most BROADCAST_IDS. Tokens are 64-bit hashes.
+ids of documents to check while they are at most BROADCAST_IDS. Tokens are 64-bit hashes. Of the tables on the way only what
+later steps read is kept on disk.
 """
 
 from __future__ import annotations
@@ -29,12 +30,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from nightly.llm.common import clear_worker, query, table
 from nightly.llm.components import components
-from nightly.session import materialize
+from nightly.session import materialize, materialize_alone
 
 SHINGLE, SIMILARITY = 4, 85
-HOT_TOKENS = 200_000
+HOT_TOKENS = 500_000
 BROADCAST_IDS = 500_000  # more documents to check than these are joined by a shuffle
 _CHUNK = 1 << 20  # tokens counted at once
+_SAMPLE = 4  # of one in so many sets the first tokens are counted however rare they are
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -69,21 +71,31 @@ def _long(x: np.ndarray) -> pa.Array:
     return pa.array(x.astype(np.uint64).view(np.int64))
 
 
-def describe(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """Rows of kind 0: a document's set size and 128-bit digest; of kind 1: a token (d1) and in how many sets of a chunk (n)."""
+def describe(docs: DataFrame, k: int = SHINGLE, percent: int = SIMILARITY) -> DataFrame:
+    """Rows of kind 0: a document's set size and 128-bit digest; of kinds 1 and 2: a token (d1) and in how many sets (n).
+
+    Kind 1 has the tokens that are frequent among the sets of a chunk. A token may be rare in every chunk and still meet
+    thousands of sets of a large table, so kind 2 has all that stand first, or may once frequent ones stand last, in a sample.
+    """
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         clear_worker()
         pool: list[np.ndarray] = []
+        sample: list[np.ndarray] = []
         seen: set[bytes] = set()
         size = 0
 
-        def frequent() -> pa.RecordBatch:
-            token, n = np.unique(np.concatenate(pool), return_counts=True)
-            use = n >= 4
+        def counts(kind: int, sets: list[np.ndarray], least: int) -> pa.RecordBatch:
+            token, n = np.unique(np.concatenate(sets), return_counts=True)
+            use = n >= least
             m = int(use.sum())
             none = pa.nulls(m, pa.int64())
-            return pa.record_batch({"kind": pa.array(np.ones(m, np.int32)), "doc_id": none, "tag": pa.nulls(m, pa.int32()), "n": pa.array(n[use]), "d1": _long(token[use]), "d2": none})
+            return pa.record_batch({"kind": pa.array(np.full(m, kind, np.int32)), "doc_id": none, "tag": pa.nulls(m, pa.int32()), "n": pa.array(n[use]), "d1": _long(token[use]), "d2": none})
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            yield counts(1, pool, 4)
+            if sample:
+                yield counts(2, sample, 1)
 
         for batch in batches:
             n, digests = [], []
@@ -95,20 +107,25 @@ def describe(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
                     seen.add(digests[-1])
                     pool.append(s)
                     size += len(s)
+                    if digests[-1][0] % _SAMPLE == 0:
+                        sample.append(s[: prefix_length(len(s), percent) * 5 // 4 + 8])
             pair = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
             yield pa.record_batch({"kind": pa.array(np.zeros(len(n), np.int32)), "doc_id": batch["doc_id"], "tag": batch["tag"], "n": pa.array(n, pa.int64()), "d1": pa.array(pair[:, 0]), "d2": pa.array(pair[:, 1])})
             if size >= _CHUNK:
-                yield frequent()
-                pool, seen, size = [], set(), 0
+                yield from counted()
+                pool, sample, seen, size = [], [], set(), 0
         if pool:
-            yield frequent()
+            yield from counted()
 
     return docs.select("doc_id", "tag", "text").mapInArrow(look, "kind int, doc_id long, tag int, n long, d1 long, d2 long")
 
 
-def hot_tokens(described: DataFrame, least: int = 32) -> np.ndarray:
-    """The most frequent tokens, at most HOT_TOKENS."""
-    counts = described.where("kind = 1").groupBy("d1").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+def hot_tokens(described: DataFrame, least: int = 32, sampled: int = 4) -> np.ndarray:
+    """The most frequent tokens, at most HOT_TOKENS: in ``least`` sets of the chunks or ``sampled`` ones of the sample."""
+    n = [F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("n"))), F.lit(0)) for kind in (1, 2)]
+    counts = described.where("kind > 0").groupBy("d1").agg(n[0].alias("_chunks"), n[1].alias("_sample"))
+    counts = counts.where((F.col("_chunks") >= least) | (F.col("_sample") >= sampled))
+    counts = materialize(counts.select("d1", F.greatest("_chunks", F.col("_sample") * _SAMPLE).alias("n")), "join-frequent")
     return np.sort(counts.orderBy(F.desc("n"), "d1").limit(HOT_TOKENS).toPandas()["d1"].to_numpy(dtype=np.int64).view(np.uint64))
 
 
@@ -175,23 +192,39 @@ def join_similar(docs: DataFrame, k: int = SHINGLE, percent: int = SIMILARITY) -
     Other columns are ignored. An empty table gives no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.hash("text").alias("tag"))
-    described = materialize(describe(docs, k), "join-sets")
-    rows = described.where("kind = 0")
+    hot: list[np.ndarray] = []
+
+    def look() -> DataFrame:
+        described = materialize(describe(docs, k, percent), "join-tokens")
+        hot.append(hot_tokens(described))
+        return described.where("kind = 0").drop("kind")
+
+    rows = materialize_alone(docs.sparkSession, look, "join-sets")
     named = rows.where("n > 0 and doc_id is not null")
     classes = named.groupBy("d1", "d2", "n").agg(F.min(F.struct("doc_id", "tag")).alias("node"))
     classes = materialize(classes, "join-classes")
 
-    first = prefixes(docs.where("doc_id is not null"), hot_tokens(described), k, percent)
+    found = materialize_alone(docs.sparkSession, lambda: _nodes_found(docs, classes, hot[0], k, percent), "join-found")
+    known = rows.join(classes, ["d1", "d2", "n"], "left").join(found, "node", "left")
+    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("_low", "node.doc_id", "doc_id"))
+    return known.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+
+
+def _nodes_found(docs: DataFrame, classes: DataFrame, hot: np.ndarray, k: int, percent: int) -> DataFrame:
+    """``node, _low`` for every linked node: the smallest doc_id of its component."""
+    spark = docs.sparkSession
+    first = prefixes(docs.where("doc_id is not null"), hot, k, percent)
     first = first.withColumn("node", F.struct("doc_id", "tag")).drop("doc_id", "tag").join(classes.select("node"), "node")
     first = materialize(first.dropDuplicates(["node"]), "join-prefixes")
     posts = first.select("node", "n", "rare", F.posexplode("tokens").alias("pos", "token"))
     entry = F.struct("rare", "node", "n", "pos")
     lead = posts.groupBy("token").agg(F.min(entry).alias("l"), F.count("*").alias("_c")).where("_c > 1").drop("_c")
-    met = materialize(posts.join(materialize(lead, "join-leaders"), "token"), "join-met")
+    met = materialize_alone(spark, lambda: posts.join(materialize(lead, "join-leaders"), "token"), "join-met")
 
     stars = met.withColumn("x", F.struct("n", "pos")).where((F.col("node") != F.col("l.node")) & _may_link("x", "l", percent))
-    links = _links(docs, first, stars.select(F.col("node").alias("a"), F.col("l.node").alias("b")), k, percent)
-    group = components(links)
+    stars = stars.select(F.col("node").alias("a"), F.col("l.node").alias("b"))
+    links = materialize_alone(spark, lambda: _links(docs, first, stars, k, percent), "join-links")
+    group = materialize_alone(spark, lambda: components(links), "join-groups")
 
     member = met.join(group.withColumnRenamed("label", "group"), "node", "left").select(
         "token", "node", "n", "pos", F.coalesce("group", "node").alias("group")
@@ -213,12 +246,8 @@ def join_similar(docs: DataFrame, k: int = SHINGLE, percent: int = SIMILARITY) -
     y = member.alias("m").select(F.struct("m.node", "m.n", "m.pos").alias("y"), F.col("m.token").alias("_t"), F.col("m.group").alias("_h"))
     pairs = x.join(y, (F.col("token") == F.col("_t")) & (F.col("h") == F.col("_h")) & _may_link("x", "y", percent))
     pairs = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
-    links = links.unionAll(_links(docs, first, pairs, k, percent))
-    found = components(links).select("node", F.col("label.doc_id").alias("_low"))
-
-    known = rows.join(classes, ["d1", "d2", "n"], "left").join(found, "node", "left")
-    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("_low", "node.doc_id", "doc_id"))
-    return known.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+    links = links.unionAll(materialize_alone(spark, lambda: _links(docs, first, pairs, k, percent), "join-links"))
+    return components(links).select("node", F.col("label.doc_id").alias("_low"))
 
 
 def _links(docs: DataFrame, first: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -236,7 +265,7 @@ def _links(docs: DataFrame, first: DataFrame, pairs: DataFrame, k: int, percent:
     pairs = pairs.where(common + rest >= _overlap(F.col("x.n"), F.col("y.n"), percent)).select("a", "b")
     pairs = materialize(pairs, "join-likely")
     wanted = materialize(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "join-wanted")
-    return materialize(verify(pairs, _sets(docs, wanted, k), percent), "join-links")
+    return verify(pairs, _sets(docs, wanted, k), percent)
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:

@@ -6,7 +6,7 @@ import contextlib
 import functools
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -85,6 +85,21 @@ def job(spark: SparkSession) -> Iterator[None]:
         folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+# Spark's switch for what _write does. Set for single writes only: a frame that runs twice would shuffle anew.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _write(df: DataFrame, path: str, compression: str | None = None) -> None:
+    """Write ``df``; the shuffle files behind it go with the query, not when the driver happens to collect its garbage."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, None)
+    conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path, compression=compression)
+    finally:
+        conf.unset(_CLEANUP) if before is None else conf.set(_CLEANUP, before)
+
+
 def materialize(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` once to the scratch folder and read it back.
 
@@ -92,5 +107,14 @@ def materialize(df: DataFrame, name: str, compression: str | None = None) -> Dat
     (partition ids), or where several passes read the same costly input.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path, compression=compression)
+    _write(df, path, compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialize_alone(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """``materialize`` what ``make`` returns and delete the intermediate tables made in it, also after an error."""
+    path = scratch_path(spark, name)  # outside of the job, so it stays
+    with job(spark):
+        df = make()
+        _write(df, path)
+    return spark.read.schema(df.schema).parquet(path)

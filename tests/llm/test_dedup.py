@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 import re
 
@@ -10,8 +11,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from nightly.llm import fingerprints, jaccard, substrings
 from nightly.llm.components import components
+from nightly.session import scratch_root
 from tests.llm.helpers import documents, odd, prose
 
 
@@ -136,6 +139,27 @@ def test_groups_with_frequent_tokens(spark, monkeypatch):
     assert sorted((tuple(r) for r in got), key=str) == brute_groups(rows, 4, 85)
 
 
+def test_tokens_rare_in_every_chunk_are_found_frequent(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "_CHUNK", 100)
+    rng = random.Random(11)
+    early = next(p for p in iter(lambda: prose(rng, 4), None) if jaccard.shingles(p)[0] < 1 << 59)
+    rows = [(d, f"{prose(rng, 20)} {early} {prose(rng, 20)}") for d in range(300)]
+    described = jaccard.describe(documents(spark, rows).withColumn("tag", F.hash("text")))
+    assert jaccard.shingles(early)[0] in jaccard.hot_tokens(described)
+    got = jaccard.join_similar(documents(spark, rows)).collect()
+    assert sorted(tuple(r) for r in got) == sorted((d, len(jaccard.shingles(t)), d) for d, t in rows)
+
+
+def test_near_duplicates_leave_one_table(spark):
+    rows = near_copies(random.Random(3), 20)
+    root = scratch_root(spark)
+    before = set(os.listdir(root)) if os.path.exists(root) else set()
+    kept = corpus_pipeline.keep_one_of_each_group(spark, documents(spark, rows), "")
+    assert {name.rsplit("-", 1)[0] for name in set(os.listdir(root)) - before} == {"near-duplicates"}
+    low = {d: c for d, _, c in brute_groups(rows, corpus_pipeline.SHINGLE, corpus_pipeline.SIMILARITY)}
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(d for d, c in low.items() if d == c)
+
+
 def test_groups_of_odd_rows(spark):
     rows = odd(random.Random(5))
     got = sorted((tuple(r) for r in jaccard.join_similar(documents(spark, rows)).collect()), key=str)

@@ -14,7 +14,7 @@ from nightly.plans import pipelines
 from nightly.schema import schema_hash
 from nightly.sinks import writers
 from nightly.sources import files, text
-from nightly.session import scratch_root
+from nightly.session import job, materialize, materialize_alone, scratch_root
 from nightly.streaming.ingest import ingest_stream
 from tests.helpers import daily, frame, record, sinusoid, utc
 
@@ -240,3 +240,36 @@ def test_jobs_clear_their_scratch_tables_and_check_signals(spark, folder):
         pipelines.build_features(*args, hrv=f"{folder}/hrv.csv", unique=True)
     assert pipelines.build_features(*args, hrv=f"{folder}/hrv.csv").rows == 3
     assert tables() == before
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    def files_of_shuffles() -> set[str]:
+        held = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for name in (held.apply(i).getName() for i in range(held.size())) if name.startswith("shuffle_")}
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = files_of_shuffles(), spark.conf.get(key, None)
+    df = spark.range(2000).groupBy((F.col("id") % 7).alias("k")).count()
+    kept = materialize(df, "counts")
+    until = time.time() + 5
+    while files_of_shuffles() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not files_of_shuffles() - before
+    assert spark.conf.get(key, None) == was
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_a_table_made_alone_is_all_that_stays(spark):
+    def tables() -> set[str]:
+        return set(os.listdir(scratch_root(spark))) if os.path.exists(scratch_root(spark)) else set()
+
+    before = tables()
+    step = lambda: materialize(spark.range(5), "step")
+    assert materialize_alone(spark, lambda: materialize_alone(spark, step, "inner").union(step()), "outer").count() == 10
+    assert {name.rsplit("-", 1)[0] for name in tables() - before} == {"outer"}
+    before = tables()
+    with pytest.raises(ZeroDivisionError):
+        materialize_alone(spark, lambda: step() if 1 / 0 else None, "never")
+    with job(spark):
+        assert materialize_alone(spark, step, "inner").count() == 5
+    assert tables() == before
